@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # The ladder sides of the feed and the side tags kept in the
 # tables ("b" = best available to back, "l" = best available to lay).
 LADDER_SIDES = {"b": "batb", "l": "batl"}
@@ -82,11 +84,17 @@ def carry_forward(df: DataFrame, partition: Sequence[str], order: str, cols: Seq
         return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
     b = "_bucket"
-    data = df.withColumn(b, bucket)
+    data = df.withColumn(b, bucket).repartition(*partition, b)
     w = Window.partitionBy(*partition, b).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     local = data.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
+    # `local` feeds two branches (bucket summaries and the final join).  Catalyst
+    # prunes the branches differently, so their shuffles would not be reused and
+    # everything upstream would run twice; a reliable checkpoint in the shared
+    # checkpoint folder computes it once and keeps its partitioning.
+    checkpoint_dir(local.sparkSession)
+    local = local.checkpoint(eager=True)
     # The last row of a bucket holds the bucket's last non-NULL value; `local`
-    # is already clustered by (partition, bucket), so this adds no shuffle.
+    # is clustered by (partition, bucket), so this adds no shuffle.
     summary = local.groupBy(*partition, b).agg(
         *[F.max_by(F.col(c), F.struct(*order_by)).alias(f"_end_{c}") for c in cols])
     wb = Window.partitionBy(*partition).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)

@@ -31,36 +31,57 @@ def dim_first_goal(market: DataFrame, runner: DataFrame) -> DataFrame:
     return first_goal_minutes(market, runner)
 
 
+def _before_kickoff(changes: DataFrame, market: DataFrame) -> DataFrame:
+    return changes.join(market.select("market_id", "kick_off"), "market_id")
+
+
 def runner_volumes(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """P-15a: per (market, runner) with a change before kick-off: traded volume
     at the last change before kick-off and at the last change overall."""
-    m = market.select("market_id", "kick_off")
-    j = changes.join(m, "market_id")
+    return _runner_stats(changes, market, tiebreak, with_odds=False)
+
+
+def _runner_stats(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str], with_odds: bool,
+                  side: str = "b") -> DataFrame:
+    """Volumes (P-15a) and, with ``with_odds``, the last back change before
+    kick-off (P-15b) in one aggregation over one scan of the changes."""
+    j = _before_kickoff(changes, market)
     order = ordering("epoch", tiebreak)
     before = F.col("timestamp") < F.col("kick_off")
-    agg = j.groupBy("market_id", "runner_id").agg(
+    aggs = [
         F.max_by(F.col("tv"), F.when(before, order)).alias("pre_ko_traded_volume"),
         F.max_by(F.col("tv"), order).alias("total_traded_volume"),
         F.max(before).alias("_any_before"),
-    )
-    return agg.where(F.col("_any_before")).drop("_any_before")
+    ]
+    if with_odds:
+        # best level first among rows of the same change: position ascending
+        last_order = F.struct(F.col("epoch"), *[F.col(c) for c in tiebreak], (-F.col("position")).alias("_p"))
+        aggs.append(F.max_by(F.struct("ltp", "odds"), F.when(before & (F.col("type") == F.lit(side)), last_order))
+                    .alias("_l"))
+    agg = j.groupBy("market_id", "runner_id").agg(*aggs).where(F.col("_any_before")).drop("_any_before")
+    if not with_odds:
+        return agg
+    return agg.select("*", F.col("_l.ltp").alias("ko_odds"), F.col("_l.odds").alias("_odds"),
+                      F.col("_l").isNotNull().alias("_has_back")).drop("_l")
+
+
+def _favourite(last: DataFrame) -> DataFrame:
+    fav = top1(last, ["market_id"], [F.col("ko_odds").asc_nulls_last(), F.col("_odds").asc_nulls_last(),
+                                     F.col("runner_id").asc()], flag="favourite")
+    return fav.withColumn("favourite", F.col("favourite") & F.col("ko_odds").isNotNull()).drop("_odds")
 
 
 def kickoff_odds(changes: DataFrame, market: DataFrame, side: str = "b", tiebreak: Sequence[str] = ()) -> DataFrame:
     """P-15b: last back change before kick-off per (market, runner): its ltp as
     ko_odds; favourite = shortest ltp in the market (NULL ltp never favourite;
     ties by odds, then runner id)."""
-    m = market.select("market_id", "kick_off")
-    j = (changes.where(F.col("type") == F.lit(side)).join(m, "market_id")
+    j = (_before_kickoff(changes.where(F.col("type") == F.lit(side)), market)
          .where(F.col("timestamp") < F.col("kick_off")))
-    # Best level first among rows of the same change: position ascending.
     order = F.struct(F.col("epoch"), *[F.col(c) for c in tiebreak], (-F.col("position")).alias("_p"))
     last = j.groupBy("market_id", "runner_id").agg(
         F.max_by(F.struct("ltp", "odds"), order).alias("_l")).select(
         "market_id", "runner_id", F.col("_l.ltp").alias("ko_odds"), F.col("_l.odds").alias("_odds"))
-    fav = top1(last, ["market_id"], [F.col("ko_odds").asc_nulls_last(), F.col("_odds").asc_nulls_last(),
-                                     F.col("runner_id").asc()], flag="favourite")
-    return fav.withColumn("favourite", F.col("favourite") & F.col("ko_odds").isNotNull()).drop("_odds")
+    return _favourite(last)
 
 
 def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, market_type: DataFrame,
@@ -71,8 +92,10 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
     appends.  Joins are left to the optimizer: every side here grows with the
     feed except ``market_type``, a bounded catalogue.
     """
-    vol = runner_volumes(changes, market, tiebreak)
-    odds = kickoff_odds(changes, market, tiebreak=tiebreak)
+    # volumes and kick-off odds come from one aggregation; the favourite is
+    # ranked among runners with a back change before kick-off only
+    stats = _favourite(_runner_stats(changes, market, tiebreak, with_odds=True).where(F.col("_has_back"))
+                       .drop("_has_back"))
     m = market.select("market_id", "market_type", "event_id", "scheduled_time", "kick_off")
     mt = F.broadcast(market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id")))
     e = event.select(F.col("id").alias("event_id"), F.col("name").alias("event_name"), "country_code")
@@ -81,8 +104,7 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
             .join(m, "market_id")
             .join(mt, "market_type")
             .join(e, "event_id")
-            .join(vol, ["market_id", "runner_id"])
-            .join(odds, ["market_id", "runner_id"]))
+            .join(stats, ["market_id", "runner_id"]))
     return star.select(
         hash_key(["market_id", "runner_id"]).alias("id"),
         "runner_id", "name", "sort_priority", "winner", "market_id", "market_type_id",
