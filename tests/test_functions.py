@@ -1,0 +1,73 @@
+"""Scalar functions and generated dimensions (DT-*, STR-*, CND-*, GEN-3/4)."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from oddsflow.functions import scores
+from oddsflow.functions.time import (calendar_dim, clock_dim, date_key, epoch_ms_to_ts, minute_offset,
+                                     minutes_between, time_key)
+
+
+def one(df):
+    return df.collect()[0]
+
+
+def test_date_and_time_keys(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 3, 1, 0, 5),)], "ts timestamp")
+    r = one(df.select(date_key("ts").alias("d"), time_key("ts").alias("t")))
+    assert (r["d"], r["t"]) == (20250301, 5)
+
+
+def test_minute_offset_rounds_half_away_from_zero(spark):
+    ko = dt.datetime(2025, 1, 1, 14, 0)
+    base = int(ko.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    df = spark.createDataFrame([(base - 90_000, ko), (base + 150_000, ko), (base - 20_000, ko)],
+                               "epoch long, ko timestamp")
+    got = [r[0] for r in df.select(minute_offset("epoch", "ko")).collect()]
+    assert got == [-2, 3, 0]
+
+
+def test_minutes_between_and_epoch(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 1, 1, 14, 25, 29), dt.datetime(2025, 1, 1, 14, 0))],
+                               "a timestamp, b timestamp")
+    assert one(df.select(minutes_between("a", "b")))[0] == 25
+    ms = spark.createDataFrame([(1735740000123,)], "pt long").select(epoch_ms_to_ts("pt").alias("t"))
+    assert one(ms)["t"] == dt.datetime(2025, 1, 1, 14, 0, 0, 123000)
+
+
+def test_calendar_dim(spark):
+    cal = calendar_dim(spark)
+    assert cal.count() == 5480
+    r = one(cal.where(F.col("date") == dt.date(2025, 3, 2)))
+    assert (r["date_key"], r["calendar_month"], r["calendar_day"], r["day_of_week"]) == (20250302, "Mar", "Sun", 1)
+
+
+def test_clock_dim(spark):
+    clk = clock_dim(spark)
+    assert clk.count() == 1440 and clk.select("time_key").distinct().count() == 1440
+    r = one(clk.where(F.col("time_key") == 1305))
+    assert (r["time"], r["hour"], r["minute"]) == ("13:05", 13, 5)
+
+
+def test_scores(spark):
+    names = ["2 - 1", "0 - 0", "1 - 3", "Any Other Home Win", "Any Other Away Win", "Any Other Draw",
+             "Any unquoted", "x - y"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    home, away = scores.score_part("name", 0), scores.score_part("name", 1)
+    out = df.select("name", home.alias("h"), away.alias("a"),
+                    scores.match_result(home, away, scores.label_from_name("name")).alias("r")).collect()
+    got = {r["name"]: (r["h"], r["a"], r["r"]) for r in out}
+    assert got["2 - 1"] == (2, 1, "HOME") and got["0 - 0"] == (0, 0, "DRAW") and got["1 - 3"] == (1, 3, "AWAY")
+    assert got["Any Other Home Win"] == (None, None, "HOME")
+    assert got["Any Other Draw"] == (None, None, "DRAW")
+    assert got["Any unquoted"] == (None, None, None)
+    assert got["x - y"] == (None, None, None)
+
+
+def test_goal_threshold_and_total(spark):
+    df = spark.createDataFrame([("e", "Over 0.5 Goals", True), ("e", "Over 2.5 Goals", True),
+                                ("e", "Over 3.5 Goals", False), ("f", "Over 1.5 Goals", False),
+                                ("g", "Over Any", True)], "ev string, name string, won boolean")
+    out = df.groupBy("ev").agg(scores.total_goals(scores.goal_threshold("name"), F.col("won")).alias("tg"))
+    assert {r["ev"]: r["tg"] for r in out.collect()} == {"e": 3, "f": 0, "g": None}
