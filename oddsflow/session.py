@@ -47,8 +47,9 @@ def apply_required_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when none is configured (local tests) a private folder is created and
-    registered; on a cluster the configured shared folder is always used.
+    Only when none is configured and the master is local (tests, the bench) a
+    private folder is created and registered; on a cluster a missing setting is
+    an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="oddsflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
