@@ -51,17 +51,28 @@ def pivot_levels(df: DataFrame, keys: Sequence[str], level_col: str, values: Seq
     """Long ladder rows -> one row per key with ``{level}_{value}`` columns.
 
     Conditional aggregation in one ``groupBy`` (partial + final): for level k the
-    values of the row with the smallest tiebreak among rows at level k.  Levels
+    values of the row with the smallest tiebreak among rows at level k.  With a
+    single tie-break column the aggregation is hash based (fixed-width
+    buffers); it must then be unique among rows of a key at one level.  Levels
     not listed are ignored; missing levels give NULL.  Same result as
     ``pivot(level, [...]).agg(first(...))`` with a deterministic survivor, but
     without the two-stage pivot aggregation.
     """
     levels = dict(levels or LEVEL_NAMES)
+    cols = [F.col(k) for k in keys]
+    if len(tiebreak) == 1:
+        # One tie-break column: per-value min_by with a primitive ordering keeps
+        # every aggregation buffer fixed-width, so Spark uses hash aggregation.
+        tb1 = F.col(tiebreak[0])
+        aggs = []
+        for k, label in levels.items():
+            at_k = F.when(F.col(level_col) == F.lit(k), tb1)
+            aggs += [F.min_by(F.col(v), at_k).alias(name.format(level=label, value=v)) for v in values]
+        return df.groupBy(*keys).agg(*aggs)
     tb = F.struct(*[F.col(c) for c in tiebreak])
     payload = F.struct(*[F.col(v) for v in values])
     aggs = [F.min_by(payload, F.when(F.col(level_col) == F.lit(k), tb)).alias(f"_lvl{k}") for k in levels]
     out = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in keys]
     for k, label in levels.items():
         cols += [F.col(f"_lvl{k}.{v}").alias(name.format(level=label, value=v)) for v in values]
     return out.select(*cols)

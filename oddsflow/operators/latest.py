@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import salted_join
+from .joins import HOT_KEY_SALT, salted_join
 
 
 def _cols(names: Sequence[str] | str) -> list[str]:
@@ -86,7 +86,7 @@ def state_history(df: DataFrame, keys: Sequence[str], order: str, values: Sequen
 def asof_before(changes: DataFrame, cutoffs: DataFrame, on: Sequence[str], time_col: str,
                 cutoff_col: str, by: Sequence[str], values: Sequence[str], tiebreak: Sequence[str] = (),
                 lag: str | None = None, inclusive: bool = False, carry: Sequence[str] = (),
-                salt: int = 1, time_alias: str | None = None) -> DataFrame:
+                salt: int = HOT_KEY_SALT, time_alias: str | None = None) -> DataFrame:
     """Latest change strictly before (or at, ``inclusive``) each cut-off.
 
     ``changes`` are joined to ``cutoffs`` (one row per ``on`` key, e.g. a market

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scores
 from ..functions.time import epoch_ms_to_ts, minutes_between
+from ..operators.joins import HOT_KEY_SALT
 from ..operators.keys import with_hash_key, with_rank_key
 from ..operators.ladder import explode_ladder, pivot_levels
 from ..operators.latest import any_true_by, asof_before, first_when, latest_state, state_history
@@ -225,7 +226,7 @@ def first_goal_minutes(market: DataFrame, runner: DataFrame) -> DataFrame:
 
 
 def pre_kickoff_prices(price: DataFrame, market: DataFrame, position: int = 1, side: str = "b",
-                       lag: str = "30 SECOND", tiebreak: tuple[str, ...] = (), salt: int = 1) -> DataFrame:
+                       lag: str = "30 SECOND", tiebreak: tuple[str, ...] = (), salt: int = HOT_KEY_SALT) -> DataFrame:
     """P-11e, first half: last back price at least ``lag`` before kick-off per
     (match-odds market, runner), with the volume of that same change."""
     p = price.where((F.col("type") == F.lit(side)) & (F.col("position") == F.lit(position)))
@@ -251,7 +252,7 @@ def outcome_pivot(pre_ko: DataFrame, runner: DataFrame) -> DataFrame:
 
 
 def match_statistics(market: DataFrame, runner: DataFrame, price: DataFrame, position: int = 1,
-                     lag: str = "30 SECOND", tiebreak: tuple[str, ...] = (), salt: int = 1) -> DataFrame:
+                     lag: str = "30 SECOND", tiebreak: tuple[str, ...] = (), salt: int = HOT_KEY_SALT) -> DataFrame:
     """P-11: one wide row per (event, match-odds market)."""
     pk = outcome_pivot(pre_kickoff_prices(price, market, position, lag=lag, tiebreak=tiebreak, salt=salt), runner)
     outcomes = event_outcomes(market, runner)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import date_key, epoch_ms_to_date, minute_offset, time_key
-from ..operators.joins import range_join
+from ..operators.joins import HOT_KEY_SALT, range_join, salted_join
 from ..operators.keys import hash_key
 from ..operators.ladder import carry_forward, pivot_levels
 from ..operators.latest import ordering, top1
@@ -31,8 +31,10 @@ def dim_first_goal(market: DataFrame, runner: DataFrame) -> DataFrame:
     return first_goal_minutes(market, runner)
 
 
-def _before_kickoff(changes: DataFrame, market: DataFrame) -> DataFrame:
-    return changes.join(market.select("market_id", "kick_off"), "market_id")
+def _before_kickoff(changes: DataFrame, market: DataFrame, salt: int = HOT_KEY_SALT) -> DataFrame:
+    """Changes with their market's kick-off; a hot market is salted over ``salt`` tasks."""
+    return salted_join(changes, market.select("market_id", "kick_off"), ["market_id"], salt=salt,
+                       salt_cols=["runner_id", "epoch"])
 
 
 def runner_volumes(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -126,13 +128,15 @@ def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataF
     (see :func:`carry_forward`), so a hot market never lands in one task.
     """
     keys = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type"]
-    wide = pivot_levels(changes, keys, "position", ["odds", "amount"], tiebreak=list(tiebreak) or ["odds", "amount"])
+    # A well-formed ladder has one entry per position in a change, so the odds
+    # identify it; a single numeric tie-break keeps the pivot hash-aggregated.
+    wide = pivot_levels(changes, keys, "position", ["odds", "amount"], tiebreak=list(tiebreak) or ["odds"])
     m = market.select("market_id", "kick_off")
     dr = dim_runner_df.select(F.col("id").alias("runner_key"), "market_id", "runner_id")
-    j = (wide.join(m, "market_id")
-         .withColumn("minute", minute_offset("epoch", "kick_off"))
-         .join(dr, ["market_id", "runner_id"])
-         .drop("kick_off"))
+    salt_by = ["epoch", "type", "hc", "ltp", "tv"]
+    j = salted_join(wide, m, ["market_id"], salt=HOT_KEY_SALT, salt_cols=["runner_id", *salt_by])
+    j = j.withColumn("minute", minute_offset("epoch", "kick_off")).drop("kick_off")
+    j = salted_join(j, dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
     levels = [f"{lvl}_{v}" for lvl in ("first", "second", "third") for v in ("odds", "amount")]
     bucket = F.floor(F.col("epoch") / F.lit(bucket_ms)) if bucket_ms else None
     filled = carry_forward(j, ["market_id", "runner_id", "type"], "epoch", levels,
@@ -150,11 +154,13 @@ def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataF
     The minute window is a range condition on the event equi-join.
     """
     dr = dim_runner_df.where(F.col("market_name").isin(*market_types))
-    f = fact.select("runner_key", "minute", "epoch", "first_odds", "second_odds", "third_odds")
-    j = dr.join(f, dr["id"] == f["runner_key"])
+    f = fact.select(F.col("runner_key").alias("id"), "minute", "epoch", "first_odds", "second_odds", "third_odds")
+    # fact rows are the big side: a hot runner is salted over several tasks
+    j = salted_join(f, dr, ["id"], salt=HOT_KEY_SALT, salt_cols=["epoch", "minute"])
     fg = first_goal.select(F.col("event_id").alias("_fg_event"), "first_goal_minute")
     j = range_join(j.withColumnRenamed("event_id", "_fg_event"), fg, ["_fg_event"], F.col("minute"),
-                   F.col("first_goal_minute") + AFTER_GOAL_FROM, F.col("first_goal_minute") + AFTER_GOAL_TO)
+                   F.col("first_goal_minute") + AFTER_GOAL_FROM, F.col("first_goal_minute") + AFTER_GOAL_TO,
+                   salt=HOT_KEY_SALT, salt_cols=["id", "epoch"])
     j = j.withColumnRenamed("_fg_event", "event_id")
     if stat == "avg":
         agg = [F.avg(c).alias(c) for c in ("first_odds", "second_odds", "third_odds")]

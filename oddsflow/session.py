@@ -8,13 +8,17 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job assumes: UTC so that date/time keys do not depend on the
-# machine, AQE for runtime re-planning (coalescing, skew splits, broadcast by
-# measured size), and no web UI.
+# machine, and AQE for runtime re-planning: coalescing, broadcast by measured
+# size, and skew-join splits.  `forceOptimizeSkewedJoin` lets AQE split a hot
+# join partition (say one market holding a third of all changes) even when the
+# split needs an extra shuffle before the aggregation that follows; the partial
+# aggregate then runs in the split tasks, before that shuffle.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
