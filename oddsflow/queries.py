@@ -19,6 +19,7 @@ from .operators.ladder import carry_forward, explode_ladder, pivot_levels
 from .operators.latest import any_true_by, asof_before, first_when, latest_state, state_history, top1
 from .operators.project import snake_case_columns
 from .plans import clean, present
+from .session import checkpoint_dir
 from .sinks.tables import sort_key, sorted_layout
 from .sources.feed import dedupe_with_lineage
 
@@ -532,6 +533,10 @@ _FACT_COLS = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type", "fir
 
 def _fact(spark, d):
     m, r, chg, dr = _star(spark, d)
+    # dim_runner feeds the fact and the first-goal facts; in the pipeline it is a
+    # stored table, here it is materialised once in the checkpoint folder.
+    checkpoint_dir(spark)
+    dr = dr.checkpoint()
     fact = present.fact_runner_odds(chg, m, dr, bucket_ms=3600000)
     return m, r, dr, fact
 
