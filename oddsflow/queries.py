@@ -531,12 +531,13 @@ _FACT_COLS = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type", "fir
               "third_odds", "first_amount", "second_amount", "third_amount", "minute"]
 
 
-def _fact(spark, d):
+def _fact(spark, d, reuse_dim: bool = False):
     m, r, chg, dr = _star(spark, d)
-    # dim_runner feeds the fact and the first-goal facts; in the pipeline it is a
-    # stored table, here it is materialised once in the checkpoint folder.
-    checkpoint_dir(spark)
-    dr = dr.checkpoint()
+    if reuse_dim:
+        # dim_runner feeds the fact and the first-goal fact; in the pipeline it
+        # is a stored table, here it is materialised once in the checkpoint folder.
+        checkpoint_dir(spark)
+        dr = dr.checkpoint()
     fact = present.fact_runner_odds(chg, m, dr, bucket_ms=3600000)
     return m, r, dr, fact
 
@@ -576,7 +577,7 @@ _STAND_IN_OU_TYPES = ("OVER_UNDER_05", "OVER_UNDER_25")
 
 
 def _first_goal_query(spark, d, types, stat):
-    m, r, dr, fact = _fact(spark, d)
+    m, r, dr, fact = _fact(spark, d, reuse_dim=True)
     out = present.first_goal_fact(dr, fact, clean.first_goal_minutes(m, r), types, stat=stat)
     # compared at 6 decimals: the two engines may add doubles in another order
     return out.withColumns({c: F.round(c, 6) for c in ("first_odds", "second_odds", "third_odds")}).select(

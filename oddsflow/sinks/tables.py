@@ -59,3 +59,11 @@ def rewrite_sorted(df: DataFrame, path: str, keys: Sequence[Column], partitions:
     """Write ``df`` in sorted layout to a new ``path`` (the caller swaps it in)."""
     sorted_layout(df, keys, partitions).write.format(fmt).mode("errorifexists").save(path)
     return path
+
+
+def read_or_create(spark: SparkSession, name: str, build, mode: WriteMode | str = WriteMode.REPLACE) -> DataFrame:
+    """The table ``name``; built with ``build()`` and saved first if it is missing
+    (SRC-10, e.g. the flattened market definitions)."""
+    if not spark.catalog.tableExists(name):
+        save_table(spark, build(), name, mode)
+    return spark.read.table(name)

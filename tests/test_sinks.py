@@ -38,3 +38,29 @@ def test_sorted_layout_and_rewrite(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="oddsflow-sorted-"), "t")
     rewrite_sorted(df, path, [sort_key("m"), sort_key("epoch")], partitions=3)
     assert spark.read.parquet(path).count() == 1000
+
+
+def test_read_or_create_builds_once(spark):
+    from oddsflow.sinks.tables import read_or_create
+
+    ensure_namespace(spark, "oddsflow_test")
+    name = "oddsflow_test.t_flat"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.createDataFrame([(1,)], "id long")
+
+    assert read_or_create(spark, name, build).count() == 1
+    assert read_or_create(spark, name, build).count() == 1
+    assert len(calls) == 1
+    spark.catalog.setCurrentDatabase("default")
+
+
+def test_observed_count(spark):
+    from oddsflow.plans.clean import observed_count
+
+    df, obs = observed_count(spark.range(0, 123), "rows_seen")
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 123
