@@ -41,7 +41,9 @@ def flattened_definitions(raw: DataFrame) -> DataFrame:
 def event_dim(raw: DataFrame) -> DataFrame:
     """P-3: one row per event with its latest name, country and regulators."""
     d = definitions(raw)
-    latest = latest_state(d, ["eventId"], "pt", ["eventName", "countryCode", "regulators"], tiebreak=["version"])
+    # several markets of one event can change at the same pt: market id breaks the tie
+    latest = latest_state(d, ["eventId"], "pt", ["eventName", "countryCode", "regulators"],
+                          tiebreak=["version", "id"])
     return latest.select(
         F.col("eventId").try_cast("int").alias("id"),
         F.col("eventName").alias("name"),
@@ -53,7 +55,8 @@ def event_dim(raw: DataFrame) -> DataFrame:
 def event_history(raw: DataFrame) -> DataFrame:
     """P-3, history form: every distinct running state of an event and since when."""
     d = definitions(raw)
-    hist = state_history(d, ["eventId"], "pt", ["eventName", "countryCode", "regulators"], tiebreak=["version"])
+    hist = state_history(d, ["eventId"], "pt", ["eventName", "countryCode", "regulators"],
+                         tiebreak=["version", "id"])
     return hist.select(
         F.col("eventId").try_cast("int").alias("id"),
         F.col("eventName").alias("name"),

@@ -21,7 +21,7 @@ from .operators.project import snake_case_columns
 from .plans import clean, present
 from .session import checkpoint_dir
 from .sinks.tables import sort_key, sorted_layout
-from .sources.feed import dedupe_with_lineage
+from .sources.feed import dedupe_changes, dedupe_with_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -651,3 +651,95 @@ def q_snapshot_diff(spark, d):
 def q_sorted_rewrite(spark, d):
     li = _t(spark, d, "lineitem")
     return sorted_layout(li, [sort_key("l_orderkey"), sort_key("l_suppkey"), sort_key("l_shipdate", descending=True)])
+
+
+# ---------------------------------------------------------------------------
+# clean-layer plans on a nested feed derived from orders / lineitem
+# ---------------------------------------------------------------------------
+
+_RAW: dict[tuple[str, str], DataFrame] = {}
+
+
+def _raw(spark, d):
+    """The raw table.  In the pipeline the ingest job writes it once and every
+    clean job reads it; here it is materialised once per session in the
+    checkpoint folder and shared by the q_feed_* queries."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RAW:
+        checkpoint_dir(spark)
+        _RAW[key] = dedupe_changes(S.feed_changes(spark, d)).checkpoint()
+    return _RAW[key]
+
+
+_ORD = "(pt, version)"
+
+
+@register("q_feed_market_state", S.with_sql(S.DEFS_SQL) + f"""
+SELECT id AS market_id, arg_max_null(name, {_ORD}) AS market_name, arg_max_null(market_type, {_ORD}) AS market_type,
+       TRY_CAST(arg_max_null(event_id_text, {_ORD}) AS INTEGER) AS event_id,
+       arg_max_null(event_name, {_ORD}) AS event_name, arg_max_null(country_code, {_ORD}) AS country_code,
+       epoch_ms(max(open_ms)) AS scheduled_time, epoch_ms(max(start_ms)) AS start_time,
+       epoch_ms(max(settled_ms)) AS settled_time, epoch_ms(min(pt) FILTER (WHERE in_play)) AS kick_off,
+       CAST(1 AS BIGINT) AS num_winners, arg_max_null(file, {_ORD}) AS source_files
+FROM defs GROUP BY id
+""")
+def q_feed_market_state(spark, d):
+    m = clean.market_state(_raw(spark, d))
+    ts = ["scheduled_time", "start_time", "settled_time", "kick_off"]
+    return m.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts}).select(
+        "market_id", "market_name", "market_type", "event_id", "event_name", "country_code", *ts, "num_winners",
+        F.array_join("source_file_names", ",").alias("source_files"))
+
+
+@register("q_feed_event", S.with_sql(S.DEFS_SQL) + """
+SELECT TRY_CAST(event_id_text AS INTEGER) AS id, arg_max_null(event_name, (pt, version, id)) AS name,
+       arg_max_null(country_code, (pt, version, id)) AS country_code,
+       array_to_string(arg_max_null(regulators, (pt, version, id)), ',') AS regulators
+FROM defs GROUP BY event_id_text
+""")
+def q_feed_event(spark, d):
+    e = clean.event_dim(_raw(spark, d))
+    return e.select("id", "name", "country_code", F.array_join("regulators", ",").alias("regulators"))
+
+
+@register("q_feed_market_change", S.with_sql(S.DEFS_SQL) + """
+SELECT id AS market_id, pt AS epoch, epoch_ms(pt) AS timestamp, CAST(version AS BIGINT) AS bet_delay,
+       'ODDS' AS betting_type, in_play, 5.0 AS base_rate, """ + S._iso_sql("open_ms") + """ AS open_date,
+       status, CAST(version AS BIGINT) AS version
+FROM defs
+""")
+def q_feed_market_change(spark, d):
+    mc = clean.market_changes(_raw(spark, d))
+    return mc.select("market_id", "epoch", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "bet_delay",
+                     "betting_type", "in_play", "base_rate", "open_date", "status", "version")
+
+
+@register("q_feed_market_runner", S.with_sql(S.DEFS_SQL, S.DEF_RUNNERS_SQL) + """
+SELECT DISTINCT market_id, runner_id,
+       bool_or(status = 'WINNER') OVER (PARTITION BY market_id, runner_id) AS winner, sort_priority
+FROM def_runners
+""")
+def q_feed_market_runner(spark, d):
+    return clean.market_runners(_raw(spark, d))
+
+
+@register("q_feed_runners", S.with_sql(S.DEFS_SQL, S.DEF_RUNNERS_SQL) + """
+SELECT market_id, market_name, runner_id, runner_name,
+       arg_max_null(status, (pt, version)) AS status, arg_max_null(sort_priority, (pt, version)) AS sort_priority
+FROM def_runners GROUP BY market_id, market_name, runner_id, runner_name
+""")
+def q_feed_runners(spark, d):
+    return clean.runners(_raw(spark, d))
+
+
+_FEED_SINCE = "1998-01-01"
+
+
+@register("q_feed_prices", S.with_sql(S.PRICE_SQL) + f"""
+SELECT DISTINCT epoch, timestamp, CAST(market_id AS VARCHAR) AS market_id, runner_id, handicap, position, odds,
+       amount, type, total_volume
+FROM price WHERE epoch >= epoch_ms(TIMESTAMP '{_FEED_SINCE} 00:00:00')
+""")
+def q_feed_prices(spark, d):
+    p = clean.prices(_raw(spark, d), since=_FEED_SINCE)
+    return p.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))

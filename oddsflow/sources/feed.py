@@ -64,6 +64,26 @@ def dedupe_with_lineage(df: DataFrame, keys: list[str], file_col: str,
     return df.groupBy(*keys).agg(F.array_sort(F.collect_set(file_col)).alias(out))
 
 
+def explode_changes(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
+    """One row per market change of each message: pt, timestamp, mc, _file."""
+    return feed.select(
+        "pt",
+        epoch_ms_to_ts("pt").alias("timestamp"),
+        F.explode("mc").alias("mc"),
+        F.col(lineage).alias("_file"),
+    )
+
+
+def dedupe_changes(changes: DataFrame) -> DataFrame:
+    """One row per distinct (pt, mc) with the sorted files it was seen in.
+
+    ``timestamp`` is a function of ``pt``, so it is left out of the (already
+    wide) grouping key and derived again after the aggregation.
+    """
+    out = dedupe_with_lineage(changes, ["pt", "mc"], "_file")
+    return out.select("pt", epoch_ms_to_ts("pt").alias("timestamp"), "mc", "source_file_names")
+
+
 def ingest(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
     """Explode market changes and keep one row per distinct change.
 
@@ -71,13 +91,7 @@ def ingest(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
     ``source_file_names`` lists the distinct files, sorted.  Aggregation is
     partial: copies inside one task are merged before the shuffle.
     """
-    changes = feed.select(
-        "pt",
-        epoch_ms_to_ts("pt").alias("timestamp"),
-        F.explode("mc").alias("mc"),
-        F.col(lineage).alias("_file"),
-    )
-    return dedupe_with_lineage(changes, ["pt", "timestamp", "mc"], "_file")
+    return dedupe_changes(explode_changes(feed, lineage))
 
 
 def definitions(raw: DataFrame, extra: list[str | Column] | None = None) -> DataFrame:

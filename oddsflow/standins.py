@@ -213,3 +213,122 @@ def with_sql(*ctes: str) -> str:
 
 
 DOMAIN_SQL = [MARKET_SQL, RUNNER_SQL, PRICE_SQL]
+
+
+# ---------------------------------------------------------------------------
+# A nested feed derived from the same tables, in the exact feed schema, so the
+# clean-layer plans run on whole tables.  Per order: definition versions 1
+# (an hour before kick-off, not in play), 2 (kick-off, in play; absent while
+# o_orderstatus = 'P') and 3 (settled o_orderkey % 120 + 1 minutes after
+# kick-off, winner = runner o_orderkey % 3 + 1).  Per line and tick: one
+# runner change with a one-level ladder on its side.  Files are per event.
+# ---------------------------------------------------------------------------
+
+def _iso(ms: Column) -> Column:
+    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def _struct_of(dtype, values: dict) -> Column:
+    """Struct of ``dtype`` with the given fields, typed NULL for the others."""
+    return F.struct(*[(values[f.name] if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in dtype.fields])
+
+
+def feed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows shaped like :func:`oddsflow.sources.feed.explode_changes` output
+    (pt, timestamp, mc, _file): one market change per row."""
+    from .sources.feed import FEED_SCHEMA
+
+    schema = spark.createDataFrame([], FEED_SCHEMA).schema
+    mc_type = schema["mc"].dataType.elementType
+    def_type = mc_type["marketDefinition"].dataType
+    runner_type = def_type["runners"].dataType.elementType
+    rc_type = mc_type["rc"].dataType.elementType
+
+    o = read(spark, sf_dir, "orders")
+    ko = ts_millis("o_orderdate")
+    settle = ko + ((F.col("o_orderkey") % 120) + 1) * F.lit(60000)
+    versions = o.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("version")).where(
+        ~((F.col("version") == 2) & (F.col("o_orderstatus") == "P")))
+    v = F.col("version")
+    pt = F.when(v == 1, ko - F.lit(3600000)).when(v == 2, ko).otherwise(settle)
+    closed = v == 3
+    winner_rid = F.col("o_orderkey") % 3 + 1
+
+    def runner(rid: int) -> Column:
+        name = _runner_name_col_for(F.col("o_orderkey"), F.lit(rid).cast("bigint"))
+        status = F.when(~closed, F.lit("ACTIVE")).when(winner_rid == rid, F.lit("WINNER")).otherwise(F.lit("LOSER"))
+        return _struct_of(runner_type, {"hc": F.lit(0.0), "id": F.lit(rid), "name": name, "sortPriority": F.lit(rid),
+                                        "status": status})
+
+    definition = _struct_of(def_type, {
+        "betDelay": v, "bettingType": F.lit("ODDS"), "countryCode": F.col("o_orderstatus"),
+        "eventId": F.col("o_custkey").cast("string"),
+        "eventName": F.concat(F.lit("event "), F.col("o_custkey").cast("string")),
+        "inPlay": v >= 2, "marketBaseRate": F.lit(5.0), "marketTime": _iso(ko),
+        "marketType": _market_type_col(),
+        "name": F.concat(F.lit("market "), F.col("o_orderkey").cast("string"), F.when(v == 1, F.lit(" pre"))
+                         .otherwise(F.lit(""))),
+        "numberOfActiveRunners": F.lit(3), "numberOfWinners": F.lit(1), "openDate": _iso(ko),
+        "regulators": F.array(F.concat(F.lit("R"), (F.col("o_custkey") % 3).cast("string"))),
+        "runners": F.array(runner(1), runner(2), runner(3)),
+        "settledTime": F.when(closed, _iso(settle)),
+        "status": F.when(closed, F.lit("CLOSED")).otherwise(F.lit("OPEN")),
+        "version": v,
+    })
+    defs = versions.select(
+        pt.alias("pt"),
+        _struct_of(mc_type, {"id": F.col("o_orderkey").cast("string"), "marketDefinition": definition}).alias("mc"),
+        F.concat(F.lit("feed/"), F.col("o_custkey").cast("string"), F.lit(".bz2")).alias("_file"))
+
+    p = price(spark, sf_dir)
+    cust = o.select(F.col("o_orderkey").alias("market_id"), "o_custkey")
+    entry = F.array(F.array(F.col("position").cast("double"), F.col("odds"), F.col("amount")))
+    change = _struct_of(rc_type, {
+        "batb": F.when(F.col("type") == "b", entry), "batl": F.when(F.col("type") == "l", entry),
+        "hc": F.col("handicap"), "id": F.col("runner_id"), "ltp": F.col("ltp"), "tv": F.col("total_volume")})
+    rcs = p.join(cust, "market_id").select(
+        F.col("epoch").alias("pt"),
+        _struct_of(mc_type, {"id": F.col("market_id").cast("string"), "rc": F.array(change)}).alias("mc"),
+        F.concat(F.lit("feed/"), F.col("o_custkey").cast("string"), F.lit(".bz2")).alias("_file"))
+    both = defs.unionByName(rcs)
+    return both.select("pt", F.timestamp_millis("pt").alias("timestamp"), "mc", "_file")
+
+
+def _runner_name_col_for(o: Column, r: Column) -> Column:
+    k = (o + r) % len(RUNNER_NAME_RULES)
+    expr = None
+    for i, (build, _) in enumerate(RUNNER_NAME_RULES):
+        expr = F.when(k == i, build(o, r)) if expr is None else expr.when(k == i, build(o, r))
+    return expr
+
+
+def _iso_sql(ms: str) -> str:
+    return f"strftime(epoch_ms({ms}), '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
+
+
+# Flat definition rows (what `definitions(raw)` yields), one per order and version.
+DEFS_SQL = f"""defs AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey, o_custkey, version, pt,
+         version >= 2 AS in_play, o_orderstatus AS country_code,
+         CAST(o_custkey AS VARCHAR) AS event_id_text, 'event ' || CAST(o_custkey AS VARCHAR) AS event_name,
+         {_market_type_sql()} AS market_type,
+         'market ' || CAST(o_orderkey AS VARCHAR) || CASE WHEN version = 1 THEN ' pre' ELSE '' END AS name,
+         ko AS open_ms, ko AS start_ms, CASE WHEN version = 3 THEN pt END AS settled_ms,
+         CASE WHEN version = 3 THEN 'CLOSED' ELSE 'OPEN' END AS status,
+         ['R' || CAST(o_custkey % 3 AS VARCHAR)] AS regulators,
+         'feed/' || CAST(o_custkey AS VARCHAR) || '.bz2' AS file
+  FROM (
+    SELECT *, CASE version WHEN 1 THEN ko - 3600000 WHEN 2 THEN ko ELSE settle END AS pt
+    FROM (SELECT *, epoch_ms(o_orderdate) AS ko, epoch_ms(o_orderdate) + (o_orderkey % 120 + 1) * 60000 AS settle,
+                 unnest([1, 2, 3]) AS version FROM orders)
+    WHERE NOT (version = 2 AND o_orderstatus = 'P')))"""
+
+# Flat runner rows of the definitions.
+DEF_RUNNERS_SQL = f"""def_runners AS (
+  SELECT id AS market_id, name AS market_name, pt, version, runner_id,
+         {_runner_name_sql().replace('l_orderkey', 'o_orderkey')} AS runner_name,
+         runner_id AS sort_priority,
+         CASE WHEN version < 3 THEN 'ACTIVE' WHEN runner_id = o_orderkey % 3 + 1 THEN 'WINNER' ELSE 'LOSER' END
+           AS status
+  FROM (SELECT *, CAST(unnest([1, 2, 3]) AS BIGINT) AS runner_id FROM defs))"""
