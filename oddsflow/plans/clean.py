@@ -116,9 +116,9 @@ def market_changes(raw: DataFrame) -> DataFrame:
 
 
 def _runner_rows(raw: DataFrame) -> DataFrame:
-    d = definitions(raw)
-    return d.select(F.col("id").alias("market_id"), F.col("name").alias("market_name"), "pt", "version",
-                    F.inline("runners"))
+    d = definitions(raw).select(F.col("id").alias("market_id"), F.col("name").alias("market_name"), "pt",
+                                "version", F.col("runners").alias("_runners"))
+    return d.select("market_id", "market_name", "pt", "version", F.inline("_runners"))
 
 
 def market_runners(raw: DataFrame) -> DataFrame:
@@ -149,9 +149,12 @@ def runners(raw: DataFrame) -> DataFrame:
 
 
 def _runner_change_rows(raw: DataFrame) -> DataFrame:
-    return (raw.where(F.col("mc.rc").isNotNull())
-            .select(F.col("mc.id").alias("market_id"), F.col("pt").alias("epoch"), "timestamp",
-                    F.inline("mc.rc")))
+    # Project the nested fields first: the scan then reads mc.id and mc.rc only
+    # (nested pruning does not look through a generator's input).
+    rc = (raw.where(F.col("mc.rc").isNotNull())
+          .select(F.col("mc.id").alias("market_id"), F.col("pt").alias("epoch"), "timestamp",
+                  F.col("mc.rc").alias("_rc")))
+    return rc.select("market_id", "epoch", "timestamp", F.inline("_rc"))
 
 
 def runner_changes(raw: DataFrame) -> DataFrame:
