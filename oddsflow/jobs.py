@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .functions.time import calendar_dim, clock_dim
 from .plans import clean, present
 from .sinks.tables import WriteMode, ensure_namespace, save_table, sorted_layout
-from .sources.feed import ingest, read_feed
+from .sources.feed import ingest, ingest_counted, read_feed
 
 # Layout sort keys of the tables that get a sorted rewrite.
 SORT_KEYS = {
@@ -53,11 +53,25 @@ def new_changes(spark: SparkSession, fresh: DataFrame, raw_table: str) -> DataFr
     return fresh.join(stored, ["pt", "mc"], "left_anti")
 
 
-def load_raw(spark: SparkSession, path: str, namespace: str) -> DataFrame:
-    """P-1: read the landing files, de-duplicate, append what is new to <ns>.raw."""
+def load_raw(spark: SparkSession, path: str, namespace: str, lineage_table: bool = False) -> DataFrame:
+    """P-1: read the landing files, de-duplicate, append what is new to <ns>.raw.
+
+    With ``lineage_table`` the raw rows carry ``n_files``/``first_file`` and the
+    file lineage goes to ``<ns>.raw_lineage`` as (change_key, file) rows, so no
+    change's file list is ever collected into one value.
+    """
     ensure_namespace(spark, namespace)
     name = _t(namespace, "raw")
-    fresh = ingest(read_feed(spark, path))
+    feed = read_feed(spark, path)
+    if lineage_table:
+        fresh, lineage = ingest_counted(feed)
+        lin_name = _t(namespace, "raw_lineage")
+        if spark.catalog.tableExists(lin_name):
+            lineage = lineage.join(spark.read.table(lin_name).select("change_key", "file"),
+                                   ["change_key", "file"], "left_anti")
+        save_table(spark, lineage, lin_name, WriteMode.APPEND)
+    else:
+        fresh = ingest(feed)
     save_table(spark, new_changes(spark, fresh, name), name, WriteMode.APPEND)
     return spark.read.table(name)
 

@@ -94,6 +94,29 @@ def ingest(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
     return dedupe_changes(explode_changes(feed, lineage))
 
 
+def change_key(pt: Column | str = "pt", mc: Column | str = "mc") -> Column:
+    """64-bit key of a change, used only to link the long lineage table."""
+    return F.xxhash64(F.col(pt) if isinstance(pt, str) else pt, F.col(mc) if isinstance(mc, str) else mc)
+
+
+def ingest_counted(feed: DataFrame, lineage: str = "source_file_name") -> tuple[DataFrame, DataFrame]:
+    """:func:`ingest` without collecting file names into arrays.
+
+    Returns ``(raw, lineage)``: ``raw`` has one row per distinct change with
+    ``n_files`` (distinct files carrying it), ``first_file`` and ``change_key``;
+    ``lineage`` has one row per distinct (change_key, file).  Both are plain
+    aggregations, so a change copied into any number of files never becomes one
+    large value in one task.
+    """
+    changes = explode_changes(feed, lineage)
+    per_file = changes.groupBy("pt", "mc", "_file").agg(F.lit(1).alias("_one")).drop("_one")
+    raw = per_file.groupBy("pt", "mc").agg(F.count(F.lit(1)).alias("n_files"), F.min("_file").alias("first_file"))
+    raw = raw.select("pt", epoch_ms_to_ts("pt").alias("timestamp"), "mc", "n_files", "first_file",
+                     change_key().alias("change_key"))
+    lineage_df = changes.select(change_key().alias("change_key"), F.col("_file").alias("file")).distinct()
+    return raw, lineage_df
+
+
 def definitions(raw: DataFrame, extra: list[str | Column] | None = None) -> DataFrame:
     """Changes that carry a market definition, with the definition expanded."""
     extra = extra or []

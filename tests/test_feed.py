@@ -150,3 +150,17 @@ def test_first_goal_facts(raw):
 def test_flattened_definitions(raw):
     d = clean.flattened_definitions(raw)
     assert d.count() == 15 and {"id", "pt", "marketType", "runners"} <= set(d.columns)
+
+
+def test_ingest_counted_matches_array_lineage(spark, feed_dir, raw):
+    from oddsflow.sources.feed import ingest_counted, read_feed
+
+    counted, lineage = ingest_counted(read_feed(spark, feed_dir))
+    assert counted.count() == raw.count() == 20
+    arr = {(r["pt"], r["mc"]["id"], len(r["source_file_names"]), r["source_file_names"][0])
+           for r in raw.collect()}
+    cnt = {(r["pt"], r["mc"]["id"], r["n_files"], r["first_file"]) for r in counted.collect()}
+    assert arr == cnt
+    assert lineage.count() == sum(len(r["source_file_names"]) for r in raw.collect())
+    linked = counted.join(lineage, "change_key").groupBy("change_key").count()
+    assert sorted(r["count"] for r in linked.collect()) == sorted(r["n_files"] for r in counted.collect())

@@ -35,3 +35,15 @@ def test_jobs_end_to_end(spark, feed_dir):
     jobs.rewrite_sorted_table(spark, f"{ns}.fact_runner_odds")
     assert t("fact_runner_odds").count() > 0
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_load_raw_with_lineage_table(spark, feed_dir):
+    ns = "oddsflow_jobs_lin"
+    spark.sql(f"DROP DATABASE IF EXISTS {ns} CASCADE")
+    raw = jobs.load_raw(spark, feed_dir, ns, lineage_table=True)
+    assert raw.count() == 20 and "n_files" in raw.columns
+    lin = spark.read.table(f"{ns}.raw_lineage")
+    assert lin.count() == 21
+    jobs.load_raw(spark, feed_dir, ns, lineage_table=True)
+    assert spark.read.table(f"{ns}.raw").count() == 20 and spark.read.table(f"{ns}.raw_lineage").count() == 21
+    spark.catalog.setCurrentDatabase("default")
