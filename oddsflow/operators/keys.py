@@ -13,6 +13,16 @@ def hash_key(cols: Sequence[str | Column]) -> Column:
     return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
+def surrogate_key(df: DataFrame, natural_key: Sequence[str], name: str = "id", method: str = "hash") -> DataFrame:
+    """Distinct rows of ``df`` with a key column: ``hash`` (any size, no shuffle
+    beyond the distinct) or ``rank`` (dense 1..n, bounded catalogues only)."""
+    if method == "rank":
+        if len(natural_key) != 1:
+            raise ValueError("rank keys take one column")
+        return with_rank_key(df, natural_key[0], name)
+    return with_hash_key(df, natural_key, name)
+
+
 def with_hash_key(df: DataFrame, natural_key: Sequence[str], name: str = "id") -> DataFrame:
     """Distinct rows first, then a hash of the natural key (a no-shuffle key)."""
     return df.distinct().withColumn(name, hash_key(natural_key))

@@ -71,3 +71,14 @@ def test_goal_threshold_and_total(spark):
                                 ("g", "Over Any", True)], "ev string, name string, won boolean")
     out = df.groupBy("ev").agg(scores.total_goals(scores.goal_threshold("name"), F.col("won")).alias("tg"))
     assert {r["ev"]: r["tg"] for r in out.collect()} == {"e": 3, "f": 0, "g": None}
+
+
+def test_parse_score_and_surrogate_key(spark):
+    from oddsflow.operators.keys import surrogate_key
+
+    df = spark.createDataFrame([("3 - 0",), ("Any unquoted",)], "name string")
+    got = {r["name"]: (r["s"]["home"], r["s"]["away"]) for r in df.select("name", scores.parse_score("name").alias("s")).collect()}
+    assert got == {"3 - 0": (3, 0), "Any unquoted": (None, None)}
+    t = spark.createDataFrame([("A",), ("B",), ("A",)], "type string")
+    assert sorted(r["id"] for r in surrogate_key(t, ["type"], method="rank").collect()) == [1, 2]
+    assert surrogate_key(t, ["type"]).count() == 2
