@@ -531,8 +531,13 @@ _FACT_COLS = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type", "fir
               "third_odds", "first_amount", "second_amount", "third_amount", "minute"]
 
 
-def _fact(spark, d, reuse_dim: bool = False):
+def _fact(spark, d, reuse_dim: bool = False, market_types: tuple[str, ...] | None = None):
     m, r, chg, dr = _star(spark, d)
+    if market_types:
+        # The first-goal facts read only runners of these market types; the
+        # carry-forward is per (market, runner, side), so building the fact for
+        # those runners alone gives the same rows for them.
+        dr = dr.where(F.col("market_name").isin(*market_types))
     if reuse_dim:
         # dim_runner feeds the fact and the first-goal fact; in the pipeline it
         # is a stored table, here it is materialised once in the checkpoint folder.
@@ -551,8 +556,10 @@ def q_runner_odds_fact(spark, d):
 
 def _first_goal_fact_sql(types: tuple[str, ...], stat: str) -> str:
     in_list = ", ".join(f"'{t}'" for t in types)
-    agg = "avg({c})" if stat == "avg" else "quantile_disc({c}, 0.5)"
-    stats = ", ".join(f"round({agg.format(c='f.' + c)}, 6) AS {c}" for c in ("first_odds", "second_odds", "third_odds"))
+    # averages compared at 6 decimals (the engines may add doubles in another
+    # order); a median is one of the values, compared as it is
+    agg = "round(avg({c}), 6)" if stat == "avg" else "quantile_disc({c}, 0.5)"
+    stats = ", ".join(f"{agg.format(c='f.' + c)} AS {c}" for c in ("first_odds", "second_odds", "third_odds"))
     return (S.with_sql(*_STAR_CTES, _WIDE_SQL, _FACT_SQL, _FG_SQL) + f"""
 SELECT r.event_id, r.event_name, r.market_id, r.market_name, r.runner_id, r.name,
        CAST(epoch_ms(min(f.epoch)) AS DATE) AS timestamp,
@@ -577,11 +584,12 @@ _STAND_IN_OU_TYPES = ("OVER_UNDER_05", "OVER_UNDER_25")
 
 
 def _first_goal_query(spark, d, types, stat):
-    m, r, dr, fact = _fact(spark, d, reuse_dim=True)
+    m, r, dr, fact = _fact(spark, d, reuse_dim=True, market_types=types)
     out = present.first_goal_fact(dr, fact, clean.first_goal_minutes(m, r), types, stat=stat)
-    # compared at 6 decimals: the two engines may add doubles in another order
-    return out.withColumns({c: F.round(c, 6) for c in ("first_odds", "second_odds", "third_odds")}).select(
-        *_FG_FACT_COLS)
+    if stat == "avg":
+        # compared at 6 decimals: the two engines may add doubles in another order
+        out = out.withColumns({c: F.round(c, 6) for c in ("first_odds", "second_odds", "third_odds")})
+    return out.select(*_FG_FACT_COLS)
 
 
 @register("q_range_avg", _first_goal_fact_sql(present.MATCH_ODDS_TYPES, "avg"))
