@@ -17,7 +17,7 @@ from ..operators.joins import HOT_KEY_SALT, range_join, salted_join
 from ..operators.keys import hash_key
 from ..operators.ladder import carry_forward, pivot_levels
 from ..operators.latest import ordering, top1
-from .clean import OVER_UNDER_05, first_goal_minutes
+from .clean import first_goal_minutes
 
 # Market types of the two first-goal facts.
 MATCH_ODDS_TYPES = ("MATCH_ODDS",)
@@ -177,5 +177,5 @@ def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataF
 
 __all__ = [
     "dim_first_goal", "runner_volumes", "kickoff_odds", "dim_runner", "fact_runner_odds", "first_goal_fact",
-    "MATCH_ODDS_TYPES", "OVER_UNDER_TYPES", "OVER_UNDER_05",
+    "MATCH_ODDS_TYPES", "OVER_UNDER_TYPES",
 ]

@@ -712,7 +712,7 @@ def q_feed_event(spark, d):
 
 @register("q_feed_market_change", S.with_sql(S.DEFS_SQL) + """
 SELECT id AS market_id, pt AS epoch, epoch_ms(pt) AS timestamp, CAST(version AS BIGINT) AS bet_delay,
-       'ODDS' AS betting_type, in_play, 5.0 AS base_rate, """ + S._iso_sql("open_ms") + """ AS open_date,
+       'ODDS' AS betting_type, in_play, CAST(5.0 AS DOUBLE) AS base_rate, """ + S._iso_sql("open_ms") + """ AS open_date,
        status, CAST(version AS BIGINT) AS version
 FROM defs
 """)
