@@ -56,7 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     an error, never a machine-local folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+               or spark.conf.get("spark.checkpoint.dir", None))
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
