@@ -31,6 +31,9 @@ ANY_UNQUOTED = "Any unquoted"
 WINNER = "WINNER"
 # Fixed value: the price table starts here.
 PRICE_SINCE = "2025-01-01"
+# Changes of one runner at the same time: traded volume never decreases, so the
+# higher volume is the later change; odds settle the rest.
+SAME_TIME_ORDER = ("total_volume", "odds")
 
 
 def flattened_definitions(raw: DataFrame) -> DataFrame:
@@ -232,7 +235,8 @@ def first_goal_minutes(market: DataFrame, runner: DataFrame) -> DataFrame:
 
 
 def pre_kickoff_prices(price: DataFrame, market: DataFrame, position: int = 1, side: str = "b",
-                       lag: str = "30 SECOND", tiebreak: tuple[str, ...] = (), salt: int = HOT_KEY_SALT) -> DataFrame:
+                       lag: str = "30 SECOND", tiebreak: tuple[str, ...] = SAME_TIME_ORDER,
+                       salt: int = HOT_KEY_SALT) -> DataFrame:
     """P-11e, first half: last back price at least ``lag`` before kick-off per
     (match-odds market, runner), with the volume of that same change."""
     p = price.where((F.col("type") == F.lit(side)) & (F.col("position") == F.lit(position)))
@@ -258,7 +262,8 @@ def outcome_pivot(pre_ko: DataFrame, runner: DataFrame) -> DataFrame:
 
 
 def match_statistics(market: DataFrame, runner: DataFrame, price: DataFrame, position: int = 1,
-                     lag: str = "30 SECOND", tiebreak: tuple[str, ...] = (), salt: int = HOT_KEY_SALT) -> DataFrame:
+                     lag: str = "30 SECOND", tiebreak: tuple[str, ...] = SAME_TIME_ORDER,
+                     salt: int = HOT_KEY_SALT) -> DataFrame:
     """P-11: one wide row per (event, match-odds market)."""
     pk = outcome_pivot(pre_kickoff_prices(price, market, position, lag=lag, tiebreak=tiebreak, salt=salt), runner)
     outcomes = event_outcomes(market, runner)

@@ -24,6 +24,9 @@ MATCH_ODDS_TYPES = ("MATCH_ODDS",)
 OVER_UNDER_TYPES = ("OVER_UNDER_15", "OVER_UNDER_25")
 # The window after the first goal, in minutes (inclusive).
 AFTER_GOAL_FROM, AFTER_GOAL_TO = 2, 5
+# Changes of one runner at the same epoch: the higher traded volume is the later
+# one (volume never decreases).  Rows of one change then go best level first.
+SAME_EPOCH_ORDER = ("tv",)
 
 
 def dim_first_goal(market: DataFrame, runner: DataFrame) -> DataFrame:
@@ -37,7 +40,7 @@ def _before_kickoff(changes: DataFrame, market: DataFrame, salt: int = HOT_KEY_S
                        salt_cols=["runner_id", "epoch"])
 
 
-def runner_volumes(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+def runner_volumes(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str] = SAME_EPOCH_ORDER) -> DataFrame:
     """P-15a: per (market, runner) with a change before kick-off: traded volume
     at the last change before kick-off and at the last change overall."""
     return _runner_stats(changes, market, tiebreak, with_odds=False)
@@ -57,7 +60,7 @@ def _runner_stats(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str]
     ]
     if with_odds:
         # best level first among rows of the same change: position ascending
-        last_order = F.struct(F.col("epoch"), *[F.col(c) for c in tiebreak], (-F.col("position")).alias("_p"))
+        last_order = _last_change_order(tiebreak)
         aggs.append(F.max_by(F.struct("ltp", "odds"), F.when(before & (F.col("type") == F.lit(side)), last_order))
                     .alias("_l"))
     agg = j.groupBy("market_id", "runner_id").agg(*aggs).where(F.col("_any_before")).drop("_any_before")
@@ -67,19 +70,27 @@ def _runner_stats(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str]
                       F.col("_l").isNotNull().alias("_has_back")).drop("_l")
 
 
+def _last_change_order(tiebreak: Sequence[str]):
+    """Latest change first; inside one change the best ladder level (lowest
+    position); odds and ltp settle rows that are otherwise identical."""
+    return F.struct(F.col("epoch"), *[F.col(c) for c in tiebreak], (-F.col("position")).alias("_p"),
+                    (-F.col("odds")).alias("_o"), F.col("ltp").alias("_l"))
+
+
 def _favourite(last: DataFrame) -> DataFrame:
     fav = top1(last, ["market_id"], [F.col("ko_odds").asc_nulls_last(), F.col("_odds").asc_nulls_last(),
                                      F.col("runner_id").asc()], flag="favourite")
     return fav.withColumn("favourite", F.col("favourite") & F.col("ko_odds").isNotNull()).drop("_odds")
 
 
-def kickoff_odds(changes: DataFrame, market: DataFrame, side: str = "b", tiebreak: Sequence[str] = ()) -> DataFrame:
+def kickoff_odds(changes: DataFrame, market: DataFrame, side: str = "b",
+                 tiebreak: Sequence[str] = SAME_EPOCH_ORDER) -> DataFrame:
     """P-15b: last back change before kick-off per (market, runner): its ltp as
     ko_odds; favourite = shortest ltp in the market (NULL ltp never favourite;
     ties by odds, then runner id)."""
     j = (_before_kickoff(changes.where(F.col("type") == F.lit(side)), market)
          .where(F.col("timestamp") < F.col("kick_off")))
-    order = F.struct(F.col("epoch"), *[F.col(c) for c in tiebreak], (-F.col("position")).alias("_p"))
+    order = _last_change_order(tiebreak)
     last = j.groupBy("market_id", "runner_id").agg(
         F.max_by(F.struct("ltp", "odds"), order).alias("_l")).select(
         "market_id", "runner_id", F.col("_l.ltp").alias("ko_odds"), F.col("_l.odds").alias("_odds"))
@@ -87,7 +98,7 @@ def kickoff_odds(changes: DataFrame, market: DataFrame, side: str = "b", tiebrea
 
 
 def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, market_type: DataFrame,
-               event: DataFrame, changes: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+               event: DataFrame, changes: DataFrame, tiebreak: Sequence[str] = SAME_EPOCH_ORDER) -> DataFrame:
     """P-15: runner dimension of the star schema, one row per (market, runner).
 
     Key ``id`` is a hash of (market_id, runner_id): stable across runs and

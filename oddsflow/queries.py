@@ -751,3 +751,33 @@ FROM price WHERE epoch >= epoch_ms(TIMESTAMP '{_FEED_SINCE} 00:00:00')
 def q_feed_prices(spark, d):
     p = clean.prices(_raw(spark, d), since=_FEED_SINCE)
     return p.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+# The clean tables of the derived feed, as SQL (same rules as q_feed_market_state,
+# q_feed_runners and q_feed_prices), named as the match-statistics SQL expects.
+_FEED_CLEAN_SQL = [
+    S.DEFS_SQL, S.DEF_RUNNERS_SQL, S.PRICE_SQL.replace("price AS (", "lprice AS (", 1),
+    """market AS (
+  SELECT id AS market_id, arg_max_null(market_type, (pt, version)) AS market_type,
+         TRY_CAST(arg_max_null(event_id_text, (pt, version)) AS INTEGER) AS event_id,
+         arg_max_null(event_name, (pt, version)) AS event_name, epoch_ms(max(open_ms)) AS scheduled_time,
+         epoch_ms(max(settled_ms)) AS settled_time, epoch_ms(min(pt) FILTER (WHERE in_play)) AS kick_off
+  FROM defs GROUP BY id)""",
+    """runner AS (
+  SELECT market_id, runner_id, runner_name, arg_max_null(status, (pt, version)) AS status,
+         arg_max_null(sort_priority, (pt, version)) AS sort_priority
+  FROM def_runners GROUP BY market_id, market_name, runner_id, runner_name)""",
+    """price AS (
+  SELECT DISTINCT epoch, timestamp, CAST(market_id AS VARCHAR) AS market_id, runner_id, position, odds, amount,
+         type, total_volume FROM lprice)""",
+    _PK_RAW_SQL.replace("(p.timestamp, p.seq)", "(p.timestamp, p.total_volume, p.odds)"),
+    _PK_SQL, _MR_SQL, _OC_SQL,
+]
+
+
+@register("q_feed_match_statistics", S.with_sql(*_FEED_CLEAN_SQL)
+          + f"SELECT {_EVENT_WIDE_COLS} FROM pk LEFT JOIN oc USING (event_id)")
+def q_feed_match_statistics(spark, d):
+    raw = _raw(spark, d)
+    stats = clean.match_statistics(clean.market_state(raw), clean.runners(raw), clean.prices(raw, since=None))
+    return stats.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("kick_off", "scheduled_time")})
