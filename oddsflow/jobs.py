@@ -118,14 +118,17 @@ def rewrite_sorted_table(spark: SparkSession, table: str, keys: Sequence[tuple[s
                          partitions: int | None = None) -> None:
     """SNK-6: rewrite ``table`` in sorted layout (NULLS LAST; ``True`` = descending).
 
-    The sorted copy is written as a new table first and then swapped in, so a
-    failure leaves the original untouched.
+    The sorted copy is written as a new table first; the original is renamed
+    aside before the copy takes its name and dropped only after that, so a
+    failure at any step leaves a complete table behind.
     """
     short = table.split(".")[-1]
     keys = list(keys or SORT_KEYS[short])
     cols: list[Column] = [F.col(k).desc_nulls_last() if desc else F.col(k).asc_nulls_last() for k, desc in keys]
-    tmp = f"{table}__sorted"
+    tmp, old = f"{table}__sorted", f"{table}__unsorted"
     spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     sorted_layout(spark.read.table(table), cols, partitions).write.format("parquet").saveAsTable(tmp)
-    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import date_key, epoch_ms_to_date, minute_offset, time_key
-from ..operators.joins import HOT_KEY_SALT, range_join, salted_join
+from ..operators.joins import HOT_KEY_SALT, broadcast_if_bounded, range_join, salted_join
 from ..operators.keys import hash_key
 from ..operators.ladder import carry_forward, pivot_levels
 from ..operators.latest import ordering, top1
@@ -110,7 +110,9 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
     stats = _favourite(_runner_stats(changes, market, tiebreak, with_odds=True).where(F.col("_has_back"))
                        .drop("_has_back"))
     m = market.select("market_id", "market_type", "event_id", "scheduled_time", "kick_off")
-    mt = F.broadcast(market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id")))
+    # market types are a bounded catalogue: the one broadcast with a size bound
+    mt = broadcast_if_bounded(
+        market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id")), bounded=True)
     e = event.select(F.col("id").alias("event_id"), F.col("name").alias("event_name"), "country_code")
     star = (runner.select("market_id", "runner_id", F.col("runner_name").alias("name"))
             .join(market_runner.select("market_id", "runner_id", "sort_priority", "winner"), ["market_id", "runner_id"])
