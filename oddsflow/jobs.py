@@ -3,6 +3,7 @@
     load_raw            landing files -> <ns>.raw              (append only new changes)
     build_clean         <ns>.raw -> event, market, market_change, market_runner,
                         market_type, runner, runner_change, price, match_statistics
+                        (+ views market_v1, runner_v1 in the older column shapes)
     build_presentation  clean tables -> dim_date, dim_time, dim_first_goal, dim_runner,
                         fact_runner_odds, fact_first_goal_match_odds, fact_first_goal_over_under
     rewrite_sorted_table  sorted layout of a table (raw by pt, runner_change by
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .functions.time import calendar_dim, clock_dim
 from .plans import clean, present
+from .plans.legacy import create_legacy_views
 from .sinks.tables import WriteMode, ensure_namespace, save_table, sorted_layout
 from .sources.feed import ingest, ingest_counted, read_feed
 
@@ -94,6 +96,7 @@ def build_clean(spark: SparkSession, namespace: str, price_since: str | None = c
     t = lambda n: spark.read.table(_t(namespace, n))
     stats = clean.match_statistics(t("market"), t("runner"), t("price"))
     save_table(spark, stats, _t(namespace, "match_statistics"), WriteMode.REPLACE)
+    create_legacy_views(spark, namespace)
 
 
 def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | None = 3_600_000) -> None:

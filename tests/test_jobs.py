@@ -47,3 +47,21 @@ def test_load_raw_with_lineage_table(spark, feed_dir):
     jobs.load_raw(spark, feed_dir, ns, lineage_table=True)
     assert spark.read.table(f"{ns}.raw").count() == 20 and spark.read.table(f"{ns}.raw_lineage").count() == 21
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_legacy_views(spark, feed_dir):
+    from oddsflow.plans.legacy import legacy_market, legacy_runner
+
+    ns = "oddsflow_jobs_legacy"
+    spark.sql(f"DROP DATABASE IF EXISTS {ns} CASCADE")
+    jobs.load_raw(spark, feed_dir, ns)
+    jobs.build_clean(spark, ns)
+    mv = spark.read.table(f"{ns}.market_v1")
+    assert mv.columns == ["id", "type_id", "event_id", "kick_off", "settled_time", "scheduled_time"]
+    assert mv.count() == 5 and mv.where("type_id IS NULL").count() == 0
+    rv = spark.read.table(f"{ns}.runner_v1")
+    assert rv.columns == ["id", "name"] and rv.count() == 11
+    t = lambda n: spark.read.table(f"{ns}.{n}")
+    assert sorted(legacy_market(t("market"), t("market_type")).collect()) == sorted(mv.collect())
+    assert sorted(legacy_runner(t("runner")).collect()) == sorted(rv.collect())
+    spark.catalog.setCurrentDatabase("default")
