@@ -65,3 +65,21 @@ def test_legacy_views(spark, feed_dir):
     assert sorted(legacy_market(t("market"), t("market_type")).collect()) == sorted(mv.collect())
     assert sorted(legacy_runner(t("runner")).collect()) == sorted(rv.collect())
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_first_goal_fact_sql_equals_dataframe_form(spark, feed_dir):
+    from oddsflow.plans import present
+
+    ns = "oddsflow_jobs_sql"
+    spark.sql(f"DROP DATABASE IF EXISTS {ns} CASCADE")
+    jobs.load_raw(spark, feed_dir, ns)
+    jobs.build_clean(spark, ns)
+    jobs.build_presentation(spark, ns)
+    t = lambda n: spark.read.table(f"{ns}.{n}")
+    for types, stat in ((present.MATCH_ODDS_TYPES, "avg"), (("MATCH_ODDS",), "median")):
+        via_sql = present.first_goal_fact_sql(spark, f"{ns}.dim_runner", f"{ns}.fact_runner_odds",
+                                              f"{ns}.dim_first_goal", types, stat)
+        via_df = present.first_goal_fact(t("dim_runner"), t("fact_runner_odds"), t("dim_first_goal"), types, stat)
+        assert via_sql.columns == via_df.columns
+        assert sorted(via_sql.collect()) == sorted(via_df.collect()) and via_df.count() == 1
+    spark.catalog.setCurrentDatabase("default")
