@@ -781,3 +781,19 @@ def q_feed_match_statistics(spark, d):
     raw = _raw(spark, d)
     stats = clean.match_statistics(clean.market_state(raw), clean.runners(raw), clean.prices(raw, since=None))
     return stats.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("kick_off", "scheduled_time")})
+
+
+@register("q_feed_event_history", S.with_sql(S.DEFS_SQL) + """,
+st AS (
+  SELECT event_id_text, pt, arg_max_null(event_name, (version, id)) AS name,
+         arg_max_null(country_code, (version, id)) AS country_code,
+         arg_max_null(regulators, (version, id)) AS regulators
+  FROM defs GROUP BY event_id_text, pt)
+SELECT TRY_CAST(event_id_text AS INTEGER) AS id, name, country_code, array_to_string(regulators, ',') AS regulators,
+       epoch_ms(min(pt)) AS since
+FROM st GROUP BY event_id_text, name, country_code, regulators
+""")
+def q_feed_event_history(spark, d):
+    h = clean.event_history(_raw(spark, d))
+    return h.select("id", "name", "country_code", F.array_join("regulators", ",").alias("regulators"),
+                    F.col("since").cast("timestamp_ntz").alias("since"))
