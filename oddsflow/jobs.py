@@ -35,6 +35,12 @@ SORT_KEYS = {
 }
 
 
+# Tables joined on (market_id, runner_id) are bucketed alike so that the join
+# needs no shuffle; size the count to the data (thousands at 100 TB).
+RUNNER_BUCKETS = 64
+RUNNER_KEYS = ("market_id", "runner_id")
+
+
 def _t(namespace: str, name: str) -> str:
     return f"{namespace}.{name}"
 
@@ -78,8 +84,9 @@ def load_raw(spark: SparkSession, path: str, namespace: str, lineage_table: bool
     return spark.read.table(name)
 
 
-def build_clean(spark: SparkSession, namespace: str, price_since: str | None = clean.PRICE_SINCE) -> None:
-    """P-2 … P-11 from <ns>.raw."""
+def build_clean(spark: SparkSession, namespace: str, price_since: str | None = clean.PRICE_SINCE,
+                buckets: int = RUNNER_BUCKETS) -> None:
+    """P-2 … P-11 from <ns>.raw.  runner_change is bucketed on (market_id, runner_id)."""
     raw = spark.read.table(_t(namespace, "raw"))
     outputs = {
         "event": clean.event_dim(raw),
@@ -92,15 +99,18 @@ def build_clean(spark: SparkSession, namespace: str, price_since: str | None = c
         "price": clean.prices(raw, since=price_since),
     }
     for name, df in outputs.items():
-        save_table(spark, df, _t(namespace, name), WriteMode.REPLACE)
+        bucket = (buckets, RUNNER_KEYS) if name == "runner_change" and buckets else None
+        save_table(spark, df, _t(namespace, name), WriteMode.REPLACE, bucket_by=bucket)
     t = lambda n: spark.read.table(_t(namespace, n))
     stats = clean.match_statistics(t("market"), t("runner"), t("price"))
     save_table(spark, stats, _t(namespace, "match_statistics"), WriteMode.REPLACE)
     create_legacy_views(spark, namespace)
 
 
-def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | None = 3_600_000) -> None:
-    """P-12 … P-18 from the clean tables."""
+def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | None = 3_600_000,
+                       buckets: int = RUNNER_BUCKETS) -> None:
+    """P-12 … P-18 from the clean tables.  dim_runner is bucketed like
+    runner_change, so the fact's join of the two needs no shuffle."""
     t = lambda n: spark.read.table(_t(namespace, n))
     save_table(spark, calendar_dim(spark), _t(namespace, "dim_date"), WriteMode.REPLACE)
     save_table(spark, clock_dim(spark), _t(namespace, "dim_time"), WriteMode.REPLACE)
@@ -108,7 +118,8 @@ def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | Non
                WriteMode.REPLACE)
     dr = present.dim_runner(t("runner"), t("market_runner"), t("market"), t("market_type"), t("event"),
                             t("runner_change"))
-    save_table(spark, dr, _t(namespace, "dim_runner"), WriteMode.REPLACE)
+    save_table(spark, dr, _t(namespace, "dim_runner"), WriteMode.REPLACE,
+               bucket_by=(buckets, RUNNER_KEYS) if buckets else None)
     fact = present.fact_runner_odds(t("runner_change"), t("market"), t("dim_runner"), bucket_ms=bucket_ms)
     save_table(spark, fact, _t(namespace, "fact_runner_odds"), WriteMode.REPLACE)
     for name, types, stat in (("fact_first_goal_match_odds", present.MATCH_ODDS_TYPES, "avg"),
@@ -121,6 +132,10 @@ def rewrite_sorted_table(spark: SparkSession, table: str, keys: Sequence[tuple[s
                          partitions: int | None = None) -> None:
     """SNK-6: rewrite ``table`` in sorted layout (NULLS LAST; ``True`` = descending).
 
+    Tables written bucketed (runner_change, dim_runner) are already sorted by
+    their bucket keys inside each bucket; rewriting them here would drop the
+    bucketing, so this is for the others (raw, fact_runner_odds).
+
     The sorted copy is written as a new table first; the original is renamed
     aside before the copy takes its name and dropped only after that, so a
     failure at any step leaves a complete table behind.

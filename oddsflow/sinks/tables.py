@@ -23,19 +23,32 @@ def ensure_namespace(spark: SparkSession, namespace: str) -> None:
 
 
 def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode | str = WriteMode.APPEND,
-               fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Create the table on first use; afterwards append (columns matched by name) or replace."""
+               fmt: str = "parquet", partition_by: Sequence[str] = (),
+               bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+    """Create the table on first use; afterwards append (columns matched by name) or replace.
+
+    ``bucket_by=(n, cols)`` writes ``n`` hash buckets on ``cols``, sorted by
+    them: two tables bucketed alike are later joined on ``cols`` without a
+    shuffle of either side.
+    """
     mode = WriteMode(mode)
-    writer = df.write.format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+
+    def writer_for(frame: DataFrame):
+        w = frame.write.format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if bucket_by:
+            n, cols = bucket_by
+            w = w.bucketBy(n, *cols).sortBy(*cols)
+        return w
+
     if not spark.catalog.tableExists(name):
-        writer.mode("errorifexists").saveAsTable(name)
+        writer_for(df).mode("errorifexists").saveAsTable(name)
     elif mode is WriteMode.APPEND:
         existing = spark.table(name).columns
-        df.select(*existing).write.format(fmt).mode("append").saveAsTable(name)
+        writer_for(df.select(*existing)).mode("append").saveAsTable(name)
     else:
-        writer.mode("overwrite").saveAsTable(name)
+        writer_for(df).mode("overwrite").saveAsTable(name)
 
 
 def sort_key(name: str, descending: bool = False) -> Column:

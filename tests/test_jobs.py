@@ -83,3 +83,22 @@ def test_first_goal_fact_sql_equals_dataframe_form(spark, feed_dir):
         assert via_sql.columns == via_df.columns
         assert sorted(via_sql.collect()) == sorted(via_df.collect()) and via_df.count() == 1
     spark.catalog.setCurrentDatabase("default")
+
+
+def test_bucketed_tables_join_without_shuffle(spark, feed_dir):
+    ns = "oddsflow_jobs_bucket"
+    spark.sql(f"DROP DATABASE IF EXISTS {ns} CASCADE")
+    jobs.load_raw(spark, feed_dir, ns)
+    jobs.build_clean(spark, ns, buckets=4)
+    jobs.build_presentation(spark, ns, buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rc, dr = spark.read.table(f"{ns}.runner_change"), spark.read.table(f"{ns}.dim_runner")
+        j = rc.join(dr.select("market_id", "runner_id", "id"), ["market_id", "runner_id"])
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        assert j.count() == rc.where(F.col("runner_id").isin(11, 12, 13) & (F.col("market_id") == "1.1")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.catalog.setCurrentDatabase("default")
