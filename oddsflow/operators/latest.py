@@ -105,10 +105,13 @@ def asof_before(changes: DataFrame, cutoffs: DataFrame, on: Sequence[str], time_
     if lag:
         bound = bound - F.expr(f"INTERVAL {lag}")
     keep = F.col(time_col) <= bound if inclusive else F.col(time_col) < bound
-    group = list(dict.fromkeys(by + [c for c in carry if c not in by]))
+    # carried cut-off columns are functions of the `on` key: aggregated, not
+    # grouped on, so the shuffled key stays `by`
+    extra = [c for c in dict.fromkeys(carry) if c not in by]
     out_values = list(values) + ([time_col] if time_alias else [])
-    agg = joined.where(keep).groupBy(*group).agg(latest_of(out_values, time_col, tiebreak))
-    cols = [*group, *[F.col(f"_latest.{v}").alias(v) for v in values]]
+    agg = joined.where(keep).groupBy(*by).agg(latest_of(out_values, time_col, tiebreak),
+                                               *[F.max(c).alias(c) for c in extra])
+    cols = [*by, *extra, *[F.col(f"_latest.{v}").alias(v) for v in values]]
     if time_alias:
         cols.append(F.col(f"_latest.{time_col}").alias(time_alias))
     return agg.select(*cols)
