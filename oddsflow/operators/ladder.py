@@ -47,7 +47,7 @@ def explode_ladder(df: DataFrame, keep: Sequence[str | Column], sides: Mapping[s
 
 def pivot_levels(df: DataFrame, keys: Sequence[str], level_col: str, values: Sequence[str],
                  tiebreak: Sequence[str], levels: Mapping[int, str] | None = None,
-                 name: str = "{level}_{value}") -> DataFrame:
+                 name: str = "{level}_{value}", carry: Sequence[str] = ()) -> DataFrame:
     """Long ladder rows -> one row per key with ``{level}_{value}`` columns.
 
     Conditional aggregation in one ``groupBy`` (partial + final): for level k the
@@ -56,10 +56,12 @@ def pivot_levels(df: DataFrame, keys: Sequence[str], level_col: str, values: Seq
     buffers); it must then be unique among rows of a key at one level.  Levels
     not listed are ignored; missing levels give NULL.  Same result as
     ``pivot(level, [...]).agg(first(...))`` with a deterministic survivor, but
-    without the two-stage pivot aggregation.
+    without the two-stage pivot aggregation.  ``carry`` are columns that are
+    functions of ``keys``: kept (by ``max``) without widening the grouping key.
     """
     levels = dict(levels or LEVEL_NAMES)
-    cols = [F.col(k) for k in keys]
+    carried = [F.max(c).alias(c) for c in carry]
+    cols = [F.col(k) for k in [*keys, *carry]]
     if len(tiebreak) == 1:
         # One tie-break column: per-value min_by with a primitive ordering keeps
         # every aggregation buffer fixed-width, so Spark uses hash aggregation.
@@ -68,11 +70,11 @@ def pivot_levels(df: DataFrame, keys: Sequence[str], level_col: str, values: Seq
         for k, label in levels.items():
             at_k = F.when(F.col(level_col) == F.lit(k), tb1)
             aggs += [F.min_by(F.col(v), at_k).alias(name.format(level=label, value=v)) for v in values]
-        return df.groupBy(*keys).agg(*aggs)
+        return df.groupBy(*keys).agg(*carried, *aggs)
     tb = F.struct(*[F.col(c) for c in tiebreak])
     payload = F.struct(*[F.col(v) for v in values])
     aggs = [F.min_by(payload, F.when(F.col(level_col) == F.lit(k), tb)).alias(f"_lvl{k}") for k in levels]
-    out = df.groupBy(*keys).agg(*aggs)
+    out = df.groupBy(*keys).agg(*carried, *aggs)
     for k, label in levels.items():
         cols += [F.col(f"_lvl{k}.{v}").alias(name.format(level=label, value=v)) for v in values]
     return out.select(*cols)

@@ -255,9 +255,10 @@ OUTCOMES = {1: "home", 2: "away", 3: "draw"}
 def outcome_pivot(pre_ko: DataFrame, runner: DataFrame) -> DataFrame:
     """P-11e, second half: one row per market with home/away/draw columns."""
     j = pre_ko.join(runner.select("market_id", "runner_id", "sort_priority"), ["market_id", "runner_id"])
-    keys = [c for c in ["event_id", "event_name", "market_id", "kick_off", "scheduled_time"] if c in j.columns]
+    keys = [c for c in ["event_id", "market_id"] if c in j.columns]
+    carry = [c for c in ["event_name", "kick_off", "scheduled_time"] if c in j.columns]
     wide = pivot_levels(j, keys, "sort_priority", ["runner_id", "pre_ko_odds", "pre_ko_volume"],
-                        tiebreak=["runner_id"], levels=OUTCOMES, name="{value}_{level}")
+                        tiebreak=["runner_id"], levels=OUTCOMES, name="{value}_{level}", carry=carry)
     return wide.withColumnsRenamed({f"runner_id_{o}": f"{o}_runner_id" for o in OUTCOMES.values()})
 
 
