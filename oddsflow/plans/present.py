@@ -114,12 +114,14 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
     mt = broadcast_if_bounded(
         market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id")), bounded=True)
     e = event.select(F.col("id").alias("event_id"), F.col("name").alias("event_name"), "country_code")
+    # (market, runner)-keyed inputs first: they share one partitioning, so the
+    # growing star is reshuffled only for the market and event joins
     star = (runner.select("market_id", "runner_id", F.col("runner_name").alias("name"))
             .join(market_runner.select("market_id", "runner_id", "sort_priority", "winner"), ["market_id", "runner_id"])
+            .join(stats, ["market_id", "runner_id"])
             .join(m, "market_id")
             .join(mt, "market_type")
-            .join(e, "event_id")
-            .join(stats, ["market_id", "runner_id"]))
+            .join(e, "event_id"))
     return star.select(
         hash_key(["market_id", "runner_id"]).alias("id"),
         "runner_id", "name", "sort_priority", "winner", "market_id", "market_type_id",
