@@ -146,12 +146,13 @@ def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataF
     # A well-formed ladder has one entry per position in a change, so the odds
     # identify it; a single numeric tie-break keeps the pivot hash-aggregated.
     wide = pivot_levels(changes, keys, "position", ["odds", "amount"], tiebreak=list(tiebreak) or ["odds"])
-    m = market.select("market_id", "kick_off")
-    dr = dim_runner_df.select(F.col("id").alias("runner_key"), "market_id", "runner_id")
+    # kick-off goes onto the small side (one row per runner) first, so the big
+    # side is joined once, on (market, runner)
+    dr = (dim_runner_df.select(F.col("id").alias("runner_key"), "market_id", "runner_id")
+          .join(market.select("market_id", "kick_off"), "market_id"))
     salt_by = ["epoch", "type", "hc", "ltp", "tv"]
-    j = salted_join(wide, m, ["market_id"], salt=HOT_KEY_SALT, salt_cols=["runner_id", *salt_by])
+    j = salted_join(wide, dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
     j = j.withColumn("minute", minute_offset("epoch", "kick_off")).drop("kick_off")
-    j = salted_join(j, dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
     levels = [f"{lvl}_{v}" for lvl in ("first", "second", "third") for v in ("odds", "amount")]
     bucket = F.floor(F.col("epoch") / F.lit(bucket_ms)) if bucket_ms else None
     filled = carry_forward(j, ["market_id", "runner_id", "type"], "epoch", levels,
