@@ -72,8 +72,11 @@ def event_history(raw: DataFrame) -> DataFrame:
 def market_state(raw: DataFrame) -> DataFrame:
     """P-4: one row per market: latest definition values, latest of the ISO
     times, first in-play time as kick-off, lineage of the latest change."""
-    d = definitions(raw, extra=["source_file_names"])
-    latest = ["name", "marketType", "eventId", "eventName", "countryCode", "numberOfWinners", "source_file_names"]
+    # lineage of the latest definition: the file list, or with a long lineage
+    # table (ingest_counted) the change key that links into it
+    lineage = "source_file_names" if "source_file_names" in raw.columns else "change_key"
+    d = definitions(raw, extra=[lineage])
+    latest = ["name", "marketType", "eventId", "eventName", "countryCode", "numberOfWinners", lineage]
     agg = latest_state(
         d, ["id"], "pt", latest, tiebreak=["version"],
         extra_aggs=[
@@ -95,7 +98,7 @@ def market_state(raw: DataFrame) -> DataFrame:
         F.col("_settled").try_cast("timestamp").alias("settled_time"),
         epoch_ms_to_ts("_first_inplay").alias("kick_off"),
         F.col("numberOfWinners").alias("num_winners"),
-        "source_file_names",
+        lineage,
     )
 
 

@@ -46,6 +46,11 @@ def test_load_raw_with_lineage_table(spark, feed_dir):
     assert lin.count() == 21
     jobs.load_raw(spark, feed_dir, ns, lineage_table=True)
     assert spark.read.table(f"{ns}.raw").count() == 20 and spark.read.table(f"{ns}.raw_lineage").count() == 21
+    jobs.build_clean(spark, ns)
+    market = spark.read.table(f"{ns}.market")
+    assert market.count() == 5 and "change_key" in market.columns
+    linked = market.join(lin.withColumnRenamed("file", "f"), "change_key")
+    assert linked.count() == 5
     spark.catalog.setCurrentDatabase("default")
 
 
