@@ -46,3 +46,16 @@ def test_results_do_not_depend_on_partitioning(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1]
+
+
+def test_per_market_files_are_not_read():
+    import json
+    import subprocess
+    import sys
+
+    script = os.path.join(os.path.dirname(os.path.abspath(__file__)), "scripts", "file_pruning.py")
+    out = subprocess.run([sys.executable, script], capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    read = json.loads(out.stdout.strip().splitlines()[-1])
+    # the large per-market file is skipped before it is opened
+    assert read["with_filter"] * 20 < read["no_filter"], read
