@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.feed import FEED_SCHEMA, PER_MARKET_FILE, ingest
+from ..sources.feed import FEED_SCHEMA, PER_MARKET_FILE, ingest, ingest_counted
 
 
 def feed_stream(spark: SparkSession, path: str, exclude: str | None = PER_MARKET_FILE,
@@ -41,10 +41,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, raw_path: str, log_path: str) -> None:
-    """foreachBatch body: dedupe the batch, keep only new changes, write it."""
+def ingest_batch(batch: DataFrame, batch_id: int, raw_path: str, log_path: str,
+                 lineage_path: str | None = None) -> None:
+    """foreachBatch body: dedupe the batch, keep only new changes, write it.
+
+    With ``lineage_path`` the file lineage is written there as (change_key,
+    file) rows (partition ``batch_id``) instead of an array per change.
+    """
     spark = batch.sparkSession
-    new = ingest(batch)
+    if lineage_path:
+        new, lineage = ingest_counted(batch)
+        (lineage.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(lineage_path))
+    else:
+        new = ingest(batch)
     if _exists(spark, raw_path):
         bounds = new.agg(F.min("pt").alias("lo"), F.max("pt").alias("hi")).collect()[0]
         if bounds["lo"] is not None:
@@ -61,11 +71,13 @@ def ingest_batch(batch: DataFrame, batch_id: int, raw_path: str, log_path: str)
     n = spark.read.parquet(raw_path).where(F.col("batch_id") == batch_id).count()
     log = spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
                                 F.current_timestamp().alias("committed_at"), F.lit(n).cast("long").alias("rows"))
-    log.write.mode("append").parquet(log_path)
+    # one log partition per batch, overwritten on a retry: idempotent like the data
+    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(log_path))
 
 
 def start_ingest(stream: DataFrame, raw_path: str, log_path: str, checkpoint_location: str | None = None,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, lineage_path: str | None = None) -> StreamingQuery:
     """Run :func:`ingest_batch` for every micro-batch of ``stream``.
 
     The checkpoint goes under the cluster's ``spark.checkpoint.dir`` unless a
@@ -76,6 +88,6 @@ def start_ingest(stream: DataFrame, raw_path: str, log_path: str, checkpoint_loc
 
         checkpoint_location = os.path.join(checkpoint_dir(stream.sparkSession), "feed-ingest")
     writer = (stream.writeStream.option("checkpointLocation", checkpoint_location)
-              .foreachBatch(lambda df, bid: ingest_batch(df, bid, raw_path, log_path)))
+              .foreachBatch(lambda df, bid: ingest_batch(df, bid, raw_path, log_path, lineage_path)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -36,3 +36,28 @@ def test_stream_ingest_matches_batch_and_is_incremental(spark, feed_dir):
     assert raw.count() == 20
     assert read_increment(raw, last - 1, last).count() == 0
     assert raw.select(*cols).where(F.size("source_file_names") == 1).count() == 20
+
+
+def test_stream_ingest_with_lineage_table(spark, feed_dir):
+    work = tempfile.mkdtemp(prefix="oddsflow-stream-lin-")
+    raw_path, log_path, lin_path, ckpt = (os.path.join(work, n) for n in ("raw", "log", "lineage", "ckpt"))
+    q = start_ingest(feed_stream(spark, feed_dir), raw_path, log_path, ckpt, lineage_path=lin_path)
+    q.awaitTermination(120)
+    raw = spark.read.parquet(raw_path)
+    lin = spark.read.parquet(lin_path)
+    assert raw.count() == 20 and "n_files" in raw.columns
+    assert lin.count() == 21
+    assert raw.join(lin, "change_key").count() == 21
+
+
+def test_retried_batch_is_idempotent(spark, feed_dir):
+    from oddsflow.sources.feed import read_feed
+    from oddsflow.streaming.feed_stream import ingest_batch
+
+    work = tempfile.mkdtemp(prefix="oddsflow-retry-")
+    raw_path, log_path = os.path.join(work, "raw"), os.path.join(work, "log")
+    batch = read_feed(spark, feed_dir)
+    for _ in range(2):                       # the same batch id written twice (a retry)
+        ingest_batch(batch, 0, raw_path, log_path)
+    assert spark.read.parquet(raw_path).count() == 20
+    assert spark.read.parquet(log_path).count() == 1
