@@ -797,3 +797,31 @@ def q_feed_event_history(spark, d):
     h = clean.event_history(_raw(spark, d))
     return h.select("id", "name", "country_code", F.array_join("regulators", ",").alias("regulators"),
                     F.col("since").cast("timestamp_ntz").alias("since"))
+
+
+@register("q_feed_market_types", S.with_sql(S.DEFS_SQL) + """
+SELECT type, dense_rank() OVER (ORDER BY type) AS id
+FROM (SELECT DISTINCT market_type AS type FROM defs WHERE market_type IS NOT NULL)
+""")
+def q_feed_market_types(spark, d):
+    return clean.market_types(_raw(spark, d), key="rank")
+
+
+@register("q_feed_runner_changes", S.with_sql(S.PRICE_SQL) + """
+SELECT DISTINCT CAST(market_id AS VARCHAR) AS market_id, epoch, timestamp, handicap AS hc, runner_id, ltp,
+       total_volume AS tv, position, odds, amount, type
+FROM price
+""")
+def q_feed_runner_changes(spark, d):
+    rc = clean.runner_changes(_raw(spark, d))
+    return rc.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@register("q_feed_flattened", S.with_sql(S.DEFS_SQL) + """
+SELECT id, pt, market_type AS marketType, event_id_text AS eventId, CAST(version AS BIGINT) AS version,
+       status, in_play AS inPlay, CAST(1 AS BIGINT) AS numberOfWinners
+FROM defs
+""")
+def q_feed_flattened(spark, d):
+    flat = clean.flattened_definitions(_raw(spark, d))
+    return flat.select("id", "pt", "marketType", "eventId", "version", "status", "inPlay", "numberOfWinners")
