@@ -89,3 +89,51 @@ def test_snapshot_diff_brute_force(spark, old, new):
         if d:
             want[(*row, "INSERT" if d > 0 else "DELETE")] = abs(d)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 6), st.integers(0, 300), st.sampled_from("ABC")),
+                min_size=1, max_size=40, unique_by=lambda r: r[2]))
+def test_state_history_brute_force(spark, rows):
+    from oddsflow.operators.latest import state_history
+
+    df = spark.createDataFrame(rows, "k int, t int, seq int, v string")
+    got = {(r["k"], r["v"], r["since"]) for r in state_history(df, ["k"], "t", ["v"], tiebreak=["seq"]).collect()}
+    # running last value over the default RANGE frame: peers at one t share the
+    # state of the last of them; then the distinct states with the first t
+    last_at = {}
+    for k, t, seq, v in rows:
+        if (k, t) not in last_at or seq > last_at[(k, t)][0]:
+            last_at[(k, t)] = (seq, v)
+    first = {}
+    for (k, t), (_, v) in last_at.items():
+        first[(k, v)] = min(first.get((k, v), t), t)
+    assert got == {(k, v, t) for (k, v), t in first.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 2), st.booleans()), max_size=40))
+def test_any_true_by_brute_force(spark, rows):
+    from oddsflow.operators.latest import any_true_by
+
+    df = spark.createDataFrame(rows, "m int, r int, sp int, won boolean")
+    got = {(x["m"], x["r"], x["sp"], x["w"]) for x in any_true_by(df, ["m", "r"], ["sp"], F.col("won"), "w").collect()}
+    anyw = defaultdict(bool)
+    for m, r, sp, won in rows:
+        anyw[(m, r)] |= won
+    assert got == {(m, r, sp, anyw[(m, r)]) for m, r, sp, _ in rows}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-3, 12)), max_size=50),
+       st.dictionaries(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 6))), st.integers(1, 4))
+def test_range_join_brute_force(spark, facts, goals, salt):
+    from oddsflow.operators.joins import range_join
+
+    f = spark.createDataFrame([(e, m, i) for i, (e, m) in enumerate(facts)], "ev int, minute int, i int")
+    g = spark.createDataFrame(list(goals.items()), "ev int, fg int")
+    out = range_join(f, g, ["ev"], F.col("minute"), F.col("fg") + 2, F.col("fg") + 5, salt=salt, salt_cols=["i"])
+    got = sorted((r["ev"], r["minute"], r["i"]) for r in out.collect())
+    want = sorted((e, m, i) for i, (e, m) in enumerate(facts)
+                  if e in goals and goals[e] is not None and goals[e] + 2 <= m <= goals[e] + 5)
+    assert got == want
