@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsflow.llm import partenum
+from oddsflow.llm import fm_dedup, partenum
 
 ARROW_ROWS = "2000"  # rows of an Arrow batch: long documents, so few of them at once
 
@@ -22,8 +22,13 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of 13-word windows that an earlier document has."""
+    return fm_dedup.repeat_digests(_table(spark, sf_dir, "documents"), window=13)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op2_ngram_jaccard_join, op4_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
