@@ -185,47 +185,42 @@ def _store(batches, n: int):
 
 
 def _parts(size: int, num: int, den: int) -> int:
-    """Parts of the sketch that sets of about this size compare by: a power of two, 4k or more."""
-    band, _, high, _ = band_of(size, num, den)
-    return 1 << (4 * max((den - num) * 2 * high // (den + num), 1)).bit_length()
+    """Parts of the sketch of a set of this size: a power of two, twice the differences or more."""
+    _, _, high, _ = band_of(size, num, den)
+    return 1 << (2 * max((den - num) * 2 * high // (den + num), 4)).bit_length()
 
 
 def sketch(features: np.ndarray, parts: int) -> np.ndarray:
-    """One byte for each part of the feature domain; a part's byte can differ only if its features do."""
+    """One byte for each part of the feature domain, additive: it can differ only if the part's
+    features do, and the two halves of a sketch add up to the sketch of half as many parts."""
     spread = mix(features ^ U64(0xA0761D6478BD642F))
     sums = np.zeros(parts, U64)
     np.add.at(sums, ((spread >> U64(30)) & U64(parts - 1)).astype(np.int64), spread)
     return sums.astype(np.uint8)
 
 
-def _sketches(batches, num: int, den: int):
-    """Two sketches of a set: at its own resolution and at the next coarser or finer one, so that
-    any two linkable sets have one in common."""
-    for batch in batches:
-        low, high = [], []
-        for raw, n in zip(batch.column("features"), batch.column("n").to_pylist()):
-            features, parts = np.frombuffer(raw.as_buffer(), U64), _parts(n, num, den)
-            low.append(sketch(features, parts).tobytes())
-            high.append(sketch(features, 2 * parts).tobytes())
-        yield _batch(["doc", "n", "low", "high"], batch.column("doc"), batch.column("n"), pa.array(low, pa.binary()), pa.array(high, pa.binary()))
+def fold(sketches: np.ndarray, parts: int) -> np.ndarray:
+    """Sketches (rows) at a coarser resolution."""
+    return sketches.reshape(len(sketches), -1, parts).sum(axis=1, dtype=np.uint8)
 
 
-def _apart(n1: int, low1: bytes, high1: bytes, n2: int, low2: bytes, high2: bytes, num: int, den: int) -> bool:
-    """True only if the sets cannot link: more parts differ than linked sets differ in features."""
-    if min(n1, n2) * den < num * max(n1, n2):
-        return True
-    a, b = (low1, low2) if len(low1) == len(low2) else (high1, low2) if len(high1) == len(low2) else (low1, high2)
-    if len(a) != len(b):
-        return False
-    differ = np.count_nonzero(np.frombuffer(a, np.uint8) != np.frombuffer(b, np.uint8))
-    return differ > (den - num) * (n1 + n2) // (den + num)
+def _sketches(batches, num: int, den: int):
+    for batch in batches:
+        out = [sketch(np.frombuffer(raw.as_buffer(), U64), _parts(n, num, den)).tobytes() for raw, n in zip(batch.column("features"), batch.column("n").to_pylist())]
+        yield _batch(["doc", "n", "sketch"], batch.column("doc"), batch.column("n"), pa.array(out, pa.binary()))
 
 
 def _near(batches, num: int, den: int):
-    """Pairs whose sketches do not rule a link out."""
+    """Pairs that sizes and sketches do not rule out: no more parts may differ than features of linked sets."""
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("n", "low", "high", "n_b", "low_b", "high_b")]
-        keep = [not _apart(*row, num, den) for row in zip(*columns)]
+        keep = []
+        for n1, s1, n2, s2 in zip(*(batch.column(c).to_pylist() for c in ("n", "sketch", "n_b", "sketch_b"))):
+            fits = min(n1, n2) * den >= num * max(n1, n2)
+            if fits:
+                parts = min(len(s1), len(s2))
+                one, two = (fold(np.frombuffer(s, np.uint8)[None], parts)[0] for s in (s1, s2))
+                fits = np.count_nonzero(one != two) <= (den - num) * (n1 + n2) // (den + num)
+            keep.append(fits)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -240,6 +235,7 @@ def _verify(batches, num: int, den: int):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+BROADCAST_IDS = 1_000_000  # candidate ids (16 MB) up to which texts need no shuffle to be looked up
 BLOCK = 512  # members of a signature compared with each other in one place
 
 
@@ -262,27 +258,24 @@ def _cross(batches, num: int, den: int):
 def _cross_groups(table: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
     doc, comp, size, side = (table.column(c).to_numpy() for c in ("doc", "comp", "n", "side"))
     found = set()
-    both = [table.column(c).combine_chunks() for c in ("low", "high")] if len(table) else []
+    raw = table.column("sketch").to_pylist()
     for begin, end in zip(starts, [*starts[1:], len(table)]):
-        by_width: dict[int, tuple[list, list]] = {}
-        for column in both:
-            for i in range(begin, end):
-                raw = column[i].as_py()
-                rows, raws = by_width.setdefault(len(raw), ([], []))
-                rows.append(i)
-                raws.append(raw)
-        for width, (rows, raws) in by_width.items():
-            rows, matrix = np.array(rows), np.frombuffer(b"".join(raws), np.uint8).reshape(-1, width)
-            right = np.flatnonzero(side[rows] == 1)
-            own, parts = rows[right], matrix[right]
-            for k in np.flatnonzero(side[rows] == 0):
-                i = rows[k]
-                fits = (comp[own] != comp[i]) & (np.minimum(size[own], size[i]) * den >= num * np.maximum(size[own], size[i]))
-                if not fits.any():
+        right: dict[int, list] = {}
+        for i in range(begin, end):
+            if side[i] == 1:
+                right.setdefault(len(raw[i]), []).append(i)
+        right = {w: (np.array(rows), np.frombuffer(b"".join([raw[i] for i in rows]), np.uint8).reshape(-1, w)) for w, rows in right.items()}
+        for i in range(begin, end):
+            if side[i] == 1:
+                continue
+            own = np.frombuffer(raw[i], np.uint8)[None]
+            for width, (rows, matrix) in right.items():
+                fits = np.flatnonzero((comp[rows] != comp[i]) & (np.minimum(size[rows], size[i]) * den >= num * np.maximum(size[rows], size[i])))
+                if not len(fits):
                     continue
-                fits = np.flatnonzero(fits)
-                differ = np.count_nonzero(parts[fits] != matrix[k], axis=1)
-                for j in own[fits[differ <= (den - num) * (size[own[fits]] + size[i]) // (den + num)]]:
+                parts = min(width, own.shape[1])
+                differ = np.count_nonzero(fold(matrix[fits], parts) != fold(own, parts), axis=1)
+                for j in rows[fits[differ <= (den - num) * (size[rows[fits]] + size[i]) // (den + num)]]:
                     found.add((min(doc[i], doc[j]), max(doc[i], doc[j])))
     a, b = zip(*found) if found else ((), ())
     return _batch(["a", "b"], pa.array(a, pa.int64()), pa.array(b, pa.int64()))
@@ -319,15 +312,17 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     # The sets of candidate documents only, and their sketches.
     pairs = shared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = base.join(nodes, "doc_id", "left_semi").mapInArrow(lambda it: _store(it, n), "doc long, n long, h1 long, h2 long, features binary")
+    nodes = stage(nodes)
+    small = nodes.count() <= BROADCAST_IDS
+    sets = base.join(F.broadcast(nodes) if small else nodes, "doc_id", "left_semi").mapInArrow(lambda it: _store(it, n), "doc long, n long, h1 long, h2 long, features binary")
     if repeated:  # an id with several rows: the set that was chosen above, once
         sets = sets.join(known.withColumnRenamed("doc_id", "doc"), ["doc", "n", "h1", "h2"], "left_semi").dropDuplicates(["doc"])
     store = stage(sets.select("doc", "n", "features"))
-    sketches = stage(store.mapInArrow(lambda it: _sketches(it, num, den), "doc long, n long, low binary, high binary"))
+    sketches = stage(store.mapInArrow(lambda it: _sketches(it, num, den), "doc long, n long, sketch binary"))
 
     def near(candidates: DataFrame) -> DataFrame:
         one = sketches.withColumnRenamed("doc", "a")
-        two = sketches.toDF("b", "n_b", "low_b", "high_b")
+        two = sketches.toDF("b", "n_b", "sketch_b")
         return candidates.join(one, "a").join(two, "b").mapInArrow(lambda it: _near(it, num, den), "a long, b long")
 
     def verified(candidates: DataFrame) -> DataFrame:
@@ -347,7 +342,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     per = per.where("comps > 1").groupBy("m", "x1", "x2").agg(F.min(F.struct("sig", "main")).alias("s"))  # equal buckets once
     per = per.select("s.sig", "s.main", F.ceil(F.col("m") / BLOCK).cast("int").alias("ny"), F.ceil((F.col("m") - F.col("s.main.c")) / BLOCK).cast("int").alias("nx"))
     met = members.join(per, "sig").join(sketches, "doc")
-    columns = ["sig", "doc", "comp", "n", "low", "high"]
+    columns = ["sig", "doc", "comp", "n", "sketch"]
     left = met.where("comp <> main.comp").select(*columns, F.lit(0).alias("side"), F.pmod(F.xxhash64("doc"), "nx").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("y"))
     right = met.select(*columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("x"), F.pmod(F.xxhash64("doc"), "ny").alias("y"))
     blocks = left.select(*columns, "side", F.col("x").cast("int").alias("x"), "y").union(right.select(*columns, "side", "x", F.col("y").cast("int").alias("y")))
@@ -356,6 +351,6 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     late = stage(verified(more))
     if not late.isEmpty():
         joined = components(links.union(late), stage)
-    stage.release(shared, store, sketches, tried)
+    stage.release(shared, nodes, store, sketches, tried)
     out = known.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
