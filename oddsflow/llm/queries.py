@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oddsflow.llm import fm_dedup, partenum
+from oddsflow.llm import fm_dedup, packing, partenum, sp_codec
 
 ARROW_ROWS = "2000"  # rows of an Arrow batch: long documents, so few of them at once
 
@@ -27,8 +29,22 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.repeat_digests(_table(spark, sf_dir, "documents"), window=13)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as token pieces, packed into sequences of 4096 tokens at most."""
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=4096)
+    return packing.pack(pieces, tokens=4096)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and their decoding."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = sp_codec.decode(sp_codec.encode(_table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_jaccard_join, op4_substring_dedup)}
+    return {f.__name__: f for f in (op2_ngram_jaccard_join, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
