@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsflow.llm import chat_format, fm_dedup, packing, partenum, sp_codec
+from oddsflow.llm import chat_format, fm_dedup, packing, partenum, quality, sp_codec
 
 ARROW_ROWS = "2000"  # rows of an Arrow batch: long documents, so few of them at once
 
@@ -74,8 +74,14 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document; documents labelled as good are the trusted ones."""
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.judge(_table(spark, sf_dir, "documents"), trusted)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
