@@ -12,10 +12,12 @@ filled one with each linked set; a set with more of them signs the empty ones to
 So no link is lost, whatever the data.
 
 Signatures are joined through a leader per signature, never as all pairs of a
-bucket: members are first compared with the leader; only members that still lie
-in different components are paired, and signatures that many such components
-share are first refined by a second, independent signature.  Every candidate is
-then verified on the full sets with integer arithmetic.
+bucket: members are first compared with the leader.  Members of a signature that
+still lie in different components afterwards are compared by compact sketches, which
+rule a pair out only if it cannot link; what they leave forms small clusters of
+documents that may link, given as spanning edges, and each cluster is settled on its
+full sets in blocks, which yields only the links that join components.  Every link is
+verified on the full sets with integer arithmetic.
 
 Null or empty texts, and texts of separators only, have no set and link with
 nothing.  Repeated rows of one id make one document (its sets must agree; the
@@ -239,46 +241,106 @@ BROADCAST_IDS = 1_000_000  # candidate ids (16 MB) up to which texts need no shu
 BLOCK = 512  # members of a signature compared with each other in one place
 
 
-def _cross(batches, num: int, den: int):
-    """Pairs (left member, right member) in different components that the sketches do not rule
-    out.  Rows come sorted by (sig, x, y), one group for each pair of blocks; a group that
-    continues in the next batch is carried over (at most two blocks of rows)."""
+def _groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of rows sorted by integer keys: a table and where its groups begin.  A group
+    that continues in the next batch is carried over (blocks bound its size)."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([rest, table]) if rest is not None else table
-        keys = np.stack([table.column(c).to_numpy() for c in ("sig", "x", "y")])
-        starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        values = np.stack([table.column(c).to_numpy() for c in keys])
+        starts = np.flatnonzero(np.r_[True, (values[:, 1:] != values[:, :-1]).any(axis=0)])
         rest = table.slice(starts[-1])
-        yield _cross_groups(table.slice(0, starts[-1]), starts[:-1], num, den)
+        if len(starts) > 1:
+            yield table.slice(0, starts[-1]), starts[:-1]
     if rest is not None:
-        yield _cross_groups(rest, np.zeros(1, int), num, den)
-
-
-def _cross_groups(table: pa.Table, starts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
-    doc, comp, size, side = (table.column(c).to_numpy() for c in ("doc", "comp", "n", "side"))
-    found = set()
-    raw = table.column("sketch").to_pylist()
-    for begin, end in zip(starts, [*starts[1:], len(table)]):
-        right: dict[int, list] = {}
-        for i in range(begin, end):
-            if side[i] == 1:
-                right.setdefault(len(raw[i]), []).append(i)
-        right = {w: (np.array(rows), np.frombuffer(b"".join([raw[i] for i in rows]), np.uint8).reshape(-1, w)) for w, rows in right.items()}
-        for i in range(begin, end):
-            if side[i] == 1:
-                continue
-            own = np.frombuffer(raw[i], np.uint8)[None]
-            for width, (rows, matrix) in right.items():
-                fits = np.flatnonzero((comp[rows] != comp[i]) & (np.minimum(size[rows], size[i]) * den >= num * np.maximum(size[rows], size[i])))
+        yield rest, np.zeros(1, int)
+
+
+class _Forest:
+    """Union-find over any labels."""
+
+    def __init__(self):
+        self.up: dict = {}
+
+    def root(self, x):
+        while (up := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(up, up)
+            x = up
+        return x
+
+    def union(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _cross(batches, num: int, den: int):
+    """Candidate edges between members of one signature that lie in different components: pairs that
+    sizes and sketches do not rule out, as a spanning forest of each block pair (left against right)."""
+    for table, starts in _groups(batches, ["sig", "x", "y"]):
+        doc, comp, size, side = (table.column(c).to_numpy() for c in ("doc", "comp", "n", "side"))
+        raw, edges = table.column("sketch").to_pylist(), set()
+        for begin, end in zip(starts, [*starts[1:], len(table)]):
+            forest, right = _Forest(), {}
+            for i in range(begin, end):
+                if side[i] == 1:
+                    right.setdefault(len(raw[i]), []).append(i)
+            right = {w: (np.array(rows), np.frombuffer(b"".join([raw[i] for i in rows]), np.uint8).reshape(-1, w)) for w, rows in right.items()}
+            for i in range(begin, end):
+                if side[i] == 1:
+                    continue
+                own = np.frombuffer(raw[i], np.uint8)[None]
+                for width, (rows, matrix) in right.items():
+                    fits = np.flatnonzero((comp[rows] != comp[i]) & (np.minimum(size[rows], size[i]) * den >= num * np.maximum(size[rows], size[i])))
+                    if len(fits):
+                        parts = min(width, own.shape[1])
+                        differ = np.count_nonzero(fold(matrix[fits], parts) != fold(own, parts), axis=1)
+                        for j in rows[fits[differ <= (den - num) * (size[rows[fits]] + size[i]) // (den + num)]].tolist():
+                            if forest.union(int(doc[i]), int(doc[j])):
+                                edges.add((min(doc[i], doc[j]), max(doc[i], doc[j])))
+        a, b = zip(*edges) if edges else ((), ())
+        yield _batch(["a", "b"], pa.array(a, pa.int64()), pa.array(b, pa.int64()))
+
+
+def _settle(batches, num: int, den: int):
+    """Links between blocks x and y of one cluster that join two components not joined before, by
+    exact counts on the sets; sketches rule most pairs out first."""
+    for table, starts in _groups(batches, ["cluster", "x", "y"]):
+        doc, comp, size, block, x, y = (table.column(c).to_numpy() for c in ("doc", "comp", "n", "block", "x", "y"))
+        raw, a, b = table.column("features"), [], []
+        for begin, end in zip(starts, [*starts[1:], len(table)]):
+            forest = _Forest()
+            sets = [np.frombuffer(raw[i].as_buffer(), U64) for i in range(begin, end)]
+            parts = _parts(int(size[begin:end].max()), num, den)
+            sketches = np.stack([sketch(s, parts) for s in sets])
+            length, own, place = size[begin:end], comp[begin:end], np.arange(end - begin)
+            apart, other = x[begin] != y[begin], block[begin:end] == y[begin]
+            for i in range(end - begin):
+                if apart and other[i]:
+                    continue
+                fits = (other if apart else place > i) & (np.minimum(length, length[i]) * den >= num * np.maximum(length, length[i]))
+                fits = np.flatnonzero(fits & (own != own[i]))
                 if not len(fits):
                     continue
-                parts = min(width, own.shape[1])
-                differ = np.count_nonzero(fold(matrix[fits], parts) != fold(own, parts), axis=1)
-                for j in rows[fits[differ <= (den - num) * (size[rows[fits]] + size[i]) // (den + num)]]:
-                    found.add((min(doc[i], doc[j]), max(doc[i], doc[j])))
-    a, b = zip(*found) if found else ((), ())
-    return _batch(["a", "b"], pa.array(a, pa.int64()), pa.array(b, pa.int64()))
+                fits = fits[np.count_nonzero(sketches[fits] != sketches[i], axis=1) <= (den - num) * (length[fits] + length[i]) // (den + num)]
+                for k in range(0, len(fits), 32):
+                    some = [j for j in fits[k:k + 32].tolist() if forest.root(int(own[j])) != forest.root(int(own[i]))]
+                    if not some:
+                        continue
+                    features = np.concatenate([sets[j] for j in some])
+                    at = np.minimum(np.searchsorted(sets[i], features), len(sets[i]) - 1)
+                    both = np.add.reduceat((sets[i][at] == features).astype(np.int64), np.concatenate([[0], np.cumsum(length[some])[:-1]]))
+                    for j in np.array(some)[den * both >= num * (length[some] + length[i] - both)].tolist():
+                        if forest.union(int(own[i]), int(own[j])):
+                            a.append(doc[begin + i])
+                            b.append(doc[begin + j])
+        yield _batch(["a", "b"], pa.array(a, pa.int64()), pa.array(b, pa.int64()))
+
+
+BROADCAST_IDS = 1_000_000  # candidate ids (16 MB) up to which texts need no shuffle to be looked up
+BLOCK = 512                # documents compared with each other in one place
+BLOCK_BYTES = 16 << 20     # and the size of their sets
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -347,10 +409,19 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     right = met.select(*columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("x"), F.pmod(F.xxhash64("doc"), "ny").alias("y"))
     blocks = left.select(*columns, "side", F.col("x").cast("int").alias("x"), "y").union(right.select(*columns, "side", "x", F.col("y").cast("int").alias("y")))
     blocks = blocks.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
-    more = blocks.mapInArrow(lambda it: _cross(it, num, den), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    late = stage(verified(more))
-    if not late.isEmpty():
-        joined = components(links.union(late), stage)
+    edges = stage(blocks.mapInArrow(lambda it: _cross(it, num, den), "a long, b long").distinct())
+    if not edges.isEmpty():
+        # Clusters of documents that may link, settled on their sets, block against block.
+        cluster = components(edges, stage).select(F.col("node").alias("doc"), F.col("component").alias("cluster"))
+        comp = joined.withColumnRenamed("node", "doc")
+        own = cluster.join(store, "doc").join(comp, "doc", "left").select("doc", "cluster", "n", "features", F.coalesce("component", "doc").alias("comp"))
+        sized = cluster.join(store.select("doc", "n"), "doc").groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+        dealt = own.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select("cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc", "comp", "n", "features")
+        dealt = dealt.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
+        late = stage(dealt.mapInArrow(lambda it: _settle(it, num, den), "a long, b long"))
+        if not late.isEmpty():
+            joined = components(links.union(late), stage)
     stage.release(shared, nodes, store, sketches, tried)
     out = known.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
