@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsflow.llm import chat_format, fm_dedup, packing, partenum, quality, sp_codec
+from oddsflow.llm import chat_format, fm_dedup, licenses, packing, partenum, quality, secrets, sp_codec
 
 ARROW_ROWS = "2000"  # rows of an Arrow batch: long documents, so few of them at once
 
@@ -74,6 +74,19 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in the lines and paragraphs of every document."""
+    return licenses.matches(_table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base patterns and random strings."""
+    found = secrets.scan(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document; documents labelled as good are the trusted ones."""
     trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -81,8 +94,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece, op7_license_scans, op8_secret_scans, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": OP1_SQL}
+    return {"op1_chat_formatting": OP1_SQL, "op7_license_scans": licenses.oracle_sql()}
