@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from oddsflow.llm.words import slices
 
 MARK = "▁"
-CACHE = 600_000
+CACHE = 250_000
 _CHUNK = re.compile(f"\n|[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+")
 
 
