@@ -71,10 +71,11 @@ def matches(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_
         dice = 2 * F.size(F.array_intersect("grams", F.array(*map(F.lit, own)))) / (F.col("size") + len(own)).cast("double")
         near = F.when(F.col("size").between(low, high), dice)  # the size bounds prune before anything is compared
         found.append(F.when(near >= least, F.struct(near.alias("score"), F.lit(name).alias("license"))))
-    hits = each.select("row", "doc_id", "unit", F.array_compact(F.array(*found)).alias("hits")).where("unit = 0 or size(hits) > 0")  # unit 0 stands for its row
+    hits = each.select("row", "doc_id", "unit", F.array_compact(F.array(*found)).alias("hits"))
     best = F.array_min(F.transform("hits", lambda h: F.struct((-h["score"]).alias("low"), h["license"].alias("license"))))
-    out = hits.select("row", "doc_id", (F.size("hits") > 0).cast("long").alias("hit"), best.alias("best"))
-    out = out.groupBy("row", "doc_id").agg(F.sum("hit").alias("n_matches"), F.min("best").alias("best"))
+    # One row a matching unit, and unit 0 of every document; the generator keeps the test from being pushed below what it tests.
+    out = hits.select("row", "doc_id", "unit", F.explode_outer(F.when(F.size("hits") > 0, F.array(best))).alias("best")).where("unit = 0 or best is not null")
+    out = out.groupBy("row", "doc_id").agg(F.count("best").alias("n_matches"), F.min("best").alias("best"))
     return out.select("doc_id", "n_matches", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score"))
 
 
