@@ -1,0 +1,68 @@
+"""Each stage of the pipeline against a brute-force version on its own input, and run() as a whole."""
+
+import corpus_pipeline
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from oddsflow.llm import secrets
+from oddsflow.llm.staging import Stage
+from tests.llm.test_fm_dedup import WORD
+from tests.llm.test_partenum import brute as components
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_equal_brute_force(spark):
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    prose = next(r.text for r in source.where("lang = 'en' and n_chars between 500 and 2000").orderBy("doc_id").collect())
+    secret = " ".join(prose.split()[::-1]) + " password=abcdef123456 " + " ".join(sorted(prose.split()))
+    source = source.unionByName(spark.createDataFrame([(10**6 + 3, secret, "en", "x", len(secret))], source.schema))
+    extra = [(10**6, None, "en", "x", 0), (10**6 + 1, "", None, "x", 0), (10**6 + 2, "12345 !!!", "en", "x", 9)]
+    docs = source.unionByName(spark.createDataFrame(extra, source.schema)).withColumn("row", F.lit("clash"))
+    stage, kept = Stage(spark, "pipeline-test"), [docs]
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        kept.append(stage(step(spark, kept[-1], SF)))
+        assert kept[-1].columns == docs.columns
+    rows = [{r.doc_id: r for r in k.collect()} for k in kept]
+
+    assert rows[1].keys() == {r.doc_id for r in source.collect()}  # all prose stays; no letters, no language
+    assert all(rows[1][i].text == rows[0][i].text and rows[1][i].row == "clash" for i in rows[1])
+
+    groups = components([(i, r.text) for i, r in rows[1].items()], 5, 80, 100)
+    assert rows[2].keys() == {i for i, (_, c) in groups.items() if i == c} and len(rows[2]) < len(rows[1])
+
+    first = {}
+    for i in sorted(rows[2]):
+        words = WORD.findall(rows[2][i].text)
+        for k in range(len(words) - 12):
+            first.setdefault(tuple(words[k:k + 13]), i)
+    for i, r in rows[2].items():
+        words, gone = WORD.findall(r.text), set()
+        for k in range(len(words) - 12):
+            if first[tuple(words[k:k + 13])] < i:
+                gone.update(range(k, k + 13))
+        assert WORD.findall(rows[3][i].text) == [w for k, w in enumerate(words) if k not in gone]
+        assert gone or rows[3][i].text == r.text
+        assert rows[3][i].n_chars == len(rows[3][i].text)
+
+    vocabulary = secrets.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    masked = 0
+    for i, r in rows[3].items():
+        spans = secrets.find(r.text, vocabulary)
+        masked += bool(spans)
+        assert rows[4][i].text == secrets.hide(r.text, spans)
+    assert masked
+
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept[-1], SF).collect()
+    assert {p.doc_id for p in packed} == rows[4].keys()
+    used = {}
+    for p in packed:
+        used[p.sequence_id] = used.get(p.sequence_id, 0) + p.length
+    assert max(used.values()) <= 4096 and len(used) <= -(-sum(used.values()) // 4096) + 1
+
+
+def test_run_and_empty_documents(spark, tmp_path):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 100 and "sequence_id" in out.columns
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
