@@ -28,9 +28,12 @@ def ts_millis(ts: Column | str) -> Column:
 
 
 def minutes_between(later: Column | str, earlier: Column | str) -> Column:
-    """Whole minutes from ``earlier`` to ``later``, rounded half away from zero, as int."""
-    secs = ts_seconds(later) - ts_seconds(earlier)
-    return F.round(secs / F.lit(60.0), 0).cast("int")
+    """Whole minutes from ``earlier`` to ``later``, rounded half away from zero, as int.
+
+    The difference is cut to whole seconds (towards zero), not the two times.
+    """
+    micros = F.unix_micros(_c(later).cast("timestamp")) - F.unix_micros(_c(earlier).cast("timestamp"))
+    return F.round((micros / F.lit(1e6)).cast("long") / F.lit(60.0), 0).cast("int")
 
 
 def minute_offset(epoch_ms: Column | str, anchor: Column | str) -> Column:
@@ -127,3 +130,19 @@ def clock_for(df: DataFrame, col: str) -> DataFrame:
         F.format_string("%02d:%02d", "hour", "minute").alias("time"),
         "hour", "minute",
     )
+
+
+def minutes_for(df: DataFrame, col: str) -> DataFrame:
+    """Every minute between the first and the last time in ``col``: minute, time_key, 'HH:mm'.
+
+    The two bounds are one aggregated row; days are generated from it and
+    minutes from the days, so no array is longer than a day's minutes.
+    """
+    step = F.expr("INTERVAL 1 MINUTE")
+    bounds = df.agg(F.date_trunc("minute", F.min(col)).alias("lo"), F.date_trunc("minute", F.max(col)).alias("hi"))
+    days = bounds.select("lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"), F.expr("INTERVAL 1 DAY"))).alias("day"))
+    first = F.greatest(F.col("lo"), F.col("day").cast("timestamp"))
+    last = F.least(F.col("hi"), (F.date_add("day", 1)).cast("timestamp") - step)
+    minutes = days.select(F.explode(F.sequence(first, last, step)).alias("minute"))
+    return minutes.select(F.col("minute").cast("timestamp_ntz").alias("minute"), time_key("minute").alias("time_key"),
+                          F.date_format("minute", "HH:mm").alias("time"))

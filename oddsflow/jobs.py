@@ -1,7 +1,7 @@
 """Table-to-table jobs: the layers of the reference as callable functions.
 
-    load_raw            landing files -> <ns>.raw              (append only new changes)
-    build_clean         <ns>.raw -> event, market, market_change, market_runner,
+    load_raw            landing files -> <ns>.raw, <ns>.raw_lineage   (append only what is new)
+    build_clean         <ns>.raw -> market_definition, event, market, market_change, market_runner,
                         market_type, runner, runner_change, price, match_statistics
                         (+ views market_v1, runner_v1 in the older column shapes)
     build_presentation  clean tables -> dim_date, dim_time, dim_first_goal, dim_runner,
@@ -20,11 +20,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.time import calendar_dim, clock_dim
+from .functions.time import calendar_for, clock_dim
 from .plans import clean, present
 from .plans.legacy import create_legacy_views
-from .sinks.tables import WriteMode, ensure_namespace, save_table, sorted_layout
-from .sources.feed import ingest, ingest_counted, read_feed
+from .sinks.tables import STAGED, WriteMode, ensure_namespace, recover_table, save_table, sorted_layout, stored, swap_in
+from .sources.feed import read_feed, seen_changes, split_lineage
 
 # Layout sort keys of the tables that get a sorted rewrite.
 SORT_KEYS = {
@@ -46,86 +46,99 @@ def _t(namespace: str, name: str) -> str:
 
 
 def new_changes(spark: SparkSession, fresh: DataFrame, raw_table: str) -> DataFrame:
-    """Changes of ``fresh`` not yet in ``raw_table`` (compared on pt and the change).
+    """Changes of ``fresh`` not yet in ``raw_table`` (compared on pt and the change, NULLs alike).
 
     Only stored rows inside the pt range of ``fresh`` are read; with the raw
-    table sorted by pt, parquet statistics skip the rest.
+    table sorted by pt, parquet statistics skip the rest.  ``fresh`` is read
+    twice: pass a stored table.
     """
     if not spark.catalog.tableExists(raw_table):
         return fresh
-    bounds = fresh.agg(F.min("pt").alias("lo"), F.max("pt").alias("hi")).collect()[0]
-    if bounds["lo"] is None:
-        return fresh
-    stored = (spark.read.table(raw_table)
-              .where((F.col("pt") >= bounds["lo"]) & (F.col("pt") <= bounds["hi"])).select("pt", "mc"))
-    return fresh.join(stored, ["pt", "mc"], "left_anti")
+    return not_stored(fresh, spark.read.table(raw_table))
+
 
+def not_stored(fresh: DataFrame, stored_rows: DataFrame) -> DataFrame:
+    bounds = fresh.agg(F.min("pt").alias("lo"), F.max("pt").alias("hi")).first()
+    old = stored_rows.where(F.col("pt").isNull() | F.col("pt").between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+    old = old.select(F.col("pt").alias("_pt"), F.col("mc").alias("_mc"))
+    return fresh.join(old, fresh["pt"].eqNullSafe(old["_pt"]) & fresh["mc"].eqNullSafe(old["_mc"]), "left_anti")
 
-def load_raw(spark: SparkSession, path: str, namespace: str, lineage_table: bool = False) -> DataFrame:
+
+def load_raw(spark: SparkSession, path: str, namespace: str) -> DataFrame:
     """P-1: read the landing files, de-duplicate, append what is new to <ns>.raw.
 
-    With ``lineage_table`` the raw rows carry ``n_files``/``first_file`` and the
-    file lineage goes to ``<ns>.raw_lineage`` as (change_key, file) rows, so no
-    change's file list is ever collected into one value.
+    The feed is parsed once: its distinct (change, file) rows are stored, and
+    the new changes, their time range and the lineage all come from there.
+    Lineage goes to <ns>.raw_lineage as (change_key, file) rows, so a change's
+    file list is never collected into one value, and a copy that turns up in a
+    later load adds its file.
     """
     ensure_namespace(spark, namespace)
-    name = _t(namespace, "raw")
-    feed = read_feed(spark, path)
-    if lineage_table:
-        fresh, lineage = ingest_counted(feed)
-        lin_name = _t(namespace, "raw_lineage")
-        if spark.catalog.tableExists(lin_name):
-            lineage = lineage.join(spark.read.table(lin_name).select("change_key", "file"),
-                                   ["change_key", "file"], "left_anti")
-        save_table(spark, lineage, lin_name, WriteMode.APPEND)
-    else:
-        fresh = ingest(feed)
+    name, lineage_name = _t(namespace, "raw"), _t(namespace, "raw_lineage")
+    for table in (name, lineage_name):
+        recover_table(spark, table)
+    fresh, lineage = split_lineage(stored(seen_changes(read_feed(spark, path)), "feed-batch"))
+    if spark.catalog.tableExists(lineage_name):
+        lineage = lineage.join(spark.read.table(lineage_name).select("change_key", "file"), ["change_key", "file"], "left_anti")
+    save_table(spark, lineage, lineage_name, WriteMode.APPEND)
     save_table(spark, new_changes(spark, fresh, name), name, WriteMode.APPEND)
     return spark.read.table(name)
 
 
-def build_clean(spark: SparkSession, namespace: str, price_since: str | None = clean.PRICE_SINCE,
-                buckets: int = RUNNER_BUCKETS) -> None:
-    """P-2 … P-11 from <ns>.raw.  runner_change is bucketed on (market_id, runner_id)."""
+def build_clean(spark: SparkSession, namespace: str, price_since: str | None = None, buckets: int = RUNNER_BUCKETS,
+                mode: WriteMode | str = WriteMode.REPLACE) -> dict[str, int]:
+    """P-2 … P-11 from <ns>.raw; returns the rows written per table, counted while writing.
+    runner_change is bucketed on (market_id, runner_id)."""
     raw = spark.read.table(_t(namespace, "raw"))
-    outputs = {
-        "event": clean.event_dim(raw),
-        "market": clean.market_state(raw),
-        "market_change": clean.market_changes(raw),
-        "market_runner": clean.market_runners(raw),
-        "market_type": clean.market_types(raw),
-        "runner": clean.runners(raw),
-        "runner_change": clean.runner_changes(raw),
-        "price": clean.prices(raw, since=price_since),
-    }
-    for name, df in outputs.items():
-        bucket = (buckets, RUNNER_KEYS) if name == "runner_change" and buckets else None
-        save_table(spark, df, _t(namespace, name), WriteMode.REPLACE, bucket_by=bucket)
     t = lambda n: spark.read.table(_t(namespace, n))
-    stats = clean.match_statistics(t("market"), t("runner"), t("price"))
-    save_table(spark, stats, _t(namespace, "match_statistics"), WriteMode.REPLACE)
+    written: dict[str, int] = {}
+
+    def save(name: str, df: DataFrame) -> None:
+        bucket = (buckets, RUNNER_KEYS) if name == "runner_change" and buckets else None
+        written[name] = _save_counted(spark, df, _t(namespace, name), mode, bucket)
+
+    save("market_definition", clean.flattened_definitions(raw))
+    save("event", clean.event_dim(raw))
+    save("market", clean.market_state(raw))
+    save("market_change", clean.market_changes(raw))
+    save("market_runner", clean.market_runners(raw, with_epoch=True))
+    save("market_type", clean.market_types(raw))
+    save("runner", clean.runners(raw, with_epoch=True))
+    save("runner_change", clean.runner_changes(raw))
+    save("price", clean.prices(raw, since=price_since))
+    save("match_statistics", clean.match_statistics(t("market"), t("runner"), t("price")))
     create_legacy_views(spark, namespace)
+    return written
+
+
+def _save_counted(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode | str, bucket=None) -> int:
+    observed, seen = clean.observed_count(df, name)
+    save_table(spark, observed, name, mode, bucket_by=bucket)
+    return seen.get["rows"]
 
 
-def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | None = 3_600_000,
-                       buckets: int = RUNNER_BUCKETS) -> None:
-    """P-12 … P-18 from the clean tables.  dim_runner is bucketed like
-    runner_change, so the fact's join of the two needs no shuffle."""
+def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | None = present.BUCKET_MS,
+                       buckets: int = RUNNER_BUCKETS, mode: WriteMode | str = WriteMode.REPLACE) -> dict[str, int]:
+    """P-12 … P-18 from the clean tables; returns the rows written per table.  The date dimension
+    covers the days of the markets; dim_runner is bucketed like runner_change, so the fact's join
+    of the two needs no shuffle.  ``mode`` is how the tables that exist are treated."""
     t = lambda n: spark.read.table(_t(namespace, n))
-    save_table(spark, calendar_dim(spark), _t(namespace, "dim_date"), WriteMode.REPLACE)
-    save_table(spark, clock_dim(spark), _t(namespace, "dim_time"), WriteMode.REPLACE)
-    save_table(spark, present.dim_first_goal(t("market"), t("runner")), _t(namespace, "dim_first_goal"),
-               WriteMode.REPLACE)
-    dr = present.dim_runner(t("runner"), t("market_runner"), t("market"), t("market_type"), t("event"),
-                            t("runner_change"))
-    save_table(spark, dr, _t(namespace, "dim_runner"), WriteMode.REPLACE,
-               bucket_by=(buckets, RUNNER_KEYS) if buckets else None)
-    fact = present.fact_runner_odds(t("runner_change"), t("market"), t("dim_runner"), bucket_ms=bucket_ms)
-    save_table(spark, fact, _t(namespace, "fact_runner_odds"), WriteMode.REPLACE)
+    written: dict[str, int] = {}
+
+    def save(name: str, df: DataFrame, bucket=None) -> None:
+        written[name] = _save_counted(spark, df, _t(namespace, name), mode, bucket)
+
+    times = t("market").select(F.explode(F.array("scheduled_time", "kick_off")).alias("day"))
+    save("dim_date", calendar_for(times, "day"))
+    save("dim_time", clock_dim(spark))
+    save("dim_first_goal", present.dim_first_goal(t("market"), t("runner")))
+    dr = present.dim_runner(t("runner"), t("market_runner"), t("market"), t("market_type"), t("event"), t("runner_change"))
+    save("dim_runner", dr, (buckets, RUNNER_KEYS) if buckets else None)
+    save("fact_runner_odds", present.fact_runner_odds(t("runner_change"), t("market"), t("dim_runner"), bucket_ms=bucket_ms, store=stored))
     for name, types, stat in (("fact_first_goal_match_odds", present.MATCH_ODDS_TYPES, "avg"),
                               ("fact_first_goal_over_under", present.OVER_UNDER_TYPES, "median")):
-        df = present.first_goal_fact(t("dim_runner"), t("fact_runner_odds"), t("dim_first_goal"), types, stat)
-        save_table(spark, df, _t(namespace, name), WriteMode.REPLACE)
+        save(name, present.first_goal_fact(t("dim_runner"), t("fact_runner_odds"), t("dim_first_goal"), types, stat))
+    return written
 
 
 def rewrite_sorted_table(spark: SparkSession, table: str, keys: Sequence[tuple[str, bool]] | None = None,
@@ -136,17 +149,12 @@ def rewrite_sorted_table(spark: SparkSession, table: str, keys: Sequence[tuple[s
     their bucket keys inside each bucket; rewriting them here would drop the
     bucketing, so this is for the others (raw, fact_runner_odds).
 
-    The sorted copy is written as a new table first; the original is renamed
-    aside before the copy takes its name and dropped only after that, so a
-    failure at any step leaves a complete table behind.
+    The sorted copy is written as a new table first and swapped in; a call after
+    a failure at any step first recovers the table (see recover_table).
     """
     short = table.split(".")[-1]
     keys = list(keys or SORT_KEYS[short])
     cols: list[Column] = [F.col(k).desc_nulls_last() if desc else F.col(k).asc_nulls_last() for k, desc in keys]
-    tmp, old = f"{table}__sorted", f"{table}__unsorted"
-    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    sorted_layout(spark.read.table(table), cols, partitions).write.format("parquet").saveAsTable(tmp)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    recover_table(spark, table)
+    sorted_layout(spark.read.table(table), cols, partitions).write.format("parquet").saveAsTable(table + STAGED)
+    swap_in(spark, table)

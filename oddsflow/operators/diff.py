@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 CHANGE_TYPE = "_change_type"
 INSERT, DELETE = "INSERT", "DELETE"
+COPIES = 1 << 16  # copies of one row made from one array
 
 
 def latest_batch(load_log: DataFrame, batch_col: str = "batch_id", committed_col: str = "committed_at") -> DataFrame:
@@ -41,7 +42,11 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return net.select(
         *cols,
         F.when(F.col("_n") > 0, F.lit(INSERT)).otherwise(F.lit(DELETE)).alias(CHANGE_TYPE),
-        F.explode(F.sequence(F.lit(1), F.abs(F.col("_n")))).alias("_k"),
+        # copies in two steps, so a row repeated very often never becomes one huge array
+        F.col("_n"), F.explode(F.sequence(F.lit(0), F.floor((F.abs("_n") - 1) / COPIES))).alias("_run"),
+    ).select(
+        *cols, CHANGE_TYPE,
+        F.explode(F.sequence(F.lit(1), F.least(F.lit(COPIES), F.abs("_n") - F.col("_run") * COPIES))).alias("_k"),
     ).drop("_k")
 
 

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 
 def hash_key(cols: Sequence[str | Column]) -> Column:
-    """64-bit key from the natural key: same value on every run and append."""
-    return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
+    """64-bit key from the natural key: same value on every run and append.
+
+    The hash passes over NULLs, so a null mask goes in with the values:
+    (NULL, 7) and (7, NULL) are different keys.
+    """
+    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return F.xxhash64(*parts, *[p.isNull() for p in parts])
 
 
 def surrogate_key(df: DataFrame, natural_key: Sequence[str], name: str = "id", method: str = "hash") -> DataFrame:

@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
 # The ladder sides of the feed and the side tags kept in the
 # tables ("b" = best available to back, "l" = best available to lay).
 LADDER_SIDES = {"b": "batb", "l": "batl"}
@@ -51,9 +49,10 @@ def pivot_levels(df: DataFrame, keys: Sequence[str], level_col: str, values: Seq
     """Long ladder rows -> one row per key with ``{level}_{value}`` columns.
 
     Conditional aggregation in one ``groupBy`` (partial + final): for level k the
-    values of the row with the smallest tiebreak among rows at level k.  With a
-    single tie-break column the aggregation is hash based (fixed-width
-    buffers); it must then be unique among rows of a key at one level.  Levels
+    values of the row with the smallest tiebreak among rows at level k (NULLs
+    last).  With a single tie-break column the aggregation is hash based
+    (fixed-width buffers); it must then be unique and not NULL among rows of a
+    key at one level.  Levels
     not listed are ignored; missing levels give NULL.  Same result as
     ``pivot(level, [...]).agg(first(...))`` with a deterministic survivor, but
     without the two-stage pivot aggregation.  ``carry`` are columns that are
@@ -71,7 +70,7 @@ def pivot_levels(df: DataFrame, keys: Sequence[str], level_col: str, values: Seq
             at_k = F.when(F.col(level_col) == F.lit(k), tb1)
             aggs += [F.min_by(F.col(v), at_k).alias(name.format(level=label, value=v)) for v in values]
         return df.groupBy(*keys).agg(*carried, *aggs)
-    tb = F.struct(*[F.col(c) for c in tiebreak])
+    tb = F.struct(*[x for c in tiebreak for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c))])
     payload = F.struct(*[F.col(v) for v in values])
     aggs = [F.min_by(payload, F.when(F.col(level_col) == F.lit(k), tb)).alias(f"_lvl{k}") for k in levels]
     out = df.groupBy(*keys).agg(*carried, *aggs)
@@ -85,10 +84,12 @@ def carry_forward(df: DataFrame, partition: Sequence[str], order: str, cols: Seq
     """Last non-NULL value so far (LOCF) per partition, ordered by (order, tiebreak).
 
     Without ``bucket`` this is one running window.  With ``bucket`` (an
-    expression of the row, e.g. ``floor(epoch / 86400000)``) the series of a hot
-    partition is split: the window runs per (partition, bucket), the last value
-    of each bucket is carried across buckets on the (small) table of bucket
-    summaries, and joined back.  No task ever holds a whole series.
+    expression that does not decrease along a series, e.g. ``floor(epoch /
+    3600000)``) a long series is split: a pre-aggregation gives the last value of
+    each bucket, a window over that small table carries it across buckets, and
+    what a bucket starts from is fed into its own window as one extra leading
+    row.  The big frame is shuffled once; a task holds one bucket of a series,
+    so the bucket's width bounds it.  ``df`` is read twice: pass a stored table.
     """
     partition = list(partition)
     order_by = [F.col(order)] + [F.col(c) for c in tiebreak]
@@ -96,23 +97,13 @@ def carry_forward(df: DataFrame, partition: Sequence[str], order: str, cols: Seq
         w = Window.partitionBy(*partition).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
-    b = "_bucket"
-    data = df.withColumn(b, bucket).repartition(*partition, b)
-    w = Window.partitionBy(*partition, b).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    local = data.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
-    # `local` feeds two branches (bucket summaries and the final join).  Catalyst
-    # prunes the branches differently, so their shuffles would not be reused and
-    # everything upstream would run twice; a reliable checkpoint in the shared
-    # checkpoint folder computes it once and keeps its partitioning.
-    checkpoint_dir(local.sparkSession)
-    local = local.checkpoint(eager=True)
-    # The last row of a bucket holds the bucket's last non-NULL value; `local`
-    # is clustered by (partition, bucket), so this adds no shuffle.
-    summary = local.groupBy(*partition, b).agg(
-        *[F.max_by(F.col(c), F.struct(*order_by)).alias(f"_end_{c}") for c in cols])
+    b, lead = "_bucket", "_lead"
+    data = df.withColumns({b: bucket, lead: F.lit(1)})
+    at = F.struct(*order_by)
+    ends = data.groupBy(*partition, b).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
     wb = Window.partitionBy(*partition).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry_in = summary.select(
-        *partition, b, *[F.last(F.col(f"_end_{c}"), ignorenulls=True).over(wb).alias(f"_in_{c}") for c in cols])
-    joined = local.join(carry_in, partition + [b], "left")
-    filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_in_{c}")) for c in cols})
-    return filled.select(*df.columns)
+    starts = ends.select(*partition, b, F.lit(0).alias(lead), *[F.last(F.col(c), ignorenulls=True).over(wb).alias(c) for c in cols])
+    w = Window.partitionBy(*partition, b).orderBy(lead, *order_by).rowsBetween(Window.unboundedPreceding, 0)
+    both = data.unionByName(starts, allowMissingColumns=True)
+    filled = both.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
+    return filled.where(F.col(lead) == 1).select(*df.columns)

@@ -133,13 +133,13 @@ def top1(df: DataFrame, partition: Sequence[str], order: Sequence[Column], flag:
 
 
 def any_true_by(df: DataFrame, keys: Sequence[str], detail: Sequence[str], cond: Column,
-                name: str) -> DataFrame:
+                name: str, extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """Distinct (keys, detail) rows with ``name`` = OR of ``cond`` over each key.
 
     First aggregated on (keys, detail) — partial, skew safe — then the OR is
     spread over the few detail rows of a key with a window.
     """
     keys = _cols(keys)
-    per_detail = df.groupBy(*keys, *detail).agg(F.bool_or(cond).alias(name))
+    per_detail = df.groupBy(*keys, *detail).agg(F.bool_or(cond).alias(name), *extra_aggs)
     w = Window.partitionBy(*keys)
     return per_detail.withColumn(name, F.bool_or(F.col(name)).over(w))

@@ -29,8 +29,6 @@ OVER_05_RUNNER = "Over 0.5 Goals"
 OVER_PREFIX = "Over"
 ANY_UNQUOTED = "Any unquoted"
 WINNER = "WINNER"
-# Fixed value: the price table starts here.
-PRICE_SINCE = "2025-01-01"
 # Changes of one runner at the same time: traded volume never decreases, so the
 # higher volume is the later change; odds settle the rest.
 SAME_TIME_ORDER = ("total_volume", "odds")
@@ -127,30 +125,35 @@ def _runner_rows(raw: DataFrame) -> DataFrame:
     return d.select("market_id", "market_name", "pt", "version", F.inline("_runners"))
 
 
-def market_runners(raw: DataFrame) -> DataFrame:
-    """P-6: (market, runner, sort priority) with winner = the runner ever won."""
+def market_runners(raw: DataFrame, with_epoch: bool = False) -> DataFrame:
+    """P-6: (market, runner, sort priority) with winner = the runner ever won (false if no
+    status is known).  ``with_epoch`` adds last_epoch, the latest change that says so."""
     r = _runner_rows(raw).select("market_id", F.col("id").alias("runner_id"),
-                                 F.col("sortPriority").alias("sort_priority"), "status")
-    out = any_true_by(r, ["market_id", "runner_id"], ["sort_priority"], F.col("status") == F.lit(WINNER), "winner")
-    return out.select("market_id", "runner_id", "winner", "sort_priority")
+                                 F.col("sortPriority").alias("sort_priority"), "status", "pt")
+    won = F.coalesce(F.col("status") == F.lit(WINNER), F.lit(False))
+    out = any_true_by(r, ["market_id", "runner_id"], ["sort_priority"], won, "winner",
+                      extra_aggs=[F.max("pt").alias("last_epoch")])
+    return out.select("market_id", "runner_id", "winner", "sort_priority", *(["last_epoch"] if with_epoch else []))
 
 
 def market_types(raw: DataFrame, key: str = "hash") -> DataFrame:
-    """P-7: distinct market types with a stable key (hash of the type, or dense rank)."""
-    types = definitions(raw).select(F.col("marketType").alias("type")).where(F.col("type").isNotNull())
+    """P-7: distinct market types, an unknown (NULL) one included, with a stable key
+    (hash of the type, or dense rank with NULL last)."""
+    types = definitions(raw).select(F.col("marketType").alias("type"))
     if key == "rank":
         return with_rank_key(types, "type", "id")
     return with_hash_key(types, ["type"], "id")
 
 
-def runners(raw: DataFrame) -> DataFrame:
-    """P-8: one row per (market, runner) with the latest status and sort priority."""
+def runners(raw: DataFrame, with_epoch: bool = False) -> DataFrame:
+    """P-8: one row per (market, market name, runner, runner name) with the latest status and
+    sort priority.  ``with_epoch`` adds last_epoch, the latest change under these names."""
     r = _runner_rows(raw)
     latest = latest_state(r, ["market_id", "market_name", "id", "name"], "pt", ["status", "sortPriority"],
-                          tiebreak=["version"])
+                          tiebreak=["version"], extra_aggs=[F.max("pt").alias("last_epoch")])
     return latest.select(
         "market_id", "market_name", F.col("id").alias("runner_id"), F.col("name").alias("runner_name"),
-        "status", F.col("sortPriority").alias("sort_priority"),
+        "status", F.col("sortPriority").alias("sort_priority"), *(["last_epoch"] if with_epoch else []),
     )
 
 
@@ -172,8 +175,8 @@ def runner_changes(raw: DataFrame) -> DataFrame:
                       "position", "odds", "amount", "type")
 
 
-def prices(raw: DataFrame, since: str | None = PRICE_SINCE) -> DataFrame:
-    """P-10: long ladder with handicap and total volume, from ``since`` on."""
+def prices(raw: DataFrame, since: str | None = None) -> DataFrame:
+    """P-10: long ladder with handicap and total volume; all of it, or from ``since`` on."""
     src = raw
     if since:
         src = src.where(F.col("timestamp") >= F.to_timestamp(F.lit(since)))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import date_key, epoch_ms_to_date, minute_offset, time_key
-from ..operators.joins import HOT_KEY_SALT, broadcast_if_bounded, range_join, salted_join
+from ..operators.joins import HOT_KEY_SALT, range_join, salted_join
 from ..operators.keys import hash_key
 from ..operators.ladder import carry_forward, pivot_levels
 from ..operators.latest import ordering, top1
@@ -27,6 +27,15 @@ AFTER_GOAL_FROM, AFTER_GOAL_TO = 2, 5
 # Changes of one runner at the same epoch: the higher traded volume is the later
 # one (volume never decreases).  Rows of one change then go best level first.
 SAME_EPOCH_ORDER = ("tv",)
+# Width of a carry-forward bucket: the changes of one runner and side in this time are one task's.
+BUCKET_MS = 600_000
+
+
+# Columns of the first-goal facts.
+FIRST_GOAL_COLUMNS = (
+    "event_id", "event_name", "market_id", "market_name", "runner_key", "runner_id", "name", "timestamp",
+    "pre_ko_traded_volume", "ko_odds", "favourite", "sort_priority", "winner", "country_code",
+    "first_odds", "second_odds", "third_odds", "first_goal_minute")
 
 
 def dim_first_goal(market: DataFrame, runner: DataFrame) -> DataFrame:
@@ -102,22 +111,22 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
     """P-15: runner dimension of the star schema, one row per (market, runner).
 
     Key ``id`` is a hash of (market_id, runner_id): stable across runs and
-    appends.  Joins are left to the optimizer: every side here grows with the
-    feed except ``market_type``, a bounded catalogue.
+    appends.  A runner that was renamed, or whose market was, or that changed its
+    sort priority, has several rows in ``runner`` or ``market_runner``: the latest
+    (column last_epoch, where the tables have it) counts.  Joins are left to
+    the optimizer.
     """
     # volumes and kick-off odds come from one aggregation; the favourite is
     # ranked among runners with a back change before kick-off only
     stats = _favourite(_runner_stats(changes, market, tiebreak, with_odds=True).where(F.col("_has_back"))
                        .drop("_has_back"))
     m = market.select("market_id", "market_type", "event_id", "scheduled_time", "kick_off")
-    # market types are a bounded catalogue: the one broadcast with a size bound
-    mt = broadcast_if_bounded(
-        market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id")), bounded=True)
+    mt = market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id"))
     e = event.select(F.col("id").alias("event_id"), F.col("name").alias("event_name"), "country_code")
     # (market, runner)-keyed inputs first: they share one partitioning, so the
     # growing star is reshuffled only for the market and event joins
-    star = (runner.select("market_id", "runner_id", F.col("runner_name").alias("name"))
-            .join(market_runner.select("market_id", "runner_id", "sort_priority", "winner"), ["market_id", "runner_id"])
+    star = (_one_name(runner)
+            .join(_one_priority(market_runner), ["market_id", "runner_id"])
             .join(stats, ["market_id", "runner_id"])
             .join(m, "market_id")
             .join(mt, "market_type")
@@ -134,25 +143,49 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
     )
 
 
-def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame,
-                     tiebreak: Sequence[str] = (), bucket_ms: int | None = None) -> DataFrame:
-    """P-16: top-3 ladder per change in wide form, minute from kick-off,
-    levels carried forward per (market, runner, side).
+def _age(df: DataFrame) -> list:
+    return [F.col("last_epoch")] if "last_epoch" in df.columns else []
 
-    ``bucket_ms`` splits each series into time buckets for the carry-forward
-    (see :func:`carry_forward`), so a hot market never lands in one task.
-    """
+
+def _one_name(runner: DataFrame) -> DataFrame:
+    """The latest name of each (market, runner)."""
+    return runner.groupBy("market_id", "runner_id").agg(
+        F.max_by("runner_name", F.struct(*_age(runner), *[F.col(c) for c in ("market_name", "runner_name") if c in runner.columns]))
+        .alias("name"))
+
+
+def _one_priority(market_runner: DataFrame) -> DataFrame:
+    """The latest sort priority of each (market, runner), and whether it ever won."""
+    return market_runner.groupBy("market_id", "runner_id").agg(
+        F.max_by("sort_priority", F.struct(*_age(market_runner), F.col("sort_priority"))).alias("sort_priority"),
+        F.bool_or("winner").alias("winner"))
+
+
+def wide_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """P-16 before the carry-forward: top-3 ladder per change of the dimension's runners, in
+    wide form, with the minute from kick-off.  Runners are joined first, so only their
+    changes are pivoted, on keys that the join's partitioning already serves."""
     keys = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type"]
-    # A well-formed ladder has one entry per position in a change, so the odds
-    # identify it; a single numeric tie-break keeps the pivot hash-aggregated.
-    wide = pivot_levels(changes, keys, "position", ["odds", "amount"], tiebreak=list(tiebreak) or ["odds"])
-    # kick-off goes onto the small side (one row per runner) first, so the big
-    # side is joined once, on (market, runner)
     dr = (dim_runner_df.select(F.col("id").alias("runner_key"), "market_id", "runner_id")
           .join(market.select("market_id", "kick_off"), "market_id"))
     salt_by = ["epoch", "type", "hc", "ltp", "tv"]
-    j = salted_join(wide, dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
-    j = j.withColumn("minute", minute_offset("epoch", "kick_off")).drop("kick_off")
+    j = salted_join(changes, dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
+    wide = pivot_levels(j, keys, "position", ["odds", "amount"], tiebreak=list(tiebreak) or ["odds", "amount"],
+                        carry=["runner_key", "kick_off"])
+    return wide.withColumn("minute", minute_offset("epoch", "kick_off")).drop("kick_off")
+
+
+def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str] = (),
+                     bucket_ms: int | None = BUCKET_MS, store=None) -> DataFrame:
+    """P-16: top-3 ladder per change in wide form, minute from kick-off,
+    levels carried forward per (market, runner, side).
+
+    ``bucket_ms`` splits each series into time buckets for the carry-forward
+    (see :func:`carry_forward`), so no task holds a whole long series.  ``store``
+    writes the wide frame and reads it back, as the carry-forward reads it twice.
+    """
+    wide = wide_odds(changes, market, dim_runner_df, tiebreak)
+    j = store(wide) if store else wide
     levels = [f"{lvl}_{v}" for lvl in ("first", "second", "third") for v in ("odds", "amount")]
     bucket = F.floor(F.col("epoch") / F.lit(bucket_ms)) if bucket_ms else None
     filled = carry_forward(j, ["market_id", "runner_id", "type"], "epoch", levels,
@@ -170,9 +203,11 @@ def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataF
     The minute window is a range condition on the event equi-join.
     """
     dr = dim_runner_df.where(F.col("market_name").isin(*market_types))
-    f = fact.select(F.col("runner_key").alias("id"), "minute", "epoch", "first_odds", "second_odds", "third_odds")
+    # the natural key joins along with the hash, so no collision can mix two runners
+    f = fact.select(F.col("runner_key").alias("id"), "market_id", "runner_id", "minute", "epoch", "first_odds", "second_odds",
+                    "third_odds")
     # fact rows are the big side: a hot runner is salted over several tasks
-    j = salted_join(f, dr, ["id"], salt=HOT_KEY_SALT, salt_cols=["epoch", "minute"])
+    j = salted_join(f, dr, ["id", "market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=["epoch", "minute"])
     fg = first_goal.select(F.col("event_id").alias("_fg_event"), "first_goal_minute")
     j = range_join(j.withColumnRenamed("event_id", "_fg_event"), fg, ["_fg_event"], F.col("minute"),
                    F.col("first_goal_minute") + AFTER_GOAL_FROM, F.col("first_goal_minute") + AFTER_GOAL_TO,
@@ -186,9 +221,7 @@ def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataF
              "name", "pre_ko_traded_volume", "ko_odds", "favourite", "sort_priority", "winner", "country_code",
              "first_goal_minute"]
     out = j.groupBy(*group).agg(epoch_ms_to_date(F.min("epoch")).alias("timestamp"), *agg)
-    return out.select("event_id", "event_name", "market_id", "market_name", "runner_key", "runner_id", "name",
-                      "timestamp", "pre_ko_traded_volume", "ko_odds", "favourite", "sort_priority", "winner",
-                      "country_code", "first_odds", "second_odds", "third_odds", "first_goal_minute")
+    return out.select(*FIRST_GOAL_COLUMNS)
 
 
 __all__ = [
@@ -201,25 +234,23 @@ def first_goal_fact_sql(spark, dim_runner_table: str, fact_table: str, first_goa
                         market_types: Sequence[str], stat: str = "avg") -> DataFrame:
     """SRC-6: :func:`first_goal_fact` as SQL text over tables or views.
 
-    Same result as the DataFrame form: the range condition is a residual of the
-    event equi-join, the day is taken from the earliest change in the window.
+    The odds in the window are aggregated per runner key first; the runner's
+    attributes are joined to that small result, so they need no grouping.
     """
-    agg = "avg({c})" if stat == "avg" else "percentile_approx({c}, 0.5)"
-    stats = ",\n               ".join(f"{agg.format(c='f.' + c)} AS {c}"
-                                      for c in ("first_odds", "second_odds", "third_odds"))
-    types = ", ".join("'" + t.replace("'", "''") + "'" for t in market_types)
+    how = {"avg": "avg", "median": "approx_percentile"}[stat]
+    levels = ("first_odds", "second_odds", "third_odds")
+    figures = ", ".join(f"{how}({c}{'' if stat == 'avg' else ', 0.5'}) AS {c}" for c in levels)
+    wanted = ", ".join("'" + t.replace("'", "''") + "'" for t in market_types)
+    columns = ", ".join(FIRST_GOAL_COLUMNS)
     return spark.sql(f"""
-        SELECT r.event_id, r.event_name, r.market_id, r.market_name, r.id AS runner_key, r.runner_id, r.name,
-               CAST(timestamp_millis(min(f.epoch)) AS DATE) AS timestamp,
-               r.pre_ko_traded_volume, r.ko_odds, r.favourite, r.sort_priority, r.winner, r.country_code,
-               {stats},
-               e.first_goal_minute
-        FROM {dim_runner_table} r
-        JOIN {fact_table} f ON r.id = f.runner_key
-        JOIN {first_goal_table} e
-          ON r.event_id = e.event_id
-         AND f.minute BETWEEN e.first_goal_minute + {AFTER_GOAL_FROM} AND e.first_goal_minute + {AFTER_GOAL_TO}
-        WHERE r.market_name IN ({types})
-        GROUP BY r.event_id, r.event_name, r.market_id, r.market_name, r.id, r.runner_id, r.name,
-                 r.pre_ko_traded_volume, r.ko_odds, r.favourite, r.sort_priority, r.winner, r.country_code,
-                 e.first_goal_minute""")
+        WITH wanted AS (
+            SELECT id AS runner_key, * EXCEPT (id) FROM {dim_runner_table} WHERE market_name IN ({wanted})),
+        goals AS (
+            SELECT runner_key, market_id, runner_id, first_goal_minute
+            FROM wanted JOIN {first_goal_table} USING (event_id)),
+        figures AS (
+            SELECT runner_key, market_id, runner_id, first_goal_minute, {figures}, CAST(timestamp_millis(min(epoch)) AS DATE) AS timestamp
+            FROM goals JOIN {fact_table} USING (runner_key, market_id, runner_id)
+            WHERE minute - first_goal_minute BETWEEN {AFTER_GOAL_FROM} AND {AFTER_GOAL_TO}
+            GROUP BY runner_key, market_id, runner_id, first_goal_minute)
+        SELECT {columns} FROM figures JOIN wanted USING (runner_key, market_id, runner_id)""")

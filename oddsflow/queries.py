@@ -6,22 +6,23 @@ of the given tables.  Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import standins as S
-from .functions.time import calendar_for, epoch_ms_to_ts, minute_offset, ts_millis
-from .operators.diff import snapshot_diff
-from .operators.keys import with_rank_key
+from .functions.time import calendar_for, epoch_ms_to_ts, minute_offset, minutes_for, ts_millis
+from .jobs import rewrite_sorted_table
+from .operators.diff import latest_batch, read_increment, snapshot_diff
+from .operators.keys import with_hash_key, with_rank_key
 from .operators.ladder import carry_forward, explode_ladder, pivot_levels
 from .operators.latest import any_true_by, asof_before, first_when, latest_state, state_history, top1
 from .operators.project import snake_case_columns
 from .plans import clean, present
-from .session import checkpoint_dir
-from .sinks.tables import sort_key, sorted_layout
-from .sources.feed import dedupe_changes, dedupe_with_lineage
+from .sinks.tables import save_table, sort_key, sorted_layout, stored
+from .sources.feed import dedupe_changes, lineage_counts, split_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -129,8 +130,7 @@ def q_change_projection(spark, d):
 
 @register("q_dedupe_lineage", """
 SELECT epoch_ms(l_shipdate) AS pt, l_shipdate AS timestamp, l_returnflag, l_linestatus,
-       string_agg(DISTINCT 'feed/' || CAST(l_suppkey AS VARCHAR) || '.bz2', ',' ORDER BY 'feed/' || CAST(l_suppkey AS VARCHAR) || '.bz2') AS source_files,
-       count(DISTINCT l_suppkey) AS n_files
+       min('feed/' || CAST(l_suppkey AS VARCHAR) || '.bz2') AS first_file, count(DISTINCT l_suppkey) AS n_files
 FROM lineitem GROUP BY l_shipdate, l_returnflag, l_linestatus
 """)
 def q_dedupe_lineage(spark, d):
@@ -139,11 +139,9 @@ def q_dedupe_lineage(spark, d):
         ts_millis("l_shipdate").alias("pt"),
         F.struct("l_returnflag", "l_linestatus").alias("mc"),
         F.concat(F.lit("feed/"), F.col("l_suppkey").cast("string"), F.lit(".bz2")).alias("file"))
-    dd = dedupe_with_lineage(msgs, ["pt", "mc"], "file")
-    return dd.select(
-        "pt", epoch_ms_to_ts("pt").cast("timestamp_ntz").alias("timestamp"), "mc.*",
-        F.array_join("source_file_names", ",").alias("source_files"),
-        F.size("source_file_names").cast("bigint").alias("n_files"))
+    raw, lineage = split_lineage(msgs.groupBy("pt", "mc", "file").agg(F.lit(1).alias("_one")).drop("_one"))
+    return raw.join(lineage_counts(lineage), "change_key").select(
+        "pt", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "mc.*", "first_file", "n_files")
 
 
 @register("q_type_dim", """
@@ -233,6 +231,7 @@ def q_carry_forward(spark, d):
         "event_id", "user_id", "ts",
         F.when(F.col("event_type") != "error", F.col("value")).alias("v"),
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("p"))
+    ev = stored(ev, "carry")  # read twice: bucket ends, and the rows themselves
     week = F.floor(ts_millis("ts") / F.lit(7 * 86400000))
     return carry_forward(ev, ["user_id"], "ts", ["v", "p"], tiebreak=["event_id"], bucket=week)
 
@@ -334,7 +333,7 @@ _PK_SQL = f"""pk AS (
   FROM pk_raw JOIN runner USING (market_id, runner_id)
   GROUP BY event_id, event_name, market_id, kick_off, scheduled_time)"""
 
-_MINUTES_SQL = "CAST(round((epoch_ms(settled_time) // 1000 - epoch_ms(kick_off) // 1000) / 60.0) AS INTEGER)"
+_MINUTES_SQL = "CAST(round(CAST(trunc((epoch_us(settled_time) - epoch_us(kick_off)) / 1000000.0) AS BIGINT) / 60.0) AS INTEGER)"
 _HOME_SQL = "TRY_CAST(split_part(runner_name, ' - ', 1) AS INTEGER)"
 _AWAY_SQL = "TRY_CAST(split_part(runner_name, ' - ', 2) AS INTEGER)"
 _LABEL_SQL = ("CASE WHEN contains(runner_name, 'Home Win') THEN 'HOME' WHEN contains(runner_name, 'Away Win') "
@@ -443,15 +442,15 @@ _TYPE_SQL = """mtype AS (SELECT type, dense_rank() OVER (ORDER BY type) AS id
 
 _VOL_SQL = """vol AS (
   SELECT c.market_id, c.runner_id,
-         arg_max_null(c.tv, (c.epoch, c.seq)) FILTER (WHERE c.timestamp < m.kick_off) AS pre_ko_traded_volume,
-         arg_max_null(c.tv, (c.epoch, c.seq)) AS total_traded_volume
+         arg_max_null(c.tv, (c.epoch, c.seq, c.tv)) FILTER (WHERE c.timestamp < m.kick_off) AS pre_ko_traded_volume,
+         arg_max_null(c.tv, (c.epoch, c.seq, c.tv)) AS total_traded_volume
   FROM chg c JOIN market m USING (market_id)
   GROUP BY c.market_id, c.runner_id HAVING bool_or(c.timestamp < m.kick_off))"""
 
 _ODDS_SQL = """lastb AS (
   SELECT c.market_id, c.runner_id,
-         arg_max_null(c.ltp, (c.epoch, c.seq, -c.position)) AS ko_odds,
-         arg_max_null(c.odds, (c.epoch, c.seq, -c.position)) AS o
+         arg_max_null(c.ltp, (c.epoch, c.seq, c.tv, -c.position, -c.odds, c.ltp)) AS ko_odds,
+         arg_max_null(c.odds, (c.epoch, c.seq, c.tv, -c.position, -c.odds, c.ltp)) AS o
   FROM chg c JOIN market m USING (market_id)
   WHERE c.type = 'b' AND c.timestamp < m.kick_off
   GROUP BY c.market_id, c.runner_id),
@@ -499,7 +498,7 @@ def _star(spark, d):
     chg = S.changes(p)
     mt = with_rank_key(m.where(F.col("market_type").isNotNull()).select(F.col("market_type").alias("type")),
                        "type", "id")
-    dr = present.dim_runner(r, S.market_runner(r), m, mt, S.event(m), chg, tiebreak=["seq"])
+    dr = present.dim_runner(r, S.market_runner(r), m, mt, S.event(m), chg, tiebreak=["seq", "tv"])
     return m, r, chg, dr
 
 
@@ -541,9 +540,8 @@ def _fact(spark, d, reuse_dim: bool = False, market_types: tuple[str, ...] | Non
     if reuse_dim:
         # dim_runner feeds the fact and the first-goal fact; in the pipeline it
         # is a stored table, here it is materialised once in the checkpoint folder.
-        checkpoint_dir(spark)
-        dr = dr.checkpoint()
-    fact = present.fact_runner_odds(chg, m, dr, bucket_ms=3600000)
+        dr = stored(dr, "dim-runner")
+    fact = present.fact_runner_odds(chg, m, dr, store=stored)
     return m, r, dr, fact
 
 
@@ -670,15 +668,28 @@ _RAW: dict[tuple[str, str], DataFrame] = {}
 
 def _raw(spark, d):
     """The raw table.  In the pipeline the ingest job writes it once and every
-    clean job reads it; here it is materialised once per session in the
-    checkpoint folder and shared by the q_feed_* queries."""
+    clean job reads it; here q_feed_ingest (or whichever q_feed_* query comes
+    first) stores it as parquet, which the others read with pruned columns."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _RAW:
-        checkpoint_dir(spark)
-        _RAW[key] = dedupe_changes(S.feed_changes(spark, d)).checkpoint()
+        _RAW[key] = stored(dedupe_changes(S.feed_changes(spark, d)), "feed-raw")
     return _RAW[key]
 
 
+@register("q_feed_ingest", S.with_sql(S.DEFS_SQL, S.PRICE_SQL) + """
+SELECT market_id, sum(n)::BIGINT AS changes, min(lo) AS first_pt, max(hi) AS last_pt FROM (
+  SELECT id AS market_id, count(*) AS n, min(pt) AS lo, max(pt) AS hi FROM defs GROUP BY id
+  UNION ALL
+  SELECT CAST(market_id AS VARCHAR), count(*), min(epoch), max(epoch)
+  FROM (SELECT DISTINCT market_id, epoch, handicap, runner_id, ltp, total_volume, position, odds, amount, type FROM price) GROUP BY 1)
+GROUP BY market_id
+""")
+def q_feed_ingest(spark, d):
+    _RAW.pop((spark.sparkContext.applicationId, d), None)  # the ingest itself, also when another query stored it before
+    return _raw(spark, d).groupBy(F.col("mc.id").alias("market_id")).agg(
+        F.count(F.lit(1)).alias("changes"), F.min("pt").alias("first_pt"), F.max("pt").alias("last_pt"))
+
+
 _ORD = "(pt, version)"
 
 
@@ -724,7 +735,7 @@ def q_feed_market_change(spark, d):
 
 @register("q_feed_market_runner", S.with_sql(S.DEFS_SQL, S.DEF_RUNNERS_SQL) + """
 SELECT DISTINCT market_id, runner_id,
-       bool_or(status = 'WINNER') OVER (PARTITION BY market_id, runner_id) AS winner, sort_priority
+       bool_or(coalesce(status = 'WINNER', false)) OVER (PARTITION BY market_id, runner_id) AS winner, sort_priority
 FROM def_runners
 """)
 def q_feed_market_runner(spark, d):
@@ -800,8 +811,7 @@ def q_feed_event_history(spark, d):
 
 
 @register("q_feed_market_types", S.with_sql(S.DEFS_SQL) + """
-SELECT type, dense_rank() OVER (ORDER BY type) AS id
-FROM (SELECT DISTINCT market_type AS type FROM defs WHERE market_type IS NOT NULL)
+SELECT type, dense_rank() OVER (ORDER BY type NULLS LAST) AS id FROM (SELECT DISTINCT market_type AS type FROM defs)
 """)
 def q_feed_market_types(spark, d):
     return clean.market_types(_raw(spark, d), key="rank")
@@ -825,3 +835,152 @@ FROM defs
 def q_feed_flattened(spark, d):
     flat = clean.flattened_definitions(_raw(spark, d))
     return flat.select("id", "pt", "marketType", "eventId", "version", "status", "inPlay", "numberOfWinners")
+
+
+# ---------------------------------------------------------------------------
+# the presentation layer on the clean tables of the derived feed
+# ---------------------------------------------------------------------------
+
+_FEED_VOL_SQL = _VOL_SQL.replace("c.seq, ", "")
+_FEED_ODDS_SQL = _ODDS_SQL.replace("c.seq, ", "")
+_FEED_STAR_CTES = [
+    S.DEFS_SQL, S.DEF_RUNNERS_SQL, S.PRICE_SQL, _FEED_CLEAN_SQL[3],
+    """runner AS (
+  SELECT market_id, runner_id, arg_max_null(runner_name, (pt, market_name)) AS runner_name,
+         arg_max_null(status, (pt, version)) AS status
+  FROM def_runners GROUP BY market_id, runner_id)""",
+    """market_runner AS (
+  SELECT market_id, runner_id, arg_max_null(sort_priority, (pt, sort_priority)) AS sort_priority,
+         bool_or(coalesce(status = 'WINNER', false)) AS winner
+  FROM def_runners GROUP BY market_id, runner_id)""",
+    """mtype AS (SELECT type, dense_rank() OVER (ORDER BY type NULLS LAST) AS id
+  FROM (SELECT DISTINCT market_type AS type FROM defs))""",
+    """event AS (
+  SELECT TRY_CAST(event_id_text AS INTEGER) AS id, arg_max_null(event_name, (pt, version, id)) AS name,
+         arg_max_null(country_code, (pt, version, id)) AS country_code
+  FROM defs GROUP BY event_id_text)""",
+    """chg AS (
+  SELECT DISTINCT epoch, timestamp, CAST(market_id AS VARCHAR) AS market_id, runner_id, handicap AS hc, position, odds,
+         amount, type, total_volume AS tv, ltp
+  FROM price)""",
+    _FEED_VOL_SQL, _FEED_ODDS_SQL,
+    _DIM_RUNNER_SQL.replace("r.market_id * 1000003 + r.runner_id AS id", "r.market_id || '/' || r.runner_id AS id"),
+]
+
+
+def _feed_star(spark, d):
+    """The clean tables as the jobs store them, and the runner dimension."""
+    raw = _raw(spark, d)
+    m, r = stored(clean.market_state(raw), "market"), stored(clean.runners(raw, with_epoch=True), "runner")
+    chg = stored(clean.runner_changes(raw), "runner-change")
+    dr = present.dim_runner(r, clean.market_runners(raw, with_epoch=True), m, clean.market_types(raw, key="rank"), clean.event_dim(raw), chg)
+    return m, r, chg, dr
+
+
+@register("q_feed_dim_runner", S.with_sql(*_FEED_STAR_CTES) + f"SELECT {', '.join(_DIM_RUNNER_COLS)} FROM dim_runner")
+def q_feed_dim_runner(spark, d):
+    return _feed_star(spark, d)[3].select(*_DIM_RUNNER_COLS)
+
+
+@register("q_feed_runner_odds_fact", S.with_sql(*_FEED_STAR_CTES, _WIDE_SQL, _FACT_SQL) + f"SELECT {', '.join(_FACT_COLS)} FROM fact")
+def q_feed_runner_odds_fact(spark, d):
+    m, _, chg, dr = _feed_star(spark, d)
+    return present.fact_runner_odds(chg, m, dr, store=stored).select(*_FACT_COLS)
+
+
+def _feed_first_goal(spark, d, types, stat):
+    m, r, chg, dr = _feed_star(spark, d)
+    dr = stored(dr.where(F.col("market_name").isin(*types)), "dim-runner")
+    fact = present.fact_runner_odds(chg, m, dr, store=stored)
+    out = present.first_goal_fact(dr, fact, clean.first_goal_minutes(m, r), types, stat=stat)
+    if stat == "avg":
+        out = out.withColumns({c: F.round(c, 6) for c in ("first_odds", "second_odds", "third_odds")})
+    return out.select(*_FG_FACT_COLS)
+
+
+def _feed_first_goal_sql(types: tuple[str, ...], stat: str) -> str:
+    text = _first_goal_fact_sql(types, stat)
+    return text.replace(S.with_sql(*_STAR_CTES, _WIDE_SQL, _FACT_SQL, _FG_SQL), S.with_sql(*_FEED_STAR_CTES, _WIDE_SQL, _FACT_SQL, _FG_SQL))
+
+
+@register("q_feed_first_goal_avg", _feed_first_goal_sql(present.MATCH_ODDS_TYPES, "avg"))
+def q_feed_first_goal_avg(spark, d):
+    return _feed_first_goal(spark, d, present.MATCH_ODDS_TYPES, "avg")
+
+
+@register("q_feed_first_goal_median", _feed_first_goal_sql(_STAND_IN_OU_TYPES, "median"))
+def q_feed_first_goal_median(spark, d):
+    return _feed_first_goal(spark, d, _STAND_IN_OU_TYPES, "median")
+
+
+@register("q_first_goal_sql_text", _first_goal_fact_sql(present.MATCH_ODDS_TYPES, "avg"))
+def q_first_goal_sql_text(spark, d):
+    m, r, dr, fact = _fact(spark, d, reuse_dim=True, market_types=present.MATCH_ODDS_TYPES)
+    for name, df in (("q_sql_dim_runner", dr), ("q_sql_fact", fact), ("q_sql_first_goal", clean.first_goal_minutes(m, r))):
+        df.createOrReplaceTempView(name)
+    out = present.first_goal_fact_sql(spark, "q_sql_dim_runner", "q_sql_fact", "q_sql_first_goal", present.MATCH_ODDS_TYPES)
+    return out.withColumns({c: F.round(c, 6) for c in ("first_odds", "second_odds", "third_odds")}).select(*_FG_FACT_COLS)
+
+
+# ---------------------------------------------------------------------------
+# batches, row-number filters, minutes, keys, written tables
+# ---------------------------------------------------------------------------
+
+@register("q_increment", """
+WITH o AS (SELECT *, year(o_orderdate) AS batch_id FROM orders),
+log AS (SELECT batch_id, max(o_orderdate) AS committed_at FROM o GROUP BY batch_id),
+newest AS (SELECT batch_id FROM log ORDER BY committed_at DESC, batch_id DESC LIMIT 1)
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(o.batch_id AS INTEGER) AS batch_id
+FROM o, newest WHERE o.batch_id > newest.batch_id - 2 AND o.batch_id <= newest.batch_id
+""")
+def q_increment(spark, d):
+    o = _t(spark, d, "orders").withColumn("batch_id", F.year("o_orderdate"))
+    last = latest_batch(o.groupBy("batch_id").agg(F.max("o_orderdate").alias("committed_at"))).first()[0]
+    return read_increment(o, last - 2, last).select("o_orderkey", "o_custkey", "o_totalprice", "batch_id")
+
+
+@register("q_top_rows", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem)
+WHERE n = 1
+""")
+def q_top_rows(spark, d):
+    order = [F.col("l_extendedprice").desc(), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")]
+    return top1(_t(spark, d, "lineitem"), ["l_orderkey"], order).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
+@register("q_minutes", """
+SELECT minute, CAST(hour(minute) * 100 + minute(minute) AS INTEGER) AS time_key, strftime(minute, '%H:%M') AS time
+FROM (SELECT unnest(generate_series(date_trunc('minute', min(ts)), date_trunc('minute', max(ts)), INTERVAL 1 MINUTE)) AS minute FROM events)
+""")
+def q_minutes(spark, d):
+    return minutes_for(_t(spark, d, "events"), "ts")
+
+
+@register("q_hash_key", """
+SELECT count(*) AS n_rows, count(*) AS n_keys FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)
+""")
+def q_hash_key(spark, d):
+    pairs = _t(spark, d, "orders").select("o_custkey", F.when(F.col("o_custkey") >= 0, F.col("o_orderpriority")).alias("o_orderpriority"))
+    return with_hash_key(pairs, ["o_custkey", "o_orderpriority"]).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_keys"))
+
+
+@register("q_table_writes", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 0 AS out_of_order FROM orders
+""")
+def q_table_writes(spark, d):
+    """Create, append, replace (from the table itself) and sorted rewrite; out_of_order counts
+    rows of a file that do not follow the layout."""
+    o, name = _t(spark, d, "orders"), f"q_orders_{uuid.uuid4().hex}"
+    save_table(spark, o.where("o_orderdate < timestamp '1995-01-01'"), name)
+    save_table(spark, o.where("o_orderdate >= timestamp '1995-01-01' or o_orderdate is null").select(*reversed(o.columns)), name, "append")
+    save_table(spark, spark.table(name).where("o_orderkey is not null"), name, "replace")
+    rewrite_sorted_table(spark, name, [("o_custkey", False), ("o_orderkey", True)])
+    table = spark.table(name)
+    place = table.select("*", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"))
+    before = Window.partitionBy("f").orderBy("i")
+    row = F.struct("o_custkey", -F.col("o_orderkey"))
+    checked = place.withColumn("out_of_order", F.coalesce((F.lag(row).over(before) > row).cast("int"), F.lit(0)))
+    out = stored(checked.select(*o.columns, "out_of_order"), "table-writes")
+    spark.sql(f"DROP TABLE {name}")
+    return out

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from enum import Enum
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 class WriteMode(str, Enum):
     """How :func:`save_table` treats an existing table."""
@@ -27,6 +30,9 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode |
                bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Create the table on first use; afterwards append (columns matched by name) or replace.
 
+    Appending a column that the table lacks is an error, never dropped silently.
+    Replacing writes a new table beside the old one and swaps it in, so a failed
+    write leaves the old table as it was, and ``df`` may read the table itself.
     ``bucket_by=(n, cols)`` writes ``n`` hash buckets on ``cols``, sorted by
     them: two tables bucketed alike are later joined on ``cols`` without a
     shuffle of either side.
@@ -42,13 +48,51 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode |
             w = w.bucketBy(n, *cols).sortBy(*cols)
         return w
 
+    recover_table(spark, name)
     if not spark.catalog.tableExists(name):
         writer_for(df).mode("errorifexists").saveAsTable(name)
     elif mode is WriteMode.APPEND:
         existing = spark.table(name).columns
+        if unknown := [c for c in df.columns if c not in existing]:
+            raise ValueError(f"{name} has no column {', '.join(unknown)}; replace the table or drop the column first")
         writer_for(df.select(*existing)).mode("append").saveAsTable(name)
     else:
-        writer_for(df).mode("overwrite").saveAsTable(name)
+        writer_for(df).mode("errorifexists").saveAsTable(name + STAGED)
+        swap_in(spark, name)
+
+
+STAGED, REPLACED = "__staged", "__replaced"
+
+
+def swap_in(spark: SparkSession, name: str) -> None:
+    """Put the complete table ``name__staged`` in the place of ``name``."""
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}{REPLACED}")
+    spark.sql(f"ALTER TABLE {name}{STAGED} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {name}{REPLACED}")
+
+
+def recover_table(spark: SparkSession, name: str) -> None:
+    """Undo or finish a swap that was cut off between any two steps.
+
+    The only complete copy is never dropped: while ``name`` exists the staged
+    copy may be half written and goes; if ``name`` is missing the replaced table
+    takes its name back.
+    """
+    there = spark.catalog.tableExists
+    if not there(name) and there(name + REPLACED):
+        spark.sql(f"ALTER TABLE {name}{REPLACED} RENAME TO {name}")
+    if there(name):
+        spark.sql(f"DROP TABLE IF EXISTS {name}{STAGED}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}{REPLACED}")
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """``df`` written as parquet in the cluster's shared checkpoint folder and read back:
+    computed once, with column pruning and pushdown for every later reader."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sort_key(name: str, descending: bool = False) -> Column:
@@ -77,6 +121,7 @@ def rewrite_sorted(df: DataFrame, path: str, keys: Sequence[Column], partitions:
 def read_or_create(spark: SparkSession, name: str, build, mode: WriteMode | str = WriteMode.REPLACE) -> DataFrame:
     """The table ``name``; built with ``build()`` and saved first if it is missing
     (SRC-10, e.g. the flattened market definitions)."""
+    recover_table(spark, name)
     if not spark.catalog.tableExists(name):
         save_table(spark, build(), name, mode)
     return spark.read.table(name)

@@ -95,8 +95,13 @@ def ingest(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
 
 
 def change_key(pt: Column | str = "pt", mc: Column | str = "mc") -> Column:
-    """64-bit key of a change, used only to link the long lineage table."""
-    return F.xxhash64(F.col(pt) if isinstance(pt, str) else pt, F.col(mc) if isinstance(mc, str) else mc)
+    """64-bit key of a change, used only to link the long lineage table.
+
+    The change is hashed as JSON, which keeps field names: the same value in
+    another field is another change (a hash of the struct passes over NULLs).
+    """
+    pt, mc = (F.col(c) if isinstance(c, str) else c for c in (pt, mc))
+    return F.xxhash64(pt, pt.isNull(), F.to_json(mc))
 
 
 def ingest_counted(feed: DataFrame, lineage: str = "source_file_name") -> tuple[DataFrame, DataFrame]:
@@ -117,6 +122,26 @@ def ingest_counted(feed: DataFrame, lineage: str = "source_file_name") -> tuple[
     return raw, lineage_df
 
 
+def seen_changes(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
+    """Distinct (pt, mc, file) of the feed: what :func:`split_lineage` is derived from."""
+    changes = explode_changes(feed, lineage)
+    return changes.groupBy("pt", "mc", F.col("_file").alias("file")).agg(F.lit(1).alias("_one")).drop("_one")
+
+
+def split_lineage(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(raw, lineage) of distinct (pt, mc, file) rows: one row per change with its
+    change_key, and the files of each as (change_key, file).  File counts are
+    derived from the lineage, so they never go stale (:func:`lineage_counts`)."""
+    raw = seen.select("pt", "mc").distinct()
+    raw = raw.select("pt", epoch_ms_to_ts("pt").alias("timestamp"), "mc", change_key().alias("change_key"))
+    return raw, seen.select(change_key().alias("change_key"), "file").distinct()
+
+
+def lineage_counts(lineage: DataFrame) -> DataFrame:
+    """change_key, n_files and first_file of a lineage table."""
+    return lineage.groupBy("change_key").agg(F.count(F.lit(1)).alias("n_files"), F.min("file").alias("first_file"))
+
+
 def definitions(raw: DataFrame, extra: list[str | Column] | None = None) -> DataFrame:
     """Changes that carry a market definition, with the definition expanded."""
     extra = extra or []

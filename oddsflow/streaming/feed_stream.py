@@ -2,25 +2,28 @@
 
 New event files are picked up by the file source (its own checkpoint records
 which files were read); every micro-batch runs the batch ingest
-(:func:`oddsflow.sources.feed.ingest`), drops changes already stored, and is
+(:func:`oddsflow.sources.feed.split_lineage`), drops changes already stored, and is
 written as partition ``batch_id=<n>`` of the raw table.  Overwriting only that
 partition makes a retried batch idempotent.  A load log row per batch
 (batch_id, committed_at, rows) is what :func:`oddsflow.operators.diff.latest_batch`
 and :func:`oddsflow.operators.diff.read_increment` read.
 
-Lineage caveat: when copies of one change arrive in different micro-batches the
-later copy is dropped, so its file is not added to the stored lineage list.
+Lineage goes to a table of (change_key, file) rows: a copy of a change that
+arrives in a later micro-batch adds no raw row, but its file.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.feed import FEED_SCHEMA, PER_MARKET_FILE, ingest, ingest_counted
+from ..jobs import not_stored
+from ..sinks.tables import stored
+from ..sources.feed import FEED_SCHEMA, PER_MARKET_FILE, seen_changes, split_lineage
 
 
 def feed_stream(spark: SparkSession, path: str, exclude: str | None = PER_MARKET_FILE,
@@ -35,42 +38,38 @@ def feed_stream(spark: SparkSession, path: str, exclude: str | None = PER_MARKET
     return df
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, raw_path: str, log_path: str,
                  lineage_path: str | None = None) -> None:
     """foreachBatch body: dedupe the batch, keep only new changes, write it.
 
-    With ``lineage_path`` the file lineage is written there as (change_key,
-    file) rows (partition ``batch_id``) instead of an array per change.
+    The batch's distinct (change, file) rows are stored first, so its files are
+    parsed once.  With ``lineage_path`` all of them are written there as
+    (change_key, file) rows (partition ``batch_id``), also those of changes that
+    an earlier batch already brought; a reader counts distinct files.
     """
     spark = batch.sparkSession
+    new, lineage = split_lineage(stored(seen_changes(batch), f"feed-batch-{batch_id}"))
     if lineage_path:
-        new, lineage = ingest_counted(batch)
         (lineage.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(lineage_path))
-    else:
-        new = ingest(batch)
-    if _exists(spark, raw_path):
-        bounds = new.agg(F.min("pt").alias("lo"), F.max("pt").alias("hi")).collect()[0]
-        if bounds["lo"] is not None:
-            # Only stored changes in the batch's time range are compared; with
-            # the raw table sorted by pt, parquet statistics skip the rest.
-            stored = (spark.read.parquet(raw_path)
-                      .where((F.col("pt") >= bounds["lo"]) & (F.col("pt") <= bounds["hi"])
-                             & (F.col("batch_id") != batch_id))
-                      .select("pt", "mc"))
-            new = new.join(stored, ["pt", "mc"], "left_anti")
-    out = new.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    old = _stored_rows(spark, raw_path)
+    if old is not None:
+        new = not_stored(new, old.where(F.col("batch_id") != batch_id))
+    seen = Observation(f"batch-{batch_id}")
+    out = new.withColumn("batch_id", F.lit(batch_id).cast("long")).observe(seen, F.count(F.lit(1)).alias("rows"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(raw_path))
-    n = spark.read.parquet(raw_path).where(F.col("batch_id") == batch_id).count()
-    log = spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"),
-                                F.current_timestamp().alias("committed_at"), F.lit(n).cast("long").alias("rows"))
+    log = spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("committed_at"),
+                                F.lit(seen.get["rows"]).cast("long").alias("rows"))
     # one log partition per batch, overwritten on a retry: idempotent like the data
     (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(log_path))
