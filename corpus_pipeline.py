@@ -29,9 +29,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each component of near-copies (five words, 0.8)."""
+    """One document, that of the smallest id, of each component of near-copies (five words, 0.8).
+    Of rows that share an id one stays; rows without an id stay, as nothing can refer to them."""
     kept = partenum.jaccard_components(docs, n=5, num=80, den=100).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    out = docs.join(kept, "doc_id", "left_semi")
+    if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
