@@ -39,6 +39,7 @@ GRAM = 5
 LONGEST = 64          # windows of a segment
 SHARD_SEGMENTS = 16_384
 HOT_SEGMENTS = 4_096  # distinct segments of one minimiser beyond which it is dealt by window
+BROADCAST_ANCHORS = 1_000_000  # such minimisers (16 MB) up to which segments need no shuffle to be told apart
 _ROLL = U64(0x9FB21C651E98DF25)
 _UNROLL = U64(pow(0x9FB21C651E98DF25, -1, 2**64))
 
@@ -352,7 +353,9 @@ def _repeated(marked: DataFrame, window: int) -> DataFrame:
     shards = max(1, -(-held.count() // SHARD_SEGMENTS))
 
     distinct = stage(held.groupBy("h1", "h2", "anchor", "segment").agg(F.min("doc").alias("first"), F.max("doc").alias("last")))
-    hot = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > HOT_SEGMENTS).select("anchor")
+    hot = stage(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > HOT_SEGMENTS).select("anchor"))
+    if hot.count() <= BROADCAST_ANCHORS:
+        hot = F.broadcast(hot)
     cold = distinct.join(hot, "anchor", "left_anti").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("anchor").alias("route"), F.col("segment").alias("words"), "first", "last")
     single = distinct.join(hot, "anchor", "left_semi").select("h1", "h2", "segment", "first", "last")
     single = stage(single.mapInArrow(lambda it: _windows(it, window), "h1 long, h2 long, i long, k1 long, k2 long, words binary, first long"))
