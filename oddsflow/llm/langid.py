@@ -205,8 +205,12 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """A model from rows with text and a non-null language; only a bounded sample of them is read."""
     stage = Stage(labelled.sparkSession, "langid")
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= DOCS)
+    ids = rows.select("id", "lang").distinct().withColumn("h", F.xxhash64("id"))
+    # The first DOCS by hash, in two steps: a common language is cut down in many tasks first.
+    part = Window.partitionBy("lang", F.pmod("h", F.lit(16))).orderBy("h", "id")
+    ids = ids.withColumn("n", F.row_number().over(part)).where(F.col("n") <= DOCS)
+    order = Window.partitionBy("lang").orderBy("h", "id")
+    chosen = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= DOCS).select("id", "lang", "n")
     sample = stage(rows.join(F.broadcast(chosen), ["id", "lang"]).select("text", "lang", (F.col("n") % 5 == 0).alias("held")))
     learn = sample.where("not held")
     points = learn.select("text").mapInArrow(_count_characters, "point long, n long").groupBy("point").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "point").limit(ALPHABET).toPandas()
