@@ -723,14 +723,15 @@ def q_feed_event(spark, d):
 
 @register("q_feed_market_change", S.with_sql(S.DEFS_SQL) + """
 SELECT id AS market_id, pt AS epoch, epoch_ms(pt) AS timestamp, CAST(version AS BIGINT) AS bet_delay,
-       'ODDS' AS betting_type, in_play, CAST(5.0 AS DOUBLE) AS base_rate, """ + S._iso_sql("open_ms") + """ AS open_date,
+       'ODDS' AS betting_type, version = 1 AS bsp_market, version = 3 AS bsp_reconciled, true AS complete,
+       version >= 2 AS cross_matching, o_orderkey % 2 = 0 AS discount_allowed, in_play, CAST(5.0 AS DOUBLE) AS base_rate,
+       """ + S._iso_sql("open_ms") + """ AS open_date, version < 3 AS persistence_enabled, false AS runners_voidable,
        status, CAST(version AS BIGINT) AS version
 FROM defs
 """)
 def q_feed_market_change(spark, d):
     mc = clean.market_changes(_raw(spark, d))
-    return mc.select("market_id", "epoch", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "bet_delay",
-                     "betting_type", "in_play", "base_rate", "open_date", "status", "version")
+    return mc.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 @register("q_feed_market_runner", S.with_sql(S.DEFS_SQL, S.DEF_RUNNERS_SQL) + """
@@ -827,14 +828,25 @@ def q_feed_runner_changes(spark, d):
     return rc.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-@register("q_feed_flattened", S.with_sql(S.DEFS_SQL) + """
-SELECT id, pt, market_type AS marketType, event_id_text AS eventId, CAST(version AS BIGINT) AS version,
-       status, in_play AS inPlay, CAST(1 AS BIGINT) AS numberOfWinners
-FROM defs
+@register("q_feed_flattened", S.with_sql(S.DEFS_SQL, S.DEF_RUNNERS_SQL) + f"""
+SELECT id, pt, epoch_ms(pt) AS timestamp, CAST(version AS BIGINT) AS betDelay, 'ODDS' AS bettingType, version = 1 AS bspMarket,
+       version = 3 AS bspReconciled, true AS complete, country_code AS countryCode, version >= 2 AS crossMatching,
+       o_orderkey % 2 = 0 AS discountAllowed, event_id_text AS eventId, event_name AS eventName, '1' AS eventTypeId,
+       in_play AS inPlay, CAST(5.0 AS DOUBLE) AS marketBaseRate, {S._iso_sql("start_ms")} AS marketTime, market_type AS marketType,
+       name, CAST(3 AS BIGINT) AS numberOfActiveRunners, CAST(1 AS BIGINT) AS numberOfWinners, {S._iso_sql("open_ms")} AS openDate,
+       version < 3 AS persistenceEnabled, array_to_string(regulators, ',') AS regulators, runners, false AS runnersVoidable,
+       CASE WHEN settled_ms IS NOT NULL THEN {S._iso_sql("settled_ms")} END AS settledTime, status,
+       {S._iso_sql("start_ms")} AS suspendTime, 'GMT' AS timezone, true AS turnInPlayEnabled, CAST(version AS BIGINT) AS version
+FROM defs JOIN (
+  SELECT market_id AS id, version,
+         string_agg(runner_id || ':' || runner_name || ':' || sort_priority || ':' || status, ',' ORDER BY runner_id) AS runners
+  FROM def_runners GROUP BY market_id, version) USING (id, version)
 """)
 def q_feed_flattened(spark, d):
     flat = clean.flattened_definitions(_raw(spark, d))
-    return flat.select("id", "pt", "marketType", "eventId", "version", "status", "inPlay", "numberOfWinners")
+    told = F.transform("runners", lambda r: F.concat_ws(":", r["id"].cast("string"), r["name"], r["sortPriority"].cast("string"), r["status"]))
+    return flat.withColumns({"timestamp": F.col("timestamp").cast("timestamp_ntz"), "regulators": F.array_join("regulators", ","),
+                             "runners": F.array_join(told, ",")})
 
 
 # ---------------------------------------------------------------------------

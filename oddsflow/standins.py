@@ -262,7 +262,10 @@ def feed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "status": status})
 
     definition = _struct_of(def_type, {
-        "betDelay": v, "bettingType": F.lit("ODDS"), "countryCode": F.col("o_orderstatus"),
+        "betDelay": v, "bettingType": F.lit("ODDS"), "bspMarket": v == 1, "bspReconciled": v == 3,
+        "complete": F.lit(True), "crossMatching": v >= 2, "discountAllowed": F.col("o_orderkey") % 2 == 0,
+        "persistenceEnabled": v < 3, "runnersVoidable": F.lit(False), "suspendTime": _iso(ko), "timezone": F.lit("GMT"),
+        "turnInPlayEnabled": F.lit(True), "eventTypeId": F.lit("1"), "countryCode": F.col("o_orderstatus"),
         "eventId": F.col("o_custkey").cast("string"),
         "eventName": F.concat(F.lit("event "), F.col("o_custkey").cast("string")),
         "inPlay": v >= 2, "marketBaseRate": F.lit(5.0), "marketTime": _iso(ko),
