@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from oddsflow.llm import fm_dedup, langid, packing, partenum, secrets
 from oddsflow.llm.queries import documents
 from oddsflow.llm.staging import Stage
+from oddsflow.session import reach_workers
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -23,6 +24,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, `lang` set to it; rejected ones go."""
+    reach_workers(spark)
     judged = langid.predict(docs, langid.fit(docs)).where("not rejected")
     found = {"text": F.col("text"), "lang": F.col("lang_pred")}
     return judged.select(*(found.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
@@ -31,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each component of near-copies (five words, 0.8).
     Of rows that share an id one stays; rows without an id stay, as nothing can refer to them."""
-    kept = partenum.jaccard_components(docs, n=5, num=80, den=100).where("doc_id = component_id").select("doc_id")
+    kept = partenum.jaccard_components(docs, n=5, num=80, den=100, cover=3.0).where("doc_id = component_id").select("doc_id")
     out = docs.join(kept, "doc_id", "left_semi")
     if not docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty():
         out = out.dropDuplicates(["doc_id"])

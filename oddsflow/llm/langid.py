@@ -37,7 +37,7 @@ ORDER, BITS = 4, 11
 DOCS = 300            # sampled documents a language, at most
 ALPHABET = 2_000      # characters with a code of their own; others share one
 GRAMS = 200_000       # 4-grams a language
-MARGIN = 0.25         # nats a character
+MARGIN = 0.5          # nats a character beyond the worst that was held back
 UNKNOWN = "und"
 _SPACE, _OTHER = 1, 2  # codes; characters follow from 3
 _MASK = (1 << BITS * ORDER) - 1
@@ -177,7 +177,7 @@ class Model:
         best = entropy.argmin(axis=1)
         least = entropy.min(axis=1)
         share = 1 / np.exp(-(entropy - least[:, None]) * np.minimum(lengths, 30)[:, None]).sum(axis=1)
-        rejected = ~has | (least > self.limits[best] + MARGIN + 4 / np.sqrt(np.maximum(lengths, 1)))
+        rejected = ~has | (least > self.limits[best] + MARGIN + 8 / np.sqrt(np.maximum(lengths, 1)))
         return [self.languages[b] if h else UNKNOWN for b, h in zip(best, has)], np.where(has, share, 0.0), np.where(has, least, 0.0), rejected
 
 

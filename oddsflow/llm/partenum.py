@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from oddsflow.llm.staging import Stage, components
 from oddsflow.llm.words import U64, gram_hashes, mix, slices, utf8, word_hashes, word_spans
 
-FEATURES = 5.0  # features that a signature should cover, on average
+FEATURES = 5.0  # features that a signature should cover, on average: fewer make fewer signatures, and more candidates
 
 
 def band_top(low: int, num: int, den: int) -> int:
@@ -56,7 +56,7 @@ def band_of(size: int, num: int, den: int) -> tuple[int, int, int, int]:
 
 
 @lru_cache(maxsize=None)
-def plan_of(band_low: int, band_high: int, below: int, num: int, den: int) -> tuple | None:
+def plan_of(band_low: int, band_high: int, below: int, num: int, den: int, cover: float = FEATURES) -> tuple | None:
     """(n1, n2, k2, spare) of a band, or None if only equal sets link there."""
     k = (den - num) * 2 * band_high // (den + num)
     if k == 0:
@@ -71,7 +71,7 @@ def plan_of(band_low: int, band_high: int, below: int, num: int, den: int) -> tu
             if spare > need + 1:
                 spare = 0  # small sets: the empty subsets are signed instead
             covered = band_low * (n2 - k2) / ((need + spare) * n2)
-            cost = (need + spare) * subsets * max(1.0, FEATURES / covered) ** 4 * (1 + 8 * empty * (spare == 0))
+            cost = (need + spare) * subsets * max(1.0, cover / covered) ** 4 * (1 + 8 * empty * (spare == 0))
             if best is None or cost < best[0]:
                 best = (cost, (need + spare, n2, k2, spare))
     return best[1]
@@ -82,16 +82,16 @@ def _subsets(n2: int, k2: int) -> np.ndarray:
     return np.array(list(combinations(range(n2), n2 - k2)))
 
 
-def signatures(features: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
+def signatures(features: np.ndarray, num: int, den: int, cover: float = FEATURES) -> np.ndarray:
     """All signatures of one set of 64-bit features."""
     if not len(features):
         return np.empty(0, U64)
     band, low, high, below = band_of(len(features), num, den)
-    spread = mix(features ^ U64(0x9E3779B97F4A7C15 * (seed + 1) % 2**64))
+    spread = mix(features ^ U64(0x9E3779B97F4A7C15))
     place = (spread >> U64(20)) & U64(0xFFFFFFFFFF)
     out = []
     for b, lo, hi, under in ((band, low, high, below), (band + 1, high + 1, band_top(high + 1, num, den), low)):
-        plan = plan_of(lo, hi, under, num, den)
+        plan = plan_of(lo, hi, under, num, den, cover)
         if plan is None:
             continue
         n1, n2, k2, spare = plan
@@ -102,7 +102,7 @@ def signatures(features: np.ndarray, num: int, den: int, seed: int = 0) -> np.nd
         pick = _subsets(n2, k2)
         sig = sums.reshape(n1, n2)[:, pick].sum(axis=2, dtype=U64)
         filled = counts.reshape(n1, n2)[:, pick].sum(axis=2) > 0
-        tag = np.arange(sig.size, dtype=U64).reshape(sig.shape) + U64(((b << 32) + (seed << 56)) % 2**64)
+        tag = np.arange(sig.size, dtype=U64).reshape(sig.shape) + U64(b << 32)
         sig = mix(sig ^ mix(tag))
         if (~filled).any(axis=1).sum() <= spare:
             sig = sig[filled]
@@ -142,7 +142,7 @@ def _sizes(batches, n: int):
 PER_BLOCK = 1 << 20  # signatures pre-aggregated at once in a task
 
 
-def _sign(batches, n: int, num: int, den: int):
+def _sign(batches, n: int, num: int, den: int, cover: float):
     """Rows (sig, salt, doc, first): the first document of a block that has a signature
     stands for it (salt 0, first null); others of the block point at that first one and
     are dealt out by a salt, so a very common signature is no hot key."""
@@ -153,7 +153,7 @@ def _sign(batches, n: int, num: int, den: int):
             if not len(features) or (key := _identity(features)) in seen:
                 continue  # a copy within the block: its class stands for it
             seen.add(key)
-            own = signatures(features, num, den)
+            own = signatures(features, num, den, cover)
             sigs.append(own)
             docs.append(np.full(len(own), doc, np.int64))
             held += len(own)
@@ -344,7 +344,7 @@ BLOCK_BYTES = 16 << 20     # and the size of their sets
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+                       text_col: str = "text", cover: float = FEATURES) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id), one row per document.
 
     Documents link when ``den * |A and B| >= num * |A or B|`` for their sets of
@@ -364,7 +364,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     repeated = sizes.count() > known.count()
 
     # Signatures: one shuffle of (signature, document); every member gets a star edge to its leader.
-    rows = base.where("text is not null").mapInArrow(lambda it: _sign(it, n, num, den), "sig long, salt int, doc long, first long")
+    rows = base.where("text is not null").mapInArrow(lambda it: _sign(it, n, num, den, cover), "sig long, salt int, doc long, first long")
     within = Window.partitionBy("sig", "salt")
     stars = rows.withColumn("leader", F.coalesce("first", F.min("doc").over(within))).where("leader <> doc").select("sig", "doc", "leader")
     rep = known.select("doc_id", "rep")
