@@ -41,8 +41,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their
+    working folder (a path that executors share or have installed; else ship it as a py-file)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def apply_required_conf(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL settings on a session someone else built."""
+    reach_workers(spark)
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     return spark
