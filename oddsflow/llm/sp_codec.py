@@ -256,6 +256,17 @@ def _decode(batches, path: str) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), batch.column("ends"), pa.array(texts, pa.string())], ["doc_id", "ids", "ends", "text"])
 
 
+def _both(batches, path: str) -> Iterator[pa.RecordBatch]:
+    for batch in _encode(batches, path):
+        yield from _decode([batch], path)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """decode(encode(docs)) in one pass, so that a task needs one Python worker and one model."""
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return base.mapInArrow(lambda it: _both(it, path), "doc_id long, ids binary, ends binary, text string")
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, ends): ids with begin and end ids, and the source byte at which each piece
     ends (it begins where the one before ends), both as little-endian unsigned 32-bit integers."""

@@ -7,7 +7,7 @@ import public_tokenizers
 import sentencepiece
 
 from oddsflow.llm import sp_codec
-from oddsflow.llm.sp_codec import Codec, Normalizer, decode, encode
+from oddsflow.llm.sp_codec import Codec, Normalizer, decode, encode, round_trip
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -64,4 +64,5 @@ def test_operator(spark):
     got = sorted(((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist()), r.text) for r in decode(encode(df, PATH), PATH).collect()), key=str)
     want = [[1, *LIBRARY.encode(t or ""), 2] for _, t in rows]
     assert got == sorted(((i, tuple(w), LIBRARY.decode(w)) for (i, _), w in zip(rows, want)), key=str)
+    assert sorted(map(str, round_trip(df, PATH).collect())) == sorted(map(str, decode(encode(df, PATH), PATH).collect()))
     assert encode(df.limit(0), PATH).collect() == []
