@@ -371,29 +371,36 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     shared = stage(
         stars.join(rep.toDF("doc", "b"), "doc").join(rep.toDF("leader", "a"), "leader").where("a <> b").select("sig", "a", "b").distinct())
 
-    # The sets of candidate documents only, and their sketches.
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The sets of some documents, from their texts."""
+        held = stage(ids.select(F.col("doc").alias("doc_id")).distinct())
+        few = F.broadcast(held) if held.count() <= BROADCAST_IDS else held
+        sets = base.join(few, "doc_id", "left_semi").mapInArrow(lambda it: _store(it, n), "doc long, n long, h1 long, h2 long, features binary")
+        if repeated:  # an id with several rows: the set that was chosen above, once
+            sets = sets.join(known.withColumnRenamed("doc_id", "doc"), ["doc", "n", "h1", "h2"], "left_semi").dropDuplicates(["doc"])
+        return sets.select("doc", "n", "features")
+
+    def ends_of(edges: DataFrame) -> DataFrame:
+        return edges.select(F.explode(F.array("a", "b")).alias("doc"))
+
+    # Sketches of all candidate documents; sets only of those that sketches leave.
     pairs = shared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    nodes = stage(nodes)
-    small = nodes.count() <= BROADCAST_IDS
-    sets = base.join(F.broadcast(nodes) if small else nodes, "doc_id", "left_semi").mapInArrow(lambda it: _store(it, n), "doc long, n long, h1 long, h2 long, features binary")
-    if repeated:  # an id with several rows: the set that was chosen above, once
-        sets = sets.join(known.withColumnRenamed("doc_id", "doc"), ["doc", "n", "h1", "h2"], "left_semi").dropDuplicates(["doc"])
-    store = stage(sets.select("doc", "n", "features"))
-    sketches = stage(store.mapInArrow(lambda it: _sketches(it, num, den), "doc long, n long, sketch binary"))
+    sketches = stage(sets_of(ends_of(pairs)).mapInArrow(lambda it: _sketches(it, num, den), "doc long, n long, sketch binary"))
 
     def near(candidates: DataFrame) -> DataFrame:
         one = sketches.withColumnRenamed("doc", "a")
         two = sketches.toDF("b", "n_b", "sketch_b")
         return candidates.join(one, "a").join(two, "b").mapInArrow(lambda it: _near(it, num, den), "a long, b long")
 
-    def verified(candidates: DataFrame) -> DataFrame:
+    def verified(candidates: DataFrame, store: DataFrame) -> DataFrame:
         one = store.select(F.col("doc").alias("a"), "features")
         two = store.select(F.col("doc").alias("b"), F.col("features").alias("features_b"))
         return candidates.join(one, "a").join(two, "b").mapInArrow(lambda it: _verify(it, num, den), "a long, b long")
 
     tried = stage(near(pairs))
-    links = stage(verified(tried))
+    first = stage(sets_of(ends_of(tried)))
+    links = stage(verified(tried, first))
+    stage.release(tried, first)
     joined = components(links, stage)
 
     # What the stars leave open: members of one signature that still lie in different components.
@@ -412,6 +419,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     edges = stage(blocks.mapInArrow(lambda it: _cross(it, num, den), "a long, b long").distinct())
     if not edges.isEmpty():
         # Clusters of documents that may link, settled on their sets, block against block.
+        store = stage(sets_of(ends_of(edges)))
         cluster = components(edges, stage).select(F.col("node").alias("doc"), F.col("component").alias("cluster"))
         comp = joined.withColumnRenamed("node", "doc")
         own = cluster.join(store, "doc").join(comp, "doc", "left").select("doc", "cluster", "n", "features", F.coalesce("component", "doc").alias("comp"))
@@ -422,6 +430,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         late = stage(dealt.mapInArrow(lambda it: _settle(it, num, den), "a long, b long"))
         if not late.isEmpty():
             joined = components(links.union(late), stage)
-    stage.release(shared, nodes, store, sketches, tried)
+        stage.release(store)
+    stage.release(shared, sketches)
     out = known.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
