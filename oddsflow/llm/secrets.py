@@ -3,7 +3,9 @@
 Base patterns find assignments, access keys and long hexadecimal runs.  Beyond them,
 runs of key characters are split by a byte-pair vocabulary: language and code take few
 tokens, random strings many, so a run with few characters per token is reported as
-``random``, unless it is a known digest or identifier or overlaps a base finding.
+``random``, unless it is a known digest, or all its parts are numbers or words of the
+vocabulary.  In a run that is none as a whole, or that overlaps a base finding, what
+lies between / or =, and each stretch of parts that are no words, is judged on its own.
 Spans are in code points, end exclusive, ordered by start, then kind as listed in KINDS.
 
 Null text is empty and has no spans.  Every row is scanned on its own: repeated rows,
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +27,7 @@ from pyspark.sql import types as T
 
 KINDS = ("assign", "access", "hex", "random")
 CHARS_PER_TOKEN = 2.3   # below: random
+WORD_CHARS_PER_TOKEN = 2.1   # letters with as many are a word, if of an invented language
 MARK = "[SECRET]"
 
 # Fixed patterns of the base rules.
@@ -32,11 +36,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")  # RUN_LEAST characters
 DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)  # hexadecimal digits of md5, sha1, tiger, sha224, sha256, sha384, sha512
 _DIGEST = re.compile(r"[0-9A-Fa-f]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-_IDENTIFIER = re.compile(r"[_=/+-]*(?:[A-Za-z]+[0-9]{0,4}|[0-9]+)(?:[_=/+-]+(?:[A-Za-z]+[0-9]{0,4}|[0-9]+))*[_=/+-]*")
+_PART = re.compile(r"[A-Za-z0-9]+")
+_CHUNK = re.compile(r"[^/=]+")
+_NAMED = re.compile(r"([A-Za-z]+)[0-9]{0,4}")
+RUN_LEAST = 16
 
 _encodings: dict = {}
 
@@ -52,11 +59,50 @@ def encoding(path: str, pattern: str):
     return _encodings[path, pattern]
 
 
+def is_word(part: str, vocabulary, limit: float = WORD_CHARS_PER_TOKEN) -> bool:
+    """A number, or letters that the vocabulary has in one token or in long ones, with up to 4 digits behind them."""
+    if part.isdigit():
+        return True
+    named = _NAMED.fullmatch(part)
+    return named is not None and ((n := len(vocabulary.encode_ordinary(named[1]))) == 1 or len(named[1]) >= limit * n)
+
+
 def is_random(run: str, vocabulary, limit: float = CHARS_PER_TOKEN) -> bool:
     """The token-efficiency test."""
-    if _DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or _UUID.fullmatch(run) or _IDENTIFIER.fullmatch(run):
+    if _DIGEST.fullmatch(run) and len(run) in DIGEST_LENGTHS or _UUID.fullmatch(run):
         return False
-    return len(run) < limit * len(vocabulary.encode_ordinary(run))
+    return len(run) < limit * len(vocabulary.encode_ordinary(run)) and not all(is_word(p, vocabulary) for p in _PART.findall(run))
+
+
+def random_spans(run: str, vocabulary, at: int = 0, taken: tuple[list[int], list[int]] = ([], [])) -> list[tuple[int, int]]:
+    """The random strings in a run that begins at `at`: all of it, or else those of its chunks and stretches.
+    None overlaps a span taken; those are disjoint, in order, as their begins and ends."""
+
+    def clear(a: int, b: int) -> bool:
+        k = bisect_right(taken[1], at + a)
+        return k == len(taken[1]) or taken[0][k] >= at + b
+
+    if clear(0, len(run)) and is_random(run, vocabulary):
+        return [(at, at + len(run))]
+    judged = [m.span() for m in _CHUNK.finditer(run)]
+    begin = end = None
+    for m in _PART.finditer(run):
+        hit = not clear(*m.span())
+        if not hit and not is_word(m[0], vocabulary):
+            begin, end = m.start() if begin is None else begin, m.end()
+        elif begin is not None and (hit or len(m[0]) > 3):  # a short word may be part of a random string
+            judged.append((begin, end))
+            begin = None
+    if begin is not None:
+        judged.append((begin, end))
+    out = []
+    for a, b in sorted(set(judged)):
+        if b - a >= RUN_LEAST and clear(a, b) and is_random(run[a:b], vocabulary):
+            if out and at + a < out[-1][1]:
+                out[-1] = out[-1][0], max(at + b, out[-1][1])
+            else:
+                out.append((at + a, at + b))
+    return out
 
 
 def find(text: str, vocabulary) -> list[tuple[str, int, int]]:
@@ -68,10 +114,15 @@ def find(text: str, vocabulary) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    base = list(found)
+    begins, ends = [], []
+    for _, a, b in sorted(found, key=lambda s: s[1]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     for m in RUN.finditer(text):
-        if not any(a < m.end() and m.start() < b for _, a, b in base) and is_random(m[0], vocabulary):
-            found.append(("random", m.start(), m.end()))
+        found += [("random", a, b) for a, b in random_spans(m[0], vocabulary, m.start(), (begins, ends))]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import public_tokenizers
 
@@ -41,6 +42,22 @@ def test_token_efficiency():
     assert not any(is_random(c, VOCABULARY) for c in clean)
 
 
+def test_letters_base32_and_keys_in_paths():
+    rng = random.Random(3)
+    around = "src/main/resources/configuration/production/", "/settings_documentation"
+    for letters in (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits, string.ascii_uppercase + "234567"):
+        for n in (16, 20, 32):
+            keys = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(300)]
+            assert sum(is_random(k, VOCABULARY) for k in keys) >= 0.97 * len(keys), (letters, n)
+            assert sum(k not in hide(t := k.join(around), find(t, VOCABULARY)) for k in keys) >= 0.97 * len(keys), (letters, n)
+    key = "Zq8vT1xKp0LmW9sRb3Yd"
+    text = "files/" + "0123456789abcdef" * 2 + "/" + key
+    assert hide(text, find(text, VOCABULARY)) == "files/[SECRET]/[SECRET]"
+    assert hide(key.join(around), find(key.join(around), VOCABULARY)) == "[SECRET]".join(around)
+    clean = ["".join(around), "utf8-x86-64-linux-gnu", "a_b_c_d_e_f_g_h_i_j", "Rechtsschutzversicherungsgesellschaften", "desoxirribonucleico", "anticonstitutionnellement"]
+    assert not any(find(c, VOCABULARY) for c in clean)
+
+
 def test_scan_and_redact(spark):
     rows = [(1, "é password=hunter2hunter ok"), (2, None), (3, ""), (4, "clean words here"), (None, "token: 'abcdefgh'"), (1, "AKIA" + "A" * 16 + " x"), (5, "key Zq8vT1xKp0LmW9sRb3Yd is random"), (6, "a " * 200000)]
     df = spark.createDataFrame([(i, t, [1], "k") for i, t in rows], "doc_id long, text string, spans array<int>, row string").repartition(3)
