@@ -5,15 +5,24 @@ bigrams is compared with each template's: twice the common ones over the sum of
 A coefficient of `least` or more needs sizes within [least/(2-least), (2-least)/least]
 of each other, so only templates of such size are compared with a unit.
 
+What no matching unit covers is searched for notices between other words: comment leaders
+go, a notice may run over lines, and stretches of words that begin and end with a
+bigram of a template, no longer than the size bounds allow, are compared.  From each begin the end that is best by counts of places is judged exactly; of
+stretches that overlap the best one counts.  `oracle_sql` has lines and paragraphs only,
+so the two agree wherever no notice stands between other words.
+
+Only documents that have enough bigrams of some template are cut into units at all; a unit
+or stretch cannot have more of them than its document.
+
 Per document the best match counts: highest coefficient, then licence name.  Null text is empty and matches nothing; rows with null or repeated ids are judged
-each by its own text; other columns are ignored.  Only DataFrame functions are used.
+each by its own text; other columns are ignored.  Only DataFrame functions are used, and no shuffle.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAST = 0.8
@@ -41,6 +50,8 @@ TEMPLATES = [
 ]
 WORD = r"[0-9]+(?:[.][0-9]+)+|[a-z0-9]+"
 PARAGRAPH = r"\n[\x20\t\r]*\n"
+LEADER = r"(?im)^[\x20\t]*(?:rem|dnl)(?=[\x20\t])"  # comment leaders that are words; signs are none
+CUT = "-cut-"  # in the place of a matching unit; in no template
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,27 +66,97 @@ def bounds(size: int, least: float) -> tuple[int, int]:
     return fits[0], fits[-1]
 
 
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
+
+
+def _pairs(words: Column) -> Column:
+    """The bigrams of the words in their order, null without one."""
+    return F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))))
+
+
+def _dice(grams: Column, own: Column) -> Column:
+    return 2 * F.size(F.array_intersect(grams, own)) / (F.size(grams) + F.size(own)).cast("double")
+
+
+def _whole(units: Column, known, least: float) -> Column:
+    """(body, low, license) of the units that match, `low` the negative coefficient of the best template."""
+
+    def hits(grams: Column) -> Column:
+        found = []
+        for name, own, _ in known:
+            low, high = bounds(len(own), least)
+            near = F.when(F.size(grams).between(low, high), _dice(grams, F.array(*map(F.lit, own))))  # the size bounds prune before anything is compared
+            found.append(F.when(near >= least, F.struct((-near).alias("low"), F.lit(name).alias("license"))))
+        return F.array_min(F.array_compact(F.array(*found)))
+
+    each = F.transform(units, lambda u: F.struct(u.alias("body"), _words(u).alias("words")))
+    each = F.transform(each, lambda u: F.struct(u["body"].alias("body"), F.array_distinct(_pairs(u["words"])).alias("grams")))
+    each = F.transform(each, lambda u: F.struct(u["body"].alias("body"), hits(u["grams"]).alias("best")))
+    return F.filter(each, lambda u: u["best"].isNotNull())
+
+
+def _places(grams: Column, near: Column, known, least: float) -> Column:
+    """For each template in `near` its figures, and the places of its bigrams among grams."""
+    found = []
+    for k, (name, own, n) in enumerate(known):
+        own_lit = F.array(*map(F.lit, own))
+        at = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.array_contains(own_lit, F.get(grams, i)))
+        one = F.struct(F.lit(name).alias("license"), own_lit.alias("own"), F.lit(n).alias("n"), F.lit(bounds(len(own), least)[0]).alias("need"), F.lit(bounds(n, least)[1]).alias("span"), at.alias("at"))
+        found.append(F.when(F.array_contains(near, k) & (F.size(grams) > 0), one))
+    return F.array_compact(F.array(*found))
+
+
+def _stretches(places: Column, grams: Column, least: float) -> Column:
+    """(low, license, begin, end) of the best stretches that match, none overlapping a better one."""
+
+    def end(t: Column, begin: Column, j: Column) -> Column:
+        ends = F.filter(F.slice(t["at"], j + t["need"], t["span"]), lambda e: e - begin < t["span"])
+        return F.array_max(F.transform(ends, lambda e, m: F.struct((2 * (t["need"] + m) / (e - begin + 1 + t["n"])).alias("about"), e.alias("end"))))["end"]
+
+    def judged(t: Column) -> Column:
+        spans = F.filter(F.transform(t["at"], lambda b, j: F.struct(b.alias("begin"), end(t, b, j).alias("end"))), lambda x: x["end"].isNotNull())
+
+        def scored(x: Column) -> Column:
+            low = F.transform(F.array(F.array_distinct(F.slice(grams, x["begin"] + 1, x["end"] - x["begin"] + 1))), lambda g: -_dice(g, t["own"]))
+            return F.struct(F.get(low, F.lit(0)).alias("low"), t["license"].alias("license"), x["begin"].alias("begin"), x["end"].alias("end"))
+
+        return F.filter(F.transform(spans, scored), lambda x: x["low"] <= -least)
+
+    every = F.array_sort(F.flatten(F.transform(places, judged)))
+    apart = lambda kept, x: ~F.exists(kept, lambda y: (y["begin"] <= x["end"] + 1) & (x["begin"] <= y["end"] + 1))
+    return F.aggregate(every, F.filter(every, lambda x: F.lit(False)), lambda kept, x: F.when(apart(kept, x), F.concat(kept, F.array(x))).otherwise(kept))
+
+
+def _without(text: Column, bodies: Column) -> Column:
+    """The text with CUT for each paragraph and line among the bodies."""
+    cut = lambda part: F.when(F.array_contains(bodies, part), CUT).otherwise(part)
+    text = F.array_join(F.transform(F.split(text, PARAGRAPH), cut), "\n\n")
+    return F.array_join(F.transform(F.split(text, "\n"), cut), "\n")
+
+
 def matches(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text", templates=None) -> DataFrame:
-    """(doc_id, n_matches, license, score) for every row: distinct units that match, and the best match (null without one)."""
-    known = sorted({(name, tuple(grams)) for name, text in (templates or TEMPLATES) if (grams := template_bigrams(text))})
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """(doc_id, n_matches, license, score) for every row: distinct units and stretches that match, and the best match (null without one)."""
+    known = sorted({(name, tuple(grams), len(re.findall(WORD, text.lower())) - 1) for name, text in (templates or TEMPLATES) if (grams := template_bigrams(text))})
+    every = F.array(*map(F.lit, sorted({g for _, own, _ in known for g in own})))
+    out = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    out = out.withColumn("words", _words(F.regexp_replace("text", LEADER, "")))
+    out = out.select("doc_id", "text", F.array_intersect(_pairs(F.col("words")), every).alias("grams"))
+    near = [F.when(F.size(F.array_intersect("grams", F.array(*map(F.lit, own)))) >= bounds(len(own), least)[0], F.lit(k)) for k, (_, own, _) in enumerate(known)]
+    out = out.select("doc_id", "text", F.when(F.size("grams") > 0, F.array_compact(F.array(*near))).alias("near"))
+    out = out.withColumn("text", F.when(F.size("near") > 0, F.col("text")))  # null: nothing can match, nothing is cut
     units = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", PARAGRAPH)))
-    each = base.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", F.posexplode(units).alias("unit", "body"))
-    words = F.regexp_extract_all(F.translate("body", UPPER, LOWER), F.lit(WORD), F.lit(0))
-    each = each.select("row", "doc_id", "unit", words.alias("words"))
-    pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda i: F.concat_ws(" ", F.get("words", i), F.get("words", i + 1)))
-    each = each.select("row", "doc_id", "unit", F.when(F.size("words") > 1, F.array_distinct(pairs)).alias("grams")).withColumn("size", F.coalesce(F.size("grams"), F.lit(0)))
-    found = []
-    for name, own in known:
-        low, high = bounds(len(own), least)
-        dice = 2 * F.size(F.array_intersect("grams", F.array(*map(F.lit, own)))) / (F.col("size") + len(own)).cast("double")
-        near = F.when(F.col("size").between(low, high), dice)  # the size bounds prune before anything is compared
-        found.append(F.when(near >= least, F.struct(near.alias("score"), F.lit(name).alias("license"))))
-    hits = each.select("row", "doc_id", "unit", F.array_compact(F.array(*found)).alias("hits"))
-    best = F.array_min(F.transform("hits", lambda h: F.struct((-h["score"]).alias("low"), h["license"].alias("license"))))
-    # One row a matching unit, and unit 0 of every document; the generator keeps the test from being pushed below what it tests.
-    out = hits.select("row", "doc_id", "unit", F.explode_outer(F.when(F.size("hits") > 0, F.array(best))).alias("best")).where("unit = 0 or best is not null")
-    out = out.groupBy("row", "doc_id").agg(F.count("best").alias("n_matches"), F.min("best").alias("best"))
+    out = out.withColumn("whole", _whole(units, known, least))
+    rest = F.regexp_replace(_without(F.col("text"), F.transform("whole", lambda u: u["body"])), LEADER, "")
+    out = out.select("doc_id", "near", "whole", _words(rest).alias("words"))
+    out = out.select("doc_id", "near", "whole", _pairs(F.col("words")).alias("grams"))
+    out = out.withColumn("places", _places(F.col("grams"), F.col("near"), known, least))
+    out = out.select("doc_id", "whole", "grams", _stretches(F.col("places"), F.col("grams"), least).alias("inside"))
+    texts = F.array_distinct(F.transform("inside", lambda x: F.array_join(F.slice("grams", x["begin"] + 1, x["end"] - x["begin"] + 1), " ")))
+    best = lambda kept: F.transform(kept, lambda x: F.struct(x["low"].alias("low"), x["license"].alias("license")))
+    none = F.array().cast("array<struct<low: double, license: string>>")
+    every = F.concat(F.coalesce(F.transform("whole", lambda u: u["best"]), none), F.coalesce(best("inside"), none))
+    out = out.select("doc_id", (F.coalesce(F.size("whole"), F.lit(0)) + F.coalesce(F.size(texts), F.lit(0))).cast("long").alias("n_matches"), F.array_min(every).alias("best"))
     return out.select("doc_id", "n_matches", F.col("best.license").alias("license"), (-F.col("best.low")).alias("score"))
 
 

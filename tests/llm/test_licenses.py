@@ -26,6 +26,26 @@ def test_planted_and_edge_cases(spark):
     assert matches(df.limit(0)).collect() == []
 
 
+def test_notices_between_other_words(spark):
+    long = {name: text for name, text in TEMPLATES if len(text) > 200}
+    wrap = lambda text, leader: "\n".join(leader + " ".join(w) for w in (text.split()[i:i + 9] for i in range(0, len(text.split()), 9)))
+    rows, want = [], {}
+    for name, text in long.items():
+        for leader in ("# ", " * ", "// ", "dnl ", "REM "):
+            rows.append((len(rows), f"{leader}Copyright 2020 Some One and others\n{leader}\n" + wrap(text, leader) + f"\n{leader}\n{leader}The rest of the file is code.\nimport os\nprint(os.name)\n" + "x = 1\n" * 40))
+            want[rows[-1][0]] = name
+    said = {"The code is free. Released under the MIT License. See the file COPYING for details.": ("MIT", 1), "Prose, then: licensed under CC BY-NC 4.0, as all of it is, and more prose follows here.": ("CC-BY-NC-4.0", 1),
+            "Either released under the MIT License. Or else, as the owner says, licensed under the Apache License, Version 2.0. So choose.": ("Apache-2.0", 2), "Released under the spell of the sea, he was given a licence to see the world.": (None, 0)}
+    for text in said:
+        rows.append((len(rows), text + " word" * 300))
+    got = {r.doc_id: r for r in matches(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(s is None for _, _, s, _ in sql(rows[-len(said):]))  # what lines and paragraphs do not show
+    assert {i: got[i].license for i in want} == want
+    assert all(got[i].n_matches >= 1 and got[i].score >= 0.8 for i in want)
+    for (i, _), (name, n) in zip(rows[-len(said):], said.values()):
+        assert (got[i].license, got[i].n_matches) == (name, n), got[i]
+
+
 def test_bounds_are_exact():
     for size in range(1, 60):
         low, high = bounds(size, 0.8)
