@@ -52,7 +52,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents, packed into sequences of 4096 tokens at most."""
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), limit=4096), tokens=4096)
+    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), limit=4096, control=True), tokens=4096)
 
 
 STAGES = [

@@ -38,13 +38,14 @@ _tokenizers: dict = {}
 class CachedTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, control: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not control  # without control, control strings in a text are ordinary text
         self.cache: dict[bytes, bytes] = {}
-        probe = "a\tb\n\x0b\x0c\r c 'd e' 1 2"
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        probe = "a\tb\n\x0b\x0c\r c 'd e' 1 2" + "".join(f" {t}\n{t} x{t}" for t in added)
         self.by_word = self._ids([probe])[0] == b"".join(self._ids(probe.split()))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -64,17 +65,17 @@ class CachedTokenizer:
         return out
 
 
-def _tokenizer(path: str) -> CachedTokenizer:
-    if path not in _tokenizers:
+def _tokenizer(path: str, control: bool) -> CachedTokenizer:
+    if (path, control) not in _tokenizers:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        _tokenizers[path] = CachedTokenizer(path)
-    return _tokenizers[path]
+        _tokenizers[path, control] = CachedTokenizer(path, control)
+    return _tokenizers[path, control]
 
 
-def _pieces(batches, path: str, limit: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    tokenizer, end = _tokenizer(path), np.array([end_id], "<u4").tobytes()
+def _pieces(batches, path: str, limit: int, end_id: int, control: bool) -> Iterator[pa.RecordBatch]:
+    tokenizer, end = _tokenizer(path, control), np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for run in slices(batch, "text"):
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
@@ -90,11 +91,12 @@ def _pieces(batches, path: str, limit: int, end_id: int) -> Iterator[pa.RecordBa
 
 
 def token_pieces(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", control: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, ids): each document's token ids and its end id,
-    cut into pieces of at most `limit`; ids as little-endian unsigned 32-bit integers."""
+    cut into pieces of at most `limit`; ids as little-endian unsigned 32-bit integers.
+    With `control` a control string in a text is its one token, as by the library's default."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return base.mapInArrow(lambda it: _pieces(it, path, limit, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
+    return base.mapInArrow(lambda it: _pieces(it, path, limit, end_id, control), "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def best_fit(items: np.ndarray, capacity: np.ndarray, weights: np.ndarray, score: str = "norm") -> np.ndarray:

@@ -74,7 +74,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as token pieces, packed into sequences of 4096 tokens at most."""
-    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=4096)
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=4096, control=True)
     return packing.pack(pieces, tokens=4096)
 
 

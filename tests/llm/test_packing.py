@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -32,6 +33,19 @@ def test_cached_ids_equal_whole_text_ids(monkeypatch):
     assert got == [whole(t) for t in texts] and len(tokenizer.cache) <= 40
 
 
+def test_control_strings_as_by_the_library(spark):
+    library, rng = Tokenizer.from_file(PATH), random.Random(4)
+    tokenizer = CachedTokenizer(PATH, control=True)
+    assert tokenizer.by_word
+    parts = ALPHABET + ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>"] * 3
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(20))) for _ in range(1000)] + ["end <|endoftext|> x"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in tokenizer.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    ids = library.encode(texts[-1], add_special_tokens=False).ids + [1]
+    docs = spark.createDataFrame([(1, texts[-1], "en", "x", 19)], "doc_id long, text string, lang string, source string, n_chars long")
+    for out in (corpus_pipeline.best_fit_packing(spark, docs, ""), token_pieces(docs, PATH, control=True)):
+        assert [(r.length, r.ids_crc32) for r in out.collect()] == [(len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]
+
+
 def test_pieces_and_packing(spark):
     rng = random.Random(5)
     rows = [(i, " ".join("word%d" % rng.randrange(99) for _ in range(rng.choice([0, 1, 5, 40, 90])))) for i in range(300)]
