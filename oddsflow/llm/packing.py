@@ -6,8 +6,8 @@ are looked up in a bounded cache, filled by the tokenizer itself.  Tokenisers th
 tell white space apart are detected by a probe and get whole texts instead.
 
 Packing: an item has a vector (tokens, documents, attention cost = length squared)
-and a sequence a capacity in each.  Items are dealt by a hash of their key into groups of
-bounded size, which are packed independently: the longest first, each into the open
+and a sequence a capacity in each.  Items are dealt by a hash of their key, and of a row
+number if rows repeat, into groups of bounded size, which are packed independently: the longest first, each into the open
 sequence, among those with room in every component, that has the smallest weighted
 residual norm afterwards, or the largest weighted dot product of residual and item.
 Packing by groups costs at most the last, partly filled sequences of each group.
@@ -151,9 +151,11 @@ def pack(pieces: DataFrame, tokens: int = 4096, documents: int | None = None, at
         raise ValueError("score is norm or dot")
     capacity = (tokens, documents or tokens, attention or tokens * tokens)
     stage = Stage(pieces.sparkSession, "packing")
-    light = stage(pieces.select("doc_id", "piece", "start", "length", "ids_crc32"))
-    groups = max(1, -(-light.count() // GROUP))
-    grouped = light.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    light = stage(pieces.select("doc_id", "piece", "start", "length", "ids_crc32", F.monotonically_increasing_id().alias("row")))
+    groups, key = max(1, -(-light.count() // GROUP)), ["doc_id", "piece", "ids_crc32"]
+    if groups > 1 and not light.groupBy(*key).count().where("count > 1").isEmpty():  # repeated rows are dealt out by their stored number
+        key.append("row")
+    grouped = light.withColumn("group", F.pmod(F.xxhash64(*key), F.lit(groups))).drop("row")
     return grouped.groupBy("group").applyInArrow(
         lambda t: _pack(t, capacity, weights, score), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -79,6 +80,16 @@ def test_pieces_and_packing(spark):
         assert got[:first[s.sequence_id].length] == ids[first[s.sequence_id].doc_id][first[s.sequence_id].start:][:first[s.sequence_id].length]
 
 
+def test_repeated_rows_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    rows = [(None, "")] * 300 + [(4, "same text")] * 300 + [(i, "w%d" % i) for i in range(10, 110)]
+    pieces = token_pieces(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), PATH)
+    out = pack(pieces, tokens=128).collect()
+    assert len(out) == len(rows)
+    sizes = Counter(r.sequence_id >> 32 for r in out)
+    assert len(sizes) == 14 and max(sizes.values()) <= 100, sizes
+
+
 @pytest.mark.parametrize("score", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(score):
     rng = np.random.default_rng(1)
