@@ -165,7 +165,8 @@ def _minimisers(batches, window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Rows (anchor, salt, doc, mark, span), span = first word and count of windows.
 
     An anchor that several documents of a block have is known to be shared: its rows are
-    dealt out by a salt, and one row of no windows (salt 0) tells the other blocks."""
+    dealt out by a salt, and two rows of no windows (salt 0), of the smallest and the largest
+    document, tell the other blocks: at least one is not the document that they have."""
     for batch in batches:
         for run in slices(batch, "text", 8 << 20):
             data, bounds = utf8(run.column("text"))
@@ -194,9 +195,10 @@ def _minimisers(batches, window: int, gram: int) -> Iterator[pa.RecordBatch]:
             least, most = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
             many = least < most
             salt = np.where(np.repeat(many, np.diff(np.append(begin, len(anchor)))), 1 + (mix((doc ^ span).view(U64)) % U64(1 << 20)).astype(np.int32), 0)
-            tell = begin[many]
+            tell = np.repeat(begin[many], 2)
+            ends = np.stack([least[many], most[many]], axis=1).ravel()
             yield _batch(["anchor", "salt", "doc", "mark", "span"], np.concatenate([anchor, anchor[tell]]), np.concatenate([salt, np.zeros(len(tell))]).astype(np.int32),
-                         np.concatenate([doc, doc[tell]]), np.concatenate([mark, mark[tell]]), np.concatenate([span, np.zeros(len(tell), np.int64)]))
+                         np.concatenate([doc, ends]), np.concatenate([mark, mark[tell]]), np.concatenate([span, np.zeros(len(tell), np.int64)]))
 
 
 def _rolls(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

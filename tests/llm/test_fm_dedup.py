@@ -71,6 +71,14 @@ def test_repeated_ids_and_empty_table(spark):
     assert repeat_digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_repeated_id_in_another_block(spark):
+    text = " ".join("w%d" % i for i in range(20))
+    rows = [(7, "another start " + text), (7, text), (3, text)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    got = sorted((tuple(r) for r in repeat_digests(df).collect()), key=str)
+    assert got == brute(rows, 13)
+
+
 def test_cut_keeps_everything_else(spark):
     shared = " ".join("s%d" % i for i in range(15))
     rows = [(1, "Head\n" + shared + "  tail", "en"), (2, "Other  head\n" + shared + "\nits own\ttail ", "de"), (3, shared, None), (4, "untouched  text\n", "x"), (5, None, "n")]
