@@ -38,6 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    reach_workers(spark)
     return spark
 
 
@@ -73,7 +74,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="oddsflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
