@@ -10,5 +10,6 @@
     secrets       credential patterns and token-efficiency spans
     kmeans_tree   hierarchical k-means nearest neighbours
     quality       base rules and hashed n-gram likelihood ratios          (native)
+    bpe_codec     byte-pair encoding by backtracking, decoding by an offset table
     queries       the registered queries, opN_<name>
 """

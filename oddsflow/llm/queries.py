@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsflow.llm import chat_format, fm_dedup, kmeans_tree, langid, licenses, packing, partenum, quality, secrets, sp_codec
+from oddsflow.llm import bpe_codec, chat_format, fm_dedup, kmeans_tree, langid, licenses, packing, partenum, quality, secrets, sp_codec
 
 ARROW_ROWS = "2000"  # rows of an Arrow batch: long documents, so few of them at once
 
@@ -110,8 +110,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), trusted)
 
 
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair ids of every document, and their decoding."""
+    coded = bpe_codec.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_language_id, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece, op7_license_scans, op8_secret_scans, op9_nearest_neighbours, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_language_id, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece, op7_license_scans, op8_secret_scans, op9_nearest_neighbours, op10_quality_rules,
+                                   op13_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
