@@ -2,8 +2,9 @@
 
 Tokenising: white space never joins two tokens of the vocabularies this is for, so
 a text is cut at ASCII white space and the token ids of each distinct piece of text
-are looked up in a bounded cache, filled by the tokenizer itself.  Tokenisers that
-tell white space apart are detected by a probe and get whole texts instead.
+are looked up in a bounded cache, filled by the tokenizer itself (by its words, where its
+pattern cuts them; see chunks).  Tokenisers that tell white space apart are detected by a
+probe and get whole texts instead.
 
 Packing: an item has a vector (tokens, documents, attention cost = length squared)
 and a sequence a capacity in each.  Items are dealt by a hash of their key, and of a row
@@ -18,6 +19,7 @@ documents of their own.  An empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -26,43 +28,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oddsflow.llm.chunks import ChunkCache, WordCache
 from oddsflow.llm.staging import Stage
 from oddsflow.llm.words import slices
 
-CACHE = 600_000   # distinct pieces of text a worker remembers
 GROUP = 32_768    # items packed together
 
 _tokenizers: dict = {}
 
 
 class CachedTokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts by the library, which is given each distinct word or chunk once if the tokenizer allows it."""
 
     def __init__(self, path: str, control: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not control  # without control, control strings in a text are ordinary text
-        self.cache: dict[bytes, bytes] = {}
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         probe = "a\tb\n\x0b\x0c\r c 'd e' 1 2" + "".join(f" {t}\n{t} x{t}" for t in added)
         self.by_word = self._ids([probe])[0] == b"".join(self._ids(probe.split()))
+        try:
+            with open(path, encoding="utf-8") as f:
+                encode = WordCache(self.tokenizer, json.load(f), self._ids, lambda t: self._ids([t])[0])
+        except ValueError:  # a tokenizer of another kind: whole chunks
+            encode = lambda chunks: self._ids([c.decode() for c in chunks])
+        self.cache = ChunkCache(encode)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if not self.by_word:
-            return self._ids([t.decode() for t in texts])
-        split = [t.split() for t in texts]  # bytes split at ASCII white space only
-        unseen = list({w for words in split for w in words} - self.cache.keys())
-        self.cache.update(zip(unseen, self._ids([w.decode() for w in unseen])))
-        get = self.cache.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        if len(self.cache) > CACHE:  # full: what came first (the common words) stays
-            for word in unseen:
-                del self.cache[word]
-        return out
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, row bounds) of a column of texts; nulls are empty."""
+        if self.by_word:
+            return self.cache.ids(texts)
+        parts = self._ids([t or "" for t in texts.to_pylist()])
+        return np.frombuffer(b"".join(parts), "<u4"), np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts], dtype=np.int64)])
 
 
 def _tokenizer(path: str, control: bool) -> CachedTokenizer:
@@ -79,9 +80,9 @@ def _pieces(batches, path: str, limit: int, end_id: int, control: bool) -> Itera
     for batch in batches:
         for run in slices(batch, "text"):
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            texts = [t or b"" for t in run.column("text").cast(pa.binary()).to_pylist()]
-            for doc, ids in zip(run.column("doc_id").to_pylist(), tokenizer.encode(texts)):
-                ids += end
+            flat, bounds = tokenizer.encode(run.column("text"))
+            for doc, a, b in zip(run.column("doc_id").to_pylist(), bounds.tolist(), bounds[1:].tolist()):
+                ids = flat[a:b].tobytes() + end
                 for piece, at in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[at:at + 4 * limit]
                     for k, v in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
@@ -141,27 +142,30 @@ def _pack(table: pa.Table, capacity: tuple, weights: tuple, score: str) -> pa.Ta
 
 
 def pack(pieces: DataFrame, tokens: int = 4096, documents: int | None = None, attention: int | None = None,
-         weights: tuple = (1.0, 0.05, 0.05), score: str = "norm") -> DataFrame:
-    """Adds sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32).
+         weights: tuple = (1.0, 0.05, 0.05), score: str = "norm", with_ids: bool = False) -> DataFrame:
+    """Adds sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32), and their ids if asked for.
 
     Capacities left out are those that `tokens` implies (as many documents as tokens, its
     square as attention cost), which then never bind.  Offsets in a sequence are gapless.
+    Each row of pieces is packed for itself: rows that share a document's id, or have none,
+    stay apart and keep their own ids.
     """
     if score not in ("norm", "dot"):
         raise ValueError("score is norm or dot")
     capacity = (tokens, documents or tokens, attention or tokens * tokens)
     stage = Stage(pieces.sparkSession, "packing")
-    light = stage(pieces.select("doc_id", "piece", "start", "length", "ids_crc32", F.monotonically_increasing_id().alias("row")))
-    groups, key = max(1, -(-light.count() // GROUP)), ["doc_id", "piece", "ids_crc32"]
-    if groups > 1 and not light.groupBy(*key).count().where("count > 1").isEmpty():  # repeated rows are dealt out by their stored number
+    light = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    kept = stage(pieces.select(*light, *(["ids"] if with_ids else []), F.monotonically_increasing_id().alias("row")))
+    groups, key = max(1, -(-kept.count() // GROUP)), ["doc_id", "piece", "ids_crc32"]
+    if groups > 1 and not kept.groupBy(*key).count().where("count > 1").isEmpty():  # repeated rows are dealt out by their stored number
         key.append("row")
-    grouped = light.withColumn("group", F.pmod(F.xxhash64(*key), F.lit(groups))).drop("row")
-    return grouped.groupBy("group").applyInArrow(
-        lambda t: _pack(t, capacity, weights, score), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    grouped = kept.select(*light, "row", F.pmod(F.xxhash64(*key), F.lit(groups)).alias("group"))
+    packed = grouped.groupBy("group").applyInArrow(
+        lambda t: _pack(t, capacity, weights, score), "doc_id long, piece int, start long, length long, ids_crc32 long, row long, sequence_id long, offset long")
+    return (packed.join(kept.select("row", "ids"), "row") if with_ids else packed).drop("row")
 
 
-def sequences(pieces: DataFrame, packed: DataFrame) -> DataFrame:
-    """(sequence_id, ids): the packed token ids themselves; a sequence is bounded by its capacity."""
-    parts = packed.join(pieces.select("doc_id", "piece", "ids").distinct(), ["doc_id", "piece"])
-    joined = parts.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, ids) of pieces packed with their ids; a sequence is bounded by its capacity."""
+    joined = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     return joined.select("sequence_id", F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["ids"])).alias("ids"))

@@ -7,10 +7,11 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from oddsflow.llm import packing
+from oddsflow.llm import chunks, packing
 from oddsflow.llm.packing import CachedTokenizer, best_fit, pack, sequences, token_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -25,13 +26,19 @@ def whole(text):
     return WHOLE.encode(text, add_special_tokens=False).ids
 
 
+def encoded(tokenizer, texts):
+    ids, bounds = tokenizer.encode(pa.array(texts))
+    return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
 def test_cached_ids_equal_whole_text_ids(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE", 40)
+    monkeypatch.setattr(chunks, "CACHE", 40)
+    monkeypatch.setattr(chunks, "WORDS", 40)
     tokenizer, rng = CachedTokenizer(PATH), random.Random(2)
     assert tokenizer.by_word
     texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randrange(30))) for _ in range(600)] + ["<|endoftext|> x<|startoftext|>"]
-    got = [np.frombuffer(b, "<u4").tolist() for k in range(0, len(texts), 50) for b in tokenizer.encode([t.encode() for t in texts[k:k + 50]])]
-    assert got == [whole(t) for t in texts] and len(tokenizer.cache) <= 40
+    got = [row for k in range(0, len(texts), 50) for row in encoded(tokenizer, texts[k:k + 50])]
+    assert got == [whole(t) for t in texts] and len(tokenizer.cache.known) <= 40
 
 
 def test_control_strings_as_by_the_library(spark):
@@ -40,7 +47,7 @@ def test_control_strings_as_by_the_library(spark):
     assert tokenizer.by_word
     parts = ALPHABET + ["<|endoftext|>", "<|startoftext|>", "<|endof", "text|>"] * 3
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(20))) for _ in range(1000)] + ["end <|endoftext|> x"]
-    assert [np.frombuffer(b, "<u4").tolist() for b in tokenizer.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoded(tokenizer, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
     ids = library.encode(texts[-1], add_special_tokens=False).ids + [1]
     docs = spark.createDataFrame([(1, texts[-1], "en", "x", 19)], "doc_id long, text string, lang string, source string, n_chars long")
     for out in (corpus_pipeline.best_fit_packing(spark, docs, ""), token_pieces(docs, PATH, control=True)):
@@ -71,13 +78,24 @@ def test_pieces_and_packing(spark):
     for r in out:
         part = ids[r.doc_id][r.start:r.start + r.length]
         assert r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
-    unique = pieces.dropDuplicates(["doc_id", "piece"])
-    packed = pack(unique, tokens=128)
-    packed = spark.createDataFrame(packed.collect(), packed.schema)
-    first = {r.sequence_id: r for r in packed.where("offset = 0").collect()}
-    for s in sequences(unique, packed).collect():
-        got = np.frombuffer(s.ids, "<u4").tolist()
-        assert got[:first[s.sequence_id].length] == ids[first[s.sequence_id].doc_id][first[s.sequence_id].start:][:first[s.sequence_id].length]
+
+
+def test_sequences_hold_the_ids_of_every_row(spark):
+    texts = ["a b c", "d e f", None, "a b c", "x " * 300, "y"]
+    rows = list(zip([7, 7, None, 7, None, 9], texts))  # repeated and null ids, one row twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    packed = pack(token_pieces(docs, PATH, limit=128), tokens=128, with_ids=True)
+    pieces = packed.collect()
+    got = {s.sequence_id: np.frombuffer(s.ids, "<u4").tolist() for s in sequences(packed).collect()}
+    parts = []
+    for p in pieces:
+        assert got[p.sequence_id][p.offset:p.offset + p.length] == np.frombuffer(p.ids, "<u4").tolist()
+        parts.append((p.doc_id, p.start, p.ids_crc32))
+    want = []
+    for d, t in rows:
+        ids = whole(t or "") + [1]
+        want += [(d, k, zlib.crc32(np.array(ids[k:k + 128], "<u4").tobytes())) for k in range(0, len(ids), 128)]
+    assert sorted(map(str, parts)) == sorted(map(str, want)) and sum(map(len, got.values())) == sum(p.length for p in pieces)
 
 
 def test_repeated_rows_are_dealt_out(spark, monkeypatch):
