@@ -10,6 +10,8 @@
     secrets       credential patterns and token-efficiency spans
     kmeans_tree   hierarchical k-means nearest neighbours
     quality       base rules and hashed n-gram likelihood ratios          (native)
+    importance    importance resampling towards a target by hashed n-grams
+    filter_audit  interaction of filters over every order, by a recursive query
     bpe_codec     byte-pair encoding by backtracking, decoding by an offset table
     queries       the registered queries, opN_<name>
 """

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oddsflow.llm import bpe_codec, chat_format, fm_dedup, kmeans_tree, langid, licenses, packing, partenum, quality, secrets, sp_codec
+from oddsflow.llm import bpe_codec, chat_format, filter_audit, fm_dedup, importance, kmeans_tree, langid, licenses, packing, partenum, quality, secrets, sp_codec
 
 ARROW_ROWS = "2000"  # rows of an Arrow batch: long documents, so few of them at once
 
@@ -110,6 +110,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), trusted)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn in proportion to how like the benchmark they are."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, least_words=20, seed=7, buckets=10_000)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, applied in each of their 120 orders."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-pair ids of every document, and their decoding."""
     coded = bpe_codec.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -119,8 +129,8 @@ def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_chat_formatting, op2_ngram_jaccard_join, op3_language_id, op4_substring_dedup, op5_best_fit_packing, op6_sentencepiece, op7_license_scans, op8_secret_scans, op9_nearest_neighbours, op10_quality_rules,
-                                   op13_bpe_codec)}
+                                   op11_importance_resampling, op12_filter_audit, op13_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": OP1_SQL, "op7_license_scans": licenses.oracle_sql()}
+    return {"op1_chat_formatting": OP1_SQL, "op7_license_scans": licenses.oracle_sql(), "op12_filter_audit": filter_audit.oracle_sql()}
