@@ -42,11 +42,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+# Large arrays of a Python worker go back to the system when they are freed, rather than
+# staying in the heap of a worker that later stages use again.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, whatever their
     working folder (a path that executors share or have installed; else ship it as a py-file)."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     environment = spark.sparkContext.environment
+    for k, v in WORKER_MEMORY.items():
+        environment.setdefault(k, v)
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
