@@ -238,7 +238,8 @@ def _verify(batches, num: int, den: int):
 
 
 BROADCAST_IDS = 1_000_000  # candidate ids (16 MB) up to which texts need no shuffle to be looked up
-BLOCK = 512  # members of a signature compared with each other in one place
+BLOCK = 512  # members of a signature, or of a cluster, compared with each other in one place
+BLOCK_BYTES = 16 << 20  # and the size of their sets
 
 
 def _groups(batches, keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -338,9 +339,7 @@ def _settle(batches, num: int, den: int):
         yield _batch(["a", "b"], pa.array(a, pa.int64()), pa.array(b, pa.int64()))
 
 
-BROADCAST_IDS = 1_000_000  # candidate ids (16 MB) up to which texts need no shuffle to be looked up
-BLOCK = 512                # documents compared with each other in one place
-BLOCK_BYTES = 16 << 20     # and the size of their sets
+SKETCH = "doc long, n long, sketch binary"
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -371,21 +370,30 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     shared = stage(
         stars.join(rep.toDF("doc", "b"), "doc").join(rep.toDF("leader", "a"), "leader").where("a <> b").select("sig", "a", "b").distinct())
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        """The sets of some documents, from their texts."""
+    def texts_of(ids: DataFrame) -> DataFrame:
         held = stage(ids.select(F.col("doc").alias("doc_id")).distinct())
         few = F.broadcast(held) if held.count() <= BROADCAST_IDS else held
-        sets = base.join(few, "doc_id", "left_semi").mapInArrow(lambda it: _store(it, n), "doc long, n long, h1 long, h2 long, features binary")
+        return base.join(few, "doc_id", "left_semi")
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The sets of some documents, from their texts."""
+        sets = texts_of(ids).mapInArrow(lambda it: _store(it, n), "doc long, n long, h1 long, h2 long, features binary")
         if repeated:  # an id with several rows: the set that was chosen above, once
             sets = sets.join(known.withColumnRenamed("doc_id", "doc"), ["doc", "n", "h1", "h2"], "left_semi").dropDuplicates(["doc"])
         return sets.select("doc", "n", "features")
 
+    def sketches_of(ids: DataFrame) -> DataFrame:
+        """The sketches of some documents; from their texts in one go where an id is one row."""
+        if repeated:
+            return sets_of(ids).mapInArrow(lambda it: _sketches(it, num, den), SKETCH)
+        return texts_of(ids).mapInArrow(lambda it: _sketches(_store(it, n), num, den), SKETCH)
+
     def ends_of(edges: DataFrame) -> DataFrame:
         return edges.select(F.explode(F.array("a", "b")).alias("doc"))
 
     # Sketches of all candidate documents; sets only of those that sketches leave.
     pairs = shared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sketches = stage(sets_of(ends_of(pairs)).mapInArrow(lambda it: _sketches(it, num, den), "doc long, n long, sketch binary"))
+    sketches = stage(sketches_of(ends_of(pairs)))
 
     def near(candidates: DataFrame) -> DataFrame:
         one = sketches.withColumnRenamed("doc", "a")

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 _SEPARATOR = np.zeros(256, bool)
@@ -18,22 +19,14 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
-# Random odd multipliers and byte values from a fixed seed: the same in every process.
+# Random odd multipliers from a fixed seed: the same in every process.
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _rng.integers(1, 2**64, 256, dtype=U64)
-_BASE = int(_rng.integers(2**62, 2**63)) * 2 + 1
 _MIX1, _MIX2 = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB)  # fixed values: splitmix64 finaliser
 _GRAM = _rng.integers(2**62, 2**63, 64, dtype=U64) * U64(2) + U64(1)
-_BLOCK = 1 << 20
-
-
-def _powers(base: int) -> np.ndarray:
-    out = np.full(_BLOCK + 1, base & (2**64 - 1), U64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-_POW, _INV = _powers(_BASE), _powers(pow(_BASE, -1, 2**64))
+_STEP = U64(int(_rng.integers(2**62, 2**63)) * 2 + 1)
+_KEEP = np.array([0] + [(1 << 8 * k) - 1 for k in range(1, 8)] + [2**64 - 1], U64)  # the first k of 8 bytes
+_LONG = 512          # bytes from which a word is hashed by itself
+_AT_ONCE = 1 << 17   # words hashed at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -75,31 +68,30 @@ def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of each word's bytes, in blocks of about a megabyte."""
+    """64-bit hash of each word's bytes: eight bytes at a time, mixed after each, for all words at once.
+
+    The mixing is not linear, so no two words collide because of how they are built; words
+    of many bytes are hashed by xxhash.
+    """
+    if lower:
+        data = _LOWER[data]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
     out = np.empty(len(starts), U64)
-    i = 0
-    while i < len(starts):
-        lo = starts[i]
-        j = max(int(np.searchsorted(ends, lo + _BLOCK, "right")), i + 1)
-        hi = ends[j - 1]
-        if hi - lo > _BLOCK:  # one word longer than a block
-            out[i] = _long_word(data[lo:hi], lower)
-        else:
-            piece = data[lo:hi]
-            sums = np.zeros(hi - lo + 1, U64)
-            np.cumsum(_BYTE[_LOWER[piece] if lower else piece] * _POW[:hi - lo], out=sums[1:])
-            out[i:j] = (sums[ends[i:j] - lo] - sums[starts[i:j] - lo]) * _INV[starts[i:j] - lo]
-        i = j
-    return mix(out)
-
-
-def _long_word(piece: np.ndarray, lower: bool) -> np.uint64:
-    total, scale = 0, 1
-    for k in range(0, len(piece), _BLOCK):
-        part = piece[k:k + _BLOCK]
-        total += scale * int((_BYTE[_LOWER[part] if lower else part] * _POW[:len(part)]).sum(dtype=U64))
-        scale = scale * int(_POW[_BLOCK]) % 2**64
-    return U64(total % 2**64)
+    for i in range(0, len(starts), _AT_ONCE):
+        at, left = starts[i:i + _AT_ONCE].copy(), ends[i:i + _AT_ONCE] - starts[i:i + _AT_ONCE]
+        state = mix(left.astype(U64) * _STEP)
+        long = np.flatnonzero(left >= _LONG)
+        live = np.flatnonzero(left < _LONG)
+        while len(live):
+            state[live] = mix(state[live] * _STEP ^ (eight[at[live]] & _KEEP[np.minimum(left[live], 8)]))
+            at[live] += 8
+            left[live] -= 8
+            live = live[left[live] > 0]
+        for k in long.tolist():
+            state[k] ^= U64(xxhash.xxh3_64_intdigest(data[starts[i + k]:ends[i + k]].tobytes()))
+        out[i:i + _AT_ONCE] = mix(state)
+    return out
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

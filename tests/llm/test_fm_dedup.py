@@ -109,3 +109,14 @@ def test_earliest_of_one_shard():
     words = [np.array(w, np.uint64) for w in ([1, 2, 3, 4], [9, 1, 2, 3], [2, 3, 4], [7, 7, 7, 7])]
     got = [list(x) for x in earliest(words, np.array([5, 3, 8, 1]), 3)]
     assert got == [[3, 5], [3, 3], [5], [1, 1]]
+
+
+def test_words_built_alike_are_not_repeats(spark):
+    from tests.llm.test_partenum import thue_morse
+
+    one, two = thue_morse(10)
+    tail = " ".join("w%d" % i for i in range(12))
+    rows = [(1, f"{one} {tail}"), (2, f"{two} {tail}"), (3, f"{one} {tail}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in repeat_digests(docs).collect()), key=str) == brute(rows, 13)
+    assert {r.doc_id: r.n_removed for r in repeat_digests(docs).collect()} == {1: 0, 2: 0, 3: 13}

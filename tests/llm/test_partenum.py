@@ -119,3 +119,21 @@ def test_word_hashes_do_not_depend_on_place():
     a, bb, ccc, a2, c3, b3, long, a3, long2 = words
     assert a == a2 == a3 and bb == b3 and ccc == c3 and long == long2 and len(set(words)) == 4
     assert len(gram_hashes(words, 4)) == 6
+
+
+def thue_morse(levels):
+    """Two texts of 2**levels letters that every polynomial hash modulo a power of two confuses."""
+    one, two = "a", "b"
+    for _ in range(levels):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_words_built_alike_do_not_collide(spark):
+    for levels in (6, 9, 10, 11, 13):
+        one, two = (np.frombuffer(w.encode(), np.uint8) for w in thue_morse(levels))
+        ends = np.array([len(one)])
+        assert word_hashes(one, ends * 0, ends) != word_hashes(two, ends * 0, ends)
+    one, two = thue_morse(10)
+    docs = spark.createDataFrame([(1, one), (2, two), (3, " ".join([one] * 9)), (4, " ".join([two] * 9))], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_components(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
