@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oddsflow.llm import caches
 from oddsflow.llm.chunks import ChunkCache, WordCache, gather, symbols
 from oddsflow.llm.words import slices
 
@@ -181,7 +182,7 @@ class Codec:
 
 
 def codec(path: str) -> Codec:
-    if path not in _codecs:
+    if path not in caches.only("bpe_codec", _codecs):
         _codecs[path] = Codec(path)
     return _codecs[path]
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oddsflow.llm import caches
 from oddsflow.llm.staging import Stage
 from oddsflow.llm.words import slices, utf8
 
@@ -48,7 +49,7 @@ _tables: dict = {}
 
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each code point: its lower case, whether it is a letter, whether it is a letter or mark."""
-    if "fold" not in _tables:
+    if "fold" not in caches.only("langid", _tables):
         size = sys.maxunicode + 1
         kinds = np.array([unicodedata.category(chr(i))[0] for i in range(size)])
         fold = np.arange(size, dtype=np.uint32)

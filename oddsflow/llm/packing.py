@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oddsflow.llm import caches
 from oddsflow.llm.chunks import ChunkCache, WordCache
 from oddsflow.llm.staging import Stage
 from oddsflow.llm.words import slices
@@ -67,7 +68,7 @@ class CachedTokenizer:
 
 
 def _tokenizer(path: str, control: bool) -> CachedTokenizer:
-    if (path, control) not in _tokenizers:
+    if (path, control) not in caches.only("packing", _tokenizers):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

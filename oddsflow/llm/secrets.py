@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oddsflow.llm import caches
+
 KINDS = ("assign", "access", "hex", "random")
 CHARS_PER_TOKEN = 2.3   # below: random
 WORD_CHARS_PER_TOKEN = 2.1   # letters with as many are a word, if of an invented language
@@ -50,7 +52,7 @@ _encodings: dict = {}
 
 def encoding(path: str, pattern: str):
     """The byte-pair vocabulary of a rank file."""
-    if (path, pattern) not in _encodings:
+    if (path, pattern) not in caches.only("secrets", _encodings):
         import tiktoken
 
         with open(path, "rb") as f:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oddsflow.llm import caches
 from oddsflow.llm.words import slices
 
 MARK = "▁"
@@ -232,7 +233,7 @@ _codecs: dict[str, Codec] = {}
 
 
 def codec(path: str) -> Codec:
-    if path not in _codecs:
+    if path not in caches.only("sp_codec", _codecs):
         _codecs[path] = Codec(path)
     return _codecs[path]
 
