@@ -66,3 +66,13 @@ def test_run_and_empty_documents(spark, tmp_path):
     assert out.count() > 100 and "sequence_id" in out.columns
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_are_compared_not_ids(spark):
+    prose = [" ".join(f"{w}{k}" for k in range(60)) for w in "abc"]
+    rows = [(7, prose[0]), (7, prose[1]), (None, prose[2]), (None, prose[2]), (9, prose[0] + " end"), (3, prose[2] + " end"), (8, None), (8, ""), (None, None), (7, prose[0])]
+    docs = spark.createDataFrame([(i, t, "en", "x", 0) for i, t in rows], "doc_id long, text string, lang string, node0 string, n_chars long").repartition(3)
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(7, prose[0]), (7, prose[1]), (3, prose[2] + " end"), (8, None), (8, ""), (None, None)]
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, want))
