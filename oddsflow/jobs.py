@@ -6,8 +6,10 @@
                         (+ views market_v1, runner_v1 in the older column shapes)
     build_presentation  clean tables -> dim_date, dim_time, dim_first_goal, dim_runner,
                         fact_runner_odds, fact_first_goal_match_odds, fact_first_goal_over_under
+    update_clean        <ns>.raw, the batches not merged yet -> <ns>.<table>_states and <ns>.<table>_batches
+                        (clean_rows reads a table from them, clean_changes the net changes between batches)
     rewrite_sorted_table  sorted layout of a table (raw by pt, runner_change by
-                        market/runner/epoch, ...), written beside it and swapped in
+                        market/runner/epoch, ...), written beside it and switched to
 
 Clean and presentation tables are replaced on every run: they are functions of
 the whole raw table, so a re-run never appends duplicates.
@@ -21,14 +23,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.time import calendar_for, clock_dim
-from .plans import clean, present
+from .operators.diff import CHANGE_TYPE, INSERT, read_increment
+from .plans import clean, incremental, present
 from .plans.legacy import create_legacy_views
-from .sinks.tables import STAGED, WriteMode, ensure_namespace, recover_table, save_table, sorted_layout, stored, swap_in
+from .sinks.tables import WriteMode, ensure_namespace, partition_columns, recover_table, replace_partitions, save_table, sorted_layout, stored, switch_in, write_beside
 from .sources.feed import read_feed, seen_changes, split_lineage
 
 # Layout sort keys of the tables that get a sorted rewrite.
 SORT_KEYS = {
-    "raw": [("pt", False)],
+    "raw": [("batch_id", False), ("pt", False)],
     "runner_change": [("market_id", False), ("runner_id", False), ("epoch", False)],
     "dim_runner": [("id", False), ("market_id", False)],
     "fact_runner_odds": [("market_id", True), ("runner_id", True), ("epoch", True)],
@@ -81,10 +84,57 @@ def load_raw(spark: SparkSession, path: str, namespace: str) -> DataFrame:
     if spark.catalog.tableExists(lineage_name):
         lineage = lineage.join(spark.read.table(lineage_name).select("change_key", "file"), ["change_key", "file"], "left_anti")
     save_table(spark, lineage, lineage_name, WriteMode.APPEND)
-    save_table(spark, new_changes(spark, fresh, name), name, WriteMode.APPEND)
+    loads = _t(namespace, "raw_loads")
+    batch = 1 + (spark.table(loads).agg(F.max("batch_id")).first()[0] or 0 if spark.catalog.tableExists(loads) else 0)
+    new, seen = clean.observed_count(new_changes(spark, fresh, name), "raw")
+    save_table(spark, new.withColumn("batch_id", F.lit(batch).cast("long")), name, WriteMode.APPEND, partition_by=("batch_id",))
+    save_table(spark, spark.range(1).select(F.lit(batch).cast("long").alias("batch_id"), F.current_timestamp().alias("committed_at"), F.lit(seen.get["rows"]).cast("long").alias("changes")), loads)
     return spark.read.table(name)
 
 
+# Clean tables that only grow: their rows of a batch, kept by batch.
+APPENDED = {"market_change": clean.market_changes, "runner_change": clean.runner_changes, "price": clean.prices}
+
+
+def update_clean(spark: SparkSession, namespace: str, buckets: int = incremental.BUCKETS) -> list[int]:
+    """Merge the batches of <ns>.raw that the clean layer has not seen, each read by itself;
+    returns their ids.  A batch cut off by a failure is merged again from its start, which
+    changes nothing that was merged before."""
+    raw, done = spark.table(_t(namespace, "raw")), _t(namespace, "clean_loads")
+    loads = spark.table(_t(namespace, "raw_loads")).select("batch_id").distinct()
+    if spark.catalog.tableExists(done):
+        loads = loads.join(spark.table(done), "batch_id", "left_anti")
+    batches = [r[0] for r in loads.orderBy("batch_id").collect()]
+    for batch in batches:
+        changes = raw.where(F.col("batch_id") == F.lit(batch))
+        for spec in incremental.specs(raw.columns):
+            incremental.apply_batch(spark, spec, changes, _t(namespace, f"{spec.name}_states"), batch, buckets)
+        for name, rows in APPENDED.items():
+            replace_partitions(spark, rows(changes).withColumn("batch_id", F.lit(batch).cast("long")), _t(namespace, f"{name}_batches"), ("batch_id",))
+        save_table(spark, spark.range(1).select(F.lit(batch).cast("long").alias("batch_id")), done)
+    return batches
+
+
+def _spec(spark: SparkSession, namespace: str, name: str) -> incremental.StateSpec:
+    return next(s for s in incremental.specs(spark.table(_t(namespace, "raw")).columns) if s.name == name)
+
+
+def clean_rows(spark: SparkSession, namespace: str, name: str, upto: int | None = None) -> DataFrame:
+    """A clean table as update_clean keeps it, now or after a batch."""
+    if name in APPENDED:
+        rows = spark.table(_t(namespace, f"{name}_batches"))
+        return (rows if upto is None else rows.where(F.col("batch_id") <= upto)).drop("batch_id")
+    return incremental.live_rows(spark, _spec(spark, namespace, name), _t(namespace, f"{name}_states"), upto)
+
+
+def clean_changes(spark: SparkSession, namespace: str, name: str, lo: int, hi: int) -> DataFrame:
+    """Net changes of a clean table between two batches, read from what the batches wrote."""
+    if name in APPENDED:
+        rows = read_increment(spark.table(_t(namespace, f"{name}_batches")), lo, hi).drop("batch_id")
+        return rows.withColumn(CHANGE_TYPE, F.lit(INSERT))
+    return incremental.change_log(spark, _spec(spark, namespace, name), _t(namespace, f"{name}_states"), lo, hi)
+
+
 def build_clean(spark: SparkSession, namespace: str, price_since: str | None = None, buckets: int = RUNNER_BUCKETS,
                 mode: WriteMode | str = WriteMode.REPLACE) -> dict[str, int]:
     """P-2 … P-11 from <ns>.raw; returns the rows written per table, counted while writing.
@@ -149,12 +199,15 @@ def rewrite_sorted_table(spark: SparkSession, table: str, keys: Sequence[tuple[s
     their bucket keys inside each bucket; rewriting them here would drop the
     bucketing, so this is for the others (raw, fact_runner_odds).
 
-    The sorted copy is written as a new table first and swapped in; a call after
-    a failure at any step first recovers the table (see recover_table).
+    The sorted copy is written beside the table, which is then pointed at it; a call
+    after a failure at any step first recovers the table (see recover_table).
     """
     short = table.split(".")[-1]
     keys = list(keys or SORT_KEYS[short])
     cols: list[Column] = [F.col(k).desc_nulls_last() if desc else F.col(k).asc_nulls_last() for k, desc in keys]
     recover_table(spark, table)
-    sorted_layout(spark.read.table(table), cols, partitions).write.format("parquet").saveAsTable(table + STAGED)
-    swap_in(spark, table)
+    writer = sorted_layout(spark.read.table(table), cols, partitions).write.format("parquet")
+    if by := partition_columns(spark, table):
+        writer = writer.partitionBy(*by)
+    write_beside(spark, writer, table)
+    switch_in(spark, table)

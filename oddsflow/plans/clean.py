@@ -8,6 +8,8 @@ the result does not depend on partitioning.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,12 @@ def event_dim(raw: DataFrame) -> DataFrame:
     # several markets of one event can change at the same pt: market id breaks the tie
     latest = latest_state(d, ["eventId"], "pt", ["eventName", "countryCode", "regulators"],
                           tiebreak=["version", "id"])
-    return latest.select(
+    return event_columns(latest)
+
+
+def event_columns(states: DataFrame) -> DataFrame:
+    """The event table's columns from the latest values of each event."""
+    return states.select(
         F.col("eventId").try_cast("int").alias("id"),
         F.col("eventName").alias("name"),
         F.col("countryCode").alias("country_code"),
@@ -70,9 +77,7 @@ def event_history(raw: DataFrame) -> DataFrame:
 def market_state(raw: DataFrame) -> DataFrame:
     """P-4: one row per market: latest definition values, latest of the ISO
     times, first in-play time as kick-off, lineage of the latest change."""
-    # lineage of the latest definition: the file list, or with a long lineage
-    # table (ingest_counted) the change key that links into it
-    lineage = "source_file_names" if "source_file_names" in raw.columns else "change_key"
+    lineage = lineage_column(raw.columns)
     d = definitions(raw, extra=[lineage])
     latest = ["name", "marketType", "eventId", "eventName", "countryCode", "numberOfWinners", lineage]
     agg = latest_state(
@@ -84,7 +89,18 @@ def market_state(raw: DataFrame) -> DataFrame:
             first_when(F.col("inPlay") == F.lit(True), "pt").alias("_first_inplay"),
         ],
     )
-    return agg.select(
+    return market_columns(agg, lineage)
+
+
+def lineage_column(columns: Sequence[str]) -> str:
+    """Lineage of the latest definition: the file list, or with a long lineage table
+    (ingest_counted) the change key that links into it."""
+    return "source_file_names" if "source_file_names" in columns else "change_key"
+
+
+def market_columns(states: DataFrame, lineage: str) -> DataFrame:
+    """The market table's columns from the latest values and the extremes of each market."""
+    return states.select(
         F.col("id").alias("market_id"),
         F.col("name").alias("market_name"),
         F.col("marketType").alias("market_type"),
@@ -119,7 +135,7 @@ def market_changes(raw: DataFrame) -> DataFrame:
     )
 
 
-def _runner_rows(raw: DataFrame) -> DataFrame:
+def runner_rows(raw: DataFrame) -> DataFrame:
     d = definitions(raw).select(F.col("id").alias("market_id"), F.col("name").alias("market_name"), "pt",
                                 "version", F.col("runners").alias("_runners"))
     return d.select("market_id", "market_name", "pt", "version", F.inline("_runners"))
@@ -128,7 +144,7 @@ def _runner_rows(raw: DataFrame) -> DataFrame:
 def market_runners(raw: DataFrame, with_epoch: bool = False) -> DataFrame:
     """P-6: (market, runner, sort priority) with winner = the runner ever won (false if no
     status is known).  ``with_epoch`` adds last_epoch, the latest change that says so."""
-    r = _runner_rows(raw).select("market_id", F.col("id").alias("runner_id"),
+    r = runner_rows(raw).select("market_id", F.col("id").alias("runner_id"),
                                  F.col("sortPriority").alias("sort_priority"), "status", "pt")
     won = F.coalesce(F.col("status") == F.lit(WINNER), F.lit(False))
     out = any_true_by(r, ["market_id", "runner_id"], ["sort_priority"], won, "winner",
@@ -148,10 +164,15 @@ def market_types(raw: DataFrame, key: str = "hash") -> DataFrame:
 def runners(raw: DataFrame, with_epoch: bool = False) -> DataFrame:
     """P-8: one row per (market, market name, runner, runner name) with the latest status and
     sort priority.  ``with_epoch`` adds last_epoch, the latest change under these names."""
-    r = _runner_rows(raw)
+    r = runner_rows(raw)
     latest = latest_state(r, ["market_id", "market_name", "id", "name"], "pt", ["status", "sortPriority"],
                           tiebreak=["version"], extra_aggs=[F.max("pt").alias("last_epoch")])
-    return latest.select(
+    return runner_columns(latest, with_epoch)
+
+
+def runner_columns(states: DataFrame, with_epoch: bool = True) -> DataFrame:
+    """The runner table's columns from the latest values under each name."""
+    return states.select(
         "market_id", "market_name", F.col("id").alias("runner_id"), F.col("name").alias("runner_name"),
         "status", F.col("sortPriority").alias("sort_priority"), *(["last_epoch"] if with_epoch else []),
     )

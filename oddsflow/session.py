@@ -13,7 +13,10 @@ from pyspark.sql import SparkSession
 # join partition (say one market holding a third of all changes) even when the
 # split needs an extra shuffle before the aggregation that follows; the partial
 # aggregate then runs in the split tasks, before that shuffle.
+# Partitions of tables are found from their folders, so that a table's location says all
+# there is to say of its content, and replacing a table is one change of that location.
 REQUIRED_CONF = {
+    "spark.sql.hive.manageFilesourcePartitions": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

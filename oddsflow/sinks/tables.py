@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -31,8 +31,9 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode |
     """Create the table on first use; afterwards append (columns matched by name) or replace.
 
     Appending a column that the table lacks is an error, never dropped silently.
-    Replacing writes a new table beside the old one and swaps it in, so a failed
-    write leaves the old table as it was, and ``df`` may read the table itself.
+    Replacing writes new files beside the old ones and then points the table at
+    them (see switch_in), so a failed write leaves the old table as it was, and
+    ``df`` may read the table itself.
     ``bucket_by=(n, cols)`` writes ``n`` hash buckets on ``cols``, sorted by
     them: two tables bucketed alike are later joined on ``cols`` without a
     shuffle of either side.
@@ -57,33 +58,103 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode |
             raise ValueError(f"{name} has no column {', '.join(unknown)}; replace the table or drop the column first")
         writer_for(df.select(*existing)).mode("append").saveAsTable(name)
     else:
-        writer_for(df).mode("errorifexists").saveAsTable(name + STAGED)
-        swap_in(spark, name)
+        write_beside(spark, writer_for(df), name)
+        switch_in(spark, name)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The columns a table is partitioned by."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def replace_partitions(spark: SparkSession, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+    """Write ``df`` over the partitions it has rows in, and over no others; a job that is run
+    again replaces what it wrote.  Creates the table on first use."""
+    if not spark.catalog.tableExists(name):
+        save_table(spark, df, name, partition_by=partition_by)
+        return
+    columns = spark.table(name).columns
+    df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
 
 
 STAGED, REPLACED = "__staged", "__replaced"
+PREVIOUS = "previous_location"  # table property: the files that running readers may still be in
+
+
+def table_details(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog says of a table: Location, Num Buckets, Bucket Columns ..., and its columns under ``columns``."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()]
+    at = next(i for i, (k, _) in enumerate(rows) if k == "# Detailed Table Information")
+    return {"columns": str([r for r in rows[:at] if r[0]]), **dict(rows[at + 1:])}
+
 
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get(key)
 
-def swap_in(spark: SparkSession, name: str) -> None:
-    """Put the complete table ``name__staged`` in the place of ``name``."""
-    spark.sql(f"ALTER TABLE {name} RENAME TO {name}{REPLACED}")
-    spark.sql(f"ALTER TABLE {name}{STAGED} RENAME TO {name}")
-    spark.sql(f"DROP TABLE {name}{REPLACED}")
+
+def remove_files(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_beside(spark: SparkSession, writer: DataFrameWriter, name: str) -> None:
+    """Write the next version of table ``name``, as table ``name__staged``, in a folder of its own beside it."""
+    parent = table_details(spark, name)["Location"].rstrip("/").rsplit("/", 1)[0]
+    path = f"{parent}/{name.split('.')[-1]}-{uuid.uuid4().hex}"
+    writer.option("path", path).mode("errorifexists").saveAsTable(name + STAGED)
+
+
+def switch_in(spark: SparkSession, name: str) -> None:
+    """Make the complete table ``name__staged`` the content of ``name``.
+
+    The table's location is set to the new files, one change of one catalog entry: a reader
+    that starts before it gets all of the old version, one that starts after it all of the new
+    one, and no file is written twice.  Old files stay until the next replacement, for readers
+    that are in them.  Where columns, partitioning or buckets change, which a location cannot
+    say, the two tables change names instead.
+    """
+    old, new = table_details(spark, name), table_details(spark, name + STAGED)
+    same = all(old.get(k) == new.get(k) for k in ("columns", "Provider", "Num Buckets", "Bucket Columns", "Sort Columns"))
+    if not same:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}{REPLACED}")
+        spark.sql(f"ALTER TABLE {name}{STAGED} RENAME TO {name}")
+        drop_table(spark, name + REPLACED)
+        return
+    before = table_property(spark, name, PREVIOUS)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new['Location']}'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PREVIOUS}' = '{old['Location']}')")
+    spark.sql(f"DROP TABLE {name}{STAGED}")  # the entry only: its files have a location of their own
+    if before:
+        remove_files(spark, before)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table with its files, those of its last replaced version too."""
+    if not spark.catalog.tableExists(name):
+        return
+    places = [table_details(spark, name)["Location"], table_property(spark, name, PREVIOUS)]
+    spark.sql(f"DROP TABLE {name}")
+    for place in filter(None, places):
+        remove_files(spark, place)
 
 
 def recover_table(spark: SparkSession, name: str) -> None:
-    """Undo or finish a swap that was cut off between any two steps.
+    """Undo or finish a replacement that was cut off between any two steps.
 
-    The only complete copy is never dropped: while ``name`` exists the staged
-    copy may be half written and goes; if ``name`` is missing the replaced table
-    takes its name back.
+    The only complete copy is never dropped: while ``name`` exists the staged copy may be half
+    written and goes, unless the switch to its files was made; if ``name`` is missing the
+    replaced table takes its name back.
     """
     there = spark.catalog.tableExists
     if not there(name) and there(name + REPLACED):
         spark.sql(f"ALTER TABLE {name}{REPLACED} RENAME TO {name}")
     if there(name):
-        spark.sql(f"DROP TABLE IF EXISTS {name}{STAGED}")
-        spark.sql(f"DROP TABLE IF EXISTS {name}{REPLACED}")
+        if there(name + STAGED):
+            place = table_details(spark, name + STAGED)["Location"]
+            spark.sql(f"DROP TABLE {name}{STAGED}")
+            if place != table_details(spark, name)["Location"]:
+                remove_files(spark, place)
+        drop_table(spark, name + REPLACED)
 
 
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:

@@ -1,0 +1,106 @@
+"""States kept batch by batch against the clean tables of the whole raw table."""
+
+import os
+import re
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from oddsflow import jobs
+from oddsflow.operators.diff import snapshot_diff
+from oddsflow.plans import clean, incremental
+from oddsflow.sinks.tables import drop_table
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def whole(raw, name):
+    return {"market": lambda: clean.market_state(raw), "event": lambda: clean.event_dim(raw), "market_runner": lambda: clean.market_runners(raw, with_epoch=True),
+            "market_type": lambda: clean.market_types(raw), "runner": lambda: clean.runners(raw, with_epoch=True)}[name]()
+
+
+def drop(spark, log):
+    drop_table(spark, log)
+
+
+@pytest.mark.parametrize("order", [(1, 2, 3), (3, 2, 2, 1)])
+def test_batches_in_any_order_equal_the_whole(spark, raw, order):
+    batched = raw.withColumn("batch_id", F.pmod(F.xxhash64("pt"), F.lit(3)) + 1)
+    for spec in incremental.specs(raw.columns):
+        log = f"inc_{spec.name}"
+        drop(spark, log)
+        for batch in order:
+            incremental.apply_batch(spark, spec, batched.where(f"batch_id = {batch}"), log, batch, buckets=4)
+        live = incremental.live_rows(spark, spec, log)
+        assert rows(live) == rows(whole(raw, spec.name).select(*live.columns)), spec.name
+        for lo, hi in ((0, 3), (1, 2)):
+            two = [whole(batched.where(f"batch_id <= {b}"), spec.name).select(*live.columns) for b in (lo, hi)]
+            log_rows = incremental.change_log(spark, spec, log, lo, hi)
+            assert rows(log_rows) == rows(snapshot_diff(*two).select(*log_rows.columns)), (spec.name, lo, hi)
+            assert rows(incremental.live_rows(spark, spec, log, upto=hi)) == rows(two[1])
+        incremental.compact(spark, spec, log, keep_from=2, buckets=4)
+        assert spark.table(log).select("batch_id").distinct().count() <= 2
+        assert rows(incremental.live_rows(spark, spec, log)) == rows(live.select("*")) == rows(whole(raw, spec.name).select(*live.columns))
+        drop(spark, log)
+
+
+def test_a_batch_reads_its_changes_and_its_keys_only(spark, tmp_path):
+    """The scan of raw is cut to the batch, the scan of states to the buckets of its keys, by partition filters."""
+    spec = incremental.StateSpec("kv", lambda r: r, ("k",), ("t",), lambda s: s.select("k", "v"), latest=("v",))
+    path = str(tmp_path / "raw")
+    spark.range(4000).selectExpr("id % 1000 as k", "id as t", "id as v", "case when id < 3990 then 1 else 2 end as batch_id").write.partitionBy("batch_id").parquet(path)
+    table = spark.read.parquet(path)
+    drop(spark, "inc_kv")
+    incremental.apply_batch(spark, spec, table.where("batch_id = 1"), "inc_kv", 1, buckets=64)
+    second = table.where("batch_id = 2")
+    read = lambda df: {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+    assert {f.rsplit("/", 2)[1] for f in read(second)} == {"batch_id=2"}
+    fresh = incremental.partial_states(second, spec).withColumn("bucket", incremental.bucket_of(spec, 64))
+    old = incremental.states_of(spark.table("inc_kv"), fresh, spec, 2)
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    buckets = {r[0] for r in fresh.select("bucket").distinct().collect()}
+    assert len(buckets) <= 10 and re.search(r"PartitionFilters: \[[^\]]*bucket", plan), plan
+    assert old.count() == 10
+    incremental.apply_batch(spark, spec, second, "inc_kv", 2, buckets=64)
+    assert spark.table("inc_kv").where("batch_id = 2").count() == 10
+    got = {r.k: r.v for r in incremental.live_rows(spark, spec, "inc_kv").collect()}
+    assert got == {k: 3000 + k for k in range(1000)}
+    drop(spark, "inc_kv")
+
+
+def test_null_keys_and_empty_batches(spark):
+    spec = incremental.StateSpec("nk", lambda r: r, ("k",), ("t",), lambda s: s.select("k", "v", "top"), latest=("v",), extremes={"top": ("max", lambda: F.col("v"))})
+    drop(spark, "inc_nk")
+    make = lambda *r: spark.createDataFrame(list(r), "k string, t long, v int")
+    incremental.apply_batch(spark, spec, make((None, 1, 5), ("a", 1, 1)), "inc_nk", 1, 4)
+    incremental.apply_batch(spark, spec, make(), "inc_nk", 2, 4)
+    incremental.apply_batch(spark, spec, make((None, 2, 3)), "inc_nk", 3, 4)
+    assert rows(incremental.live_rows(spark, spec, "inc_nk").selectExpr("k", "v", "top")) == sorted(["Row(k=None, v=3, top=5)", "Row(k='a', v=1, top=1)"])
+    log = incremental.change_log(spark, spec, "inc_nk", 1, 3)
+    assert rows(log.select("v", "_change_type")) == sorted(["Row(v=5, _change_type='DELETE')", "Row(v=3, _change_type='INSERT')"])
+    drop(spark, "inc_nk")
+
+
+def test_jobs_merge_each_load(spark, feed_dir, tmp_path):
+    ns = "oddsflow_jobs_inc"
+    spark.sql(f"DROP DATABASE IF EXISTS {ns} CASCADE")
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(feed_dir) for f in names)
+    files = files[:2]
+    for k, f in enumerate(files):  # one landing folder after another
+        os.makedirs(tmp_path / str(k))
+        shutil.copy(f, tmp_path / str(k) / os.path.basename(f))
+        jobs.load_raw(spark, str(tmp_path / str(k)), ns)
+        assert jobs.update_clean(spark, ns, buckets=4) == [k + 1]
+    assert jobs.update_clean(spark, ns) == []
+    jobs.build_clean(spark, ns, buckets=0)
+    for name in ("market", "event", "market_runner", "market_type", "runner", "market_change", "runner_change", "price"):
+        kept, built = jobs.clean_rows(spark, ns, name), spark.table(f"{ns}.{name}")
+        assert rows(kept.select(*built.columns)) == rows(built), name
+        log = jobs.clean_changes(spark, ns, name, 0, len(files))
+        assert rows(log.drop("_change_type").select(*built.columns)) == rows(built) and log.where("_change_type <> 'INSERT'").count() == 0
+    jobs.rewrite_sorted_table(spark, f"{ns}.raw")
+    assert spark.table(f"{ns}.raw").where("batch_id = 1").inputFiles() and jobs.update_clean(spark, ns) == []
+    spark.catalog.setCurrentDatabase("default")
