@@ -34,7 +34,7 @@ SORT_KEYS = {
     "raw": [("batch_id", False), ("pt", False)],
     "runner_change": [("market_id", False), ("runner_id", False), ("epoch", False)],
     "dim_runner": [("id", False), ("market_id", False)],
-    "fact_runner_odds": [("market_id", True), ("runner_id", True), ("epoch", True)],
+    "fact_runner_odds": [("market_type_id", True), ("market_id", True), ("runner_id", True), ("epoch", True)],
 }
 
 
@@ -161,22 +161,22 @@ def build_clean(spark: SparkSession, namespace: str, price_since: str | None = N
     return written
 
 
-def _save_counted(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode | str, bucket=None) -> int:
+def _save_counted(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode | str, bucket=None, partition_by: Sequence[str] = ()) -> int:
     observed, seen = clean.observed_count(df, name)
-    save_table(spark, observed, name, mode, bucket_by=bucket)
+    save_table(spark, observed, name, mode, bucket_by=bucket, partition_by=partition_by)
     return seen.get["rows"]
 
 
-def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | None = present.BUCKET_MS,
-                       buckets: int = RUNNER_BUCKETS, mode: WriteMode | str = WriteMode.REPLACE) -> dict[str, int]:
+def build_presentation(spark: SparkSession, namespace: str, buckets: int = RUNNER_BUCKETS, mode: WriteMode | str = WriteMode.REPLACE) -> dict[str, int]:
     """P-12 … P-18 from the clean tables; returns the rows written per table.  The date dimension
     covers the days of the markets; dim_runner is bucketed like runner_change, so the fact's join
-    of the two needs no shuffle.  ``mode`` is how the tables that exist are treated."""
+    of the two needs no shuffle; the fact is partitioned by market type, so the first-goal facts
+    read their types only.  ``mode`` is how the tables that exist are treated."""
     t = lambda n: spark.read.table(_t(namespace, n))
     written: dict[str, int] = {}
 
-    def save(name: str, df: DataFrame, bucket=None) -> None:
-        written[name] = _save_counted(spark, df, _t(namespace, name), mode, bucket)
+    def save(name: str, df: DataFrame, bucket=None, partition_by: Sequence[str] = ()) -> None:
+        written[name] = _save_counted(spark, df, _t(namespace, name), mode, bucket, partition_by)
 
     times = t("market").select(F.explode(F.array("scheduled_time", "kick_off")).alias("day"))
     save("dim_date", calendar_for(times, "day"))
@@ -184,7 +184,7 @@ def build_presentation(spark: SparkSession, namespace: str, bucket_ms: int | Non
     save("dim_first_goal", present.dim_first_goal(t("market"), t("runner")))
     dr = present.dim_runner(t("runner"), t("market_runner"), t("market"), t("market_type"), t("event"), t("runner_change"))
     save("dim_runner", dr, (buckets, RUNNER_KEYS) if buckets else None)
-    save("fact_runner_odds", present.fact_runner_odds(t("runner_change"), t("market"), t("dim_runner"), bucket_ms=bucket_ms, store=stored))
+    save("fact_runner_odds", present.fact_runner_odds(t("runner_change"), t("market"), t("dim_runner"), store=stored), partition_by=present.FACT_PARTITION)
     for name, types, stat in (("fact_first_goal_match_odds", present.MATCH_ODDS_TYPES, "avg"),
                               ("fact_first_goal_over_under", present.OVER_UNDER_TYPES, "median")):
         save(name, present.first_goal_fact(t("dim_runner"), t("fact_runner_odds"), t("dim_first_goal"), types, stat))

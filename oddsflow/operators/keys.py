@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.tables import stored
+from .ranks import dense_rank
+
 
 def hash_key(cols: Sequence[str | Column]) -> Column:
     """64-bit key from the natural key: same value on every run and append.
@@ -20,7 +23,7 @@ def hash_key(cols: Sequence[str | Column]) -> Column:
 
 def surrogate_key(df: DataFrame, natural_key: Sequence[str], name: str = "id", method: str = "hash") -> DataFrame:
     """Distinct rows of ``df`` with a key column: ``hash`` (any size, no shuffle
-    beyond the distinct) or ``rank`` (dense 1..n, bounded catalogues only)."""
+    beyond the distinct) or ``rank`` (dense 1..n in the order of the values)."""
     if method == "rank":
         if len(natural_key) != 1:
             raise ValueError("rank keys take one column")
@@ -34,11 +37,10 @@ def with_hash_key(df: DataFrame, natural_key: Sequence[str], name: str = "id") -
 
 
 def with_rank_key(df: DataFrame, col: str, name: str = "id") -> DataFrame:
-    """Dense 1..n key by sorted value, for catalogues of bounded size only.
+    """Dense 1..n key by sorted value, NULL last, for any number of values.
 
-    The distinct values (a few hundred market types, say) are ranked in one
-    task; never use this on a table that grows with the data - use
-    :func:`with_hash_key` there.
+    The distinct values are numbered over range partitions (see :func:`dense_rank`);
+    a value's number changes when smaller ones come, so tables that are appended
+    to take :func:`with_hash_key`.
     """
-    values = df.select(col).distinct()
-    return values.withColumn(name, F.dense_rank().over(Window.orderBy(F.col(col).asc_nulls_last())).cast("long"))
+    return dense_rank(df, [col], name, stored)

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import date_key, epoch_ms_to_date, minute_offset, time_key
-from ..operators.joins import HOT_KEY_SALT, range_join, salted_join
+from ..operators.joins import HOT_KEY_SALT, interval_join, salted_join
 from ..operators.keys import hash_key
 from ..operators.ladder import carry_forward, pivot_levels
 from ..operators.latest import ordering, top1
+from ..operators.scan import scan_forward
 from .clean import first_goal_minutes
 
 # Market types of the two first-goal facts.
@@ -27,8 +28,6 @@ AFTER_GOAL_FROM, AFTER_GOAL_TO = 2, 5
 # Changes of one runner at the same epoch: the higher traded volume is the later
 # one (volume never decreases).  Rows of one change then go best level first.
 SAME_EPOCH_ORDER = ("tv",)
-# Width of a carry-forward bucket: the changes of one runner and side in this time are one task's.
-BUCKET_MS = 600_000
 
 
 # Columns of the first-goal facts.
@@ -166,62 +165,62 @@ def wide_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, t
     wide form, with the minute from kick-off.  Runners are joined first, so only their
     changes are pivoted, on keys that the join's partitioning already serves."""
     keys = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type"]
-    dr = (dim_runner_df.select(F.col("id").alias("runner_key"), "market_id", "runner_id")
+    dr = (dim_runner_df.select(F.col("id").alias("runner_key"), "market_id", "runner_id", "market_type_id")
           .join(market.select("market_id", "kick_off"), "market_id"))
     salt_by = ["epoch", "type", "hc", "ltp", "tv"]
     j = salted_join(changes, dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
     wide = pivot_levels(j, keys, "position", ["odds", "amount"], tiebreak=list(tiebreak) or ["odds", "amount"],
-                        carry=["runner_key", "kick_off"])
+                        carry=["runner_key", "kick_off", "market_type_id"])
     return wide.withColumn("minute", minute_offset("epoch", "kick_off")).drop("kick_off")
 
 
-def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str] = (),
-                     bucket_ms: int | None = BUCKET_MS, store=None) -> DataFrame:
+# The fact's columns; stored tables are partitioned by the last one.
+FACT_COLUMNS = (
+    "market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type", "first_odds", "second_odds", "third_odds",
+    "first_amount", "second_amount", "third_amount", "minute", "runner_key", "market_type_id")
+FACT_PARTITION = ("market_type_id",)
+
+
+def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str] = (), store=None) -> DataFrame:
     """P-16: top-3 ladder per change in wide form, minute from kick-off,
     levels carried forward per (market, runner, side).
 
-    ``bucket_ms`` splits each series into time buckets for the carry-forward
-    (see :func:`carry_forward`), so no task holds a whole long series.  ``store``
-    writes the wide frame and reads it back, as the carry-forward reads it twice.
+    With ``store``, which writes a frame and reads it back, the carry-forward is a prefix scan
+    over range partitions (see :func:`scan_forward`): no task holds a whole long series,
+    however many of its changes fall in one minute.  Without it, it is one window.  The rows
+    come by market type, so that a table partitioned by it gets few files a type.
     """
     wide = wide_odds(changes, market, dim_runner_df, tiebreak)
-    j = store(wide) if store else wide
     levels = [f"{lvl}_{v}" for lvl in ("first", "second", "third") for v in ("odds", "amount")]
-    bucket = F.floor(F.col("epoch") / F.lit(bucket_ms)) if bucket_ms else None
-    filled = carry_forward(j, ["market_id", "runner_id", "type"], "epoch", levels,
-                           tiebreak=["hc", "ltp", "tv"], bucket=bucket)
-    return filled.select("market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type",
-                         "first_odds", "second_odds", "third_odds", "first_amount", "second_amount", "third_amount",
-                         "minute", "runner_key")
+    series, order = ["market_id", "runner_id", "type"], ["epoch", "hc", "ltp", "tv"]
+    if store:
+        filled = scan_forward(wide, ["market_type_id", *series], order, levels, store)  # a market has one type
+    else:
+        filled = carry_forward(wide, series, order[0], levels, tiebreak=order[1:])
+    return filled.select(*FACT_COLUMNS)
 
 
 def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataFrame,
                     market_types: Sequence[str], stat: str = "avg") -> DataFrame:
     """P-17 / P-18: odds 2-5 minutes after the first goal per runner.
 
-    ``stat`` is ``avg`` (match odds) or ``median`` (over/under, approximate).
-    The minute window is a range condition on the event equi-join.
+    ``stat`` is ``avg`` (match odds) or ``median`` (over/under, approximate).  A fact table
+    partitioned by market type is read for the wanted types only (dynamic partition pruning);
+    the minutes after a goal are joined as (runner, minute) pairs; the odds are aggregated by
+    runner, and the runner's attributes joined to that small result.
     """
-    dr = dim_runner_df.where(F.col("market_name").isin(*market_types))
-    # the natural key joins along with the hash, so no collision can mix two runners
-    f = fact.select(F.col("runner_key").alias("id"), "market_id", "runner_id", "minute", "epoch", "first_odds", "second_odds",
-                    "third_odds")
-    # fact rows are the big side: a hot runner is salted over several tasks
-    j = salted_join(f, dr, ["id", "market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=["epoch", "minute"])
-    fg = first_goal.select(F.col("event_id").alias("_fg_event"), "first_goal_minute")
-    j = range_join(j.withColumnRenamed("event_id", "_fg_event"), fg, ["_fg_event"], F.col("minute"),
-                   F.col("first_goal_minute") + AFTER_GOAL_FROM, F.col("first_goal_minute") + AFTER_GOAL_TO,
-                   salt=HOT_KEY_SALT, salt_cols=["id", "epoch"])
-    j = j.withColumnRenamed("_fg_event", "event_id")
-    if stat == "avg":
-        agg = [F.avg(c).alias(c) for c in ("first_odds", "second_odds", "third_odds")]
-    else:
-        agg = [F.percentile_approx(c, 0.5).alias(c) for c in ("first_odds", "second_odds", "third_odds")]
-    group = ["event_id", "event_name", "market_id", "market_name", F.col("id").alias("runner_key"), "runner_id",
-             "name", "pre_ko_traded_volume", "ko_odds", "favourite", "sort_priority", "winner", "country_code",
-             "first_goal_minute"]
-    out = j.groupBy(*group).agg(epoch_ms_to_date(F.min("epoch")).alias("timestamp"), *agg)
-    return out.select(*FIRST_GOAL_COLUMNS)
+    wanted = dim_runner_df.where(F.col("market_name").isin(*market_types))
+    key = ["runner_key", "market_id", "runner_id"]  # the natural key goes with the hash, so no collision can mix two runners
+    dr = wanted.withColumnRenamed("id", "runner_key")
+    goals = dr.select(*key, "event_id").join(first_goal, "event_id").select(*key, "first_goal_minute")
+    types = dr.select("market_type_id").distinct()  # no more than the names asked for
+    f = fact.join(F.broadcast(types), "market_type_id", "left_semi").select(*key, "minute", "epoch", "first_odds", "second_odds", "third_odds")
+    minutes = [(F.col("first_goal_minute") + d).cast(f.schema["minute"].dataType) for d in (AFTER_GOAL_FROM, AFTER_GOAL_TO)]
+    j = interval_join(f, goals, key, "minute", *minutes)
+    levels = ("first_odds", "second_odds", "third_odds")
+    agg = [F.avg(c).alias(c) if stat == "avg" else F.percentile_approx(c, 0.5).alias(c) for c in levels]
+    figures = j.groupBy(*key, "first_goal_minute").agg(epoch_ms_to_date(F.min("epoch")).alias("timestamp"), *agg)
+    return figures.join(dr, key).select(*FIRST_GOAL_COLUMNS)
 
 
 __all__ = [
@@ -248,9 +247,10 @@ def first_goal_fact_sql(spark, dim_runner_table: str, fact_table: str, first_goa
         goals AS (
             SELECT runner_key, market_id, runner_id, first_goal_minute
             FROM wanted JOIN {first_goal_table} USING (event_id)),
+        types AS (SELECT DISTINCT market_type_id FROM wanted),
         figures AS (
-            SELECT runner_key, market_id, runner_id, first_goal_minute, {figures}, CAST(timestamp_millis(min(epoch)) AS DATE) AS timestamp
-            FROM goals JOIN {fact_table} USING (runner_key, market_id, runner_id)
+            SELECT /*+ BROADCAST(types) */ runner_key, market_id, runner_id, first_goal_minute, {figures}, CAST(timestamp_millis(min(epoch)) AS DATE) AS timestamp
+            FROM goals JOIN {fact_table} USING (runner_key, market_id, runner_id) JOIN types USING (market_type_id)
             WHERE minute - first_goal_minute BETWEEN {AFTER_GOAL_FROM} AND {AFTER_GOAL_TO}
             GROUP BY runner_key, market_id, runner_id, first_goal_minute)
         SELECT {columns} FROM figures JOIN wanted USING (runner_key, market_id, runner_id)""")

@@ -20,6 +20,7 @@ from .operators.keys import with_hash_key, with_rank_key
 from .operators.ladder import carry_forward, explode_ladder, pivot_levels
 from .operators.latest import any_true_by, asof_before, first_when, latest_state, state_history, top1
 from .operators.project import snake_case_columns
+from .operators.scan import scan_forward
 from .plans import clean, incremental, present
 from .sinks.tables import drop_table, save_table, sort_key, sorted_layout, stored
 from .sources.feed import dedupe_changes, lineage_counts, split_lineage
@@ -998,6 +999,35 @@ def q_table_writes(spark, d):
     return out
 
 
+@register("q_carry_forward_scan", _SQL["q_carry_forward"])
+def q_carry_forward_scan(spark, d):
+    """The rows of q_carry_forward by a prefix scan over range partitions."""
+    ev = _t(spark, d, "events").select(
+        "event_id", "user_id", "ts",
+        F.when(F.col("event_type") != "error", F.col("value")).alias("v"),
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("p"))
+    return scan_forward(ev, ["user_id"], ["ts", "event_id"], ["v", "p"], lambda df: stored(df, "scan"))
+
+
+@register("q_dense_rank", """
+SELECT o_totalprice, dense_rank() OVER (ORDER BY o_totalprice) AS id FROM (SELECT DISTINCT o_totalprice FROM orders)
+""")
+def q_dense_rank(spark, d):
+    return with_rank_key(_t(spark, d, "orders"), "o_totalprice", "id")
+
+
+@register("q_first_goal_pruned", _first_goal_fact_sql(present.MATCH_ODDS_TYPES, "avg"))
+def q_first_goal_pruned(spark, d):
+    """The first-goal fact from a fact table of all market types, partitioned by type: only its own types are read."""
+    name = f"q_fact_{uuid.uuid4().hex}"
+    m, r, dr, fact = _fact(spark, d, reuse_dim=True)
+    save_table(spark, fact, name, partition_by=present.FACT_PARTITION)
+    out = present.first_goal_fact(dr, spark.table(name), clean.first_goal_minutes(m, r), present.MATCH_ODDS_TYPES)
+    out = stored(out.withColumns({c: F.round(c, 6) for c in ("first_odds", "second_odds", "third_odds")}).select(*_FG_FACT_COLS), "first-goal")
+    drop_table(spark, name)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # the clean layer kept up to date batch by batch
 # ---------------------------------------------------------------------------

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oddsflow.plans import clean, present
+from oddsflow.sinks.tables import stored
 from tests.feed_fixture import EVENT_ID, MIN, T0
 
 
@@ -121,12 +122,12 @@ def test_dim_runner(raw):
     assert len({x["id"] for x in rows.values()}) == 3
 
 
-@pytest.mark.parametrize("bucket_ms", [None, 5 * MIN])
-def test_fact_runner_odds_carries_forward(raw, bucket_ms):
+@pytest.mark.parametrize("store", [None, stored])
+def test_fact_runner_odds_carries_forward(raw, store):
     m, r, _ = _clean_tables(raw)
     changes = clean.runner_changes(raw)
     dr = present.dim_runner(r, clean.market_runners(raw), m, clean.market_types(raw), clean.event_dim(raw), changes)
-    fact = present.fact_runner_odds(changes, m, dr, bucket_ms=bucket_ms)
+    fact = present.fact_runner_odds(changes, m, dr, store=store)
     home = fact.where((F.col("runner_id") == 11) & (F.col("type") == "b")).orderBy("epoch").collect()
     assert [x["minute"] for x in home] == [-10, 0, 27, 29, 31]
     assert [x["first_odds"] for x in home] == [2.0, 2.0, 1.5, 1.45, 1.4]
