@@ -1,6 +1,7 @@
 """Table-to-table jobs: the layers of the reference as callable functions.
 
-    load_raw            landing files -> <ns>.raw, <ns>.raw_lineage   (append only what is new)
+    load_raw            landing files -> <ns>.raw, <ns>.raw_lineage, <ns>.raw_quarantine, <ns>.raw_loads
+                        (append only what is new)
     build_clean         <ns>.raw -> market_definition, event, market, market_change, market_runner,
                         market_type, runner, runner_change, price, match_statistics
                         (+ views market_v1, runner_v1 in the older column shapes)
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.time import calendar_for, clock_dim
@@ -27,7 +28,7 @@ from .operators.diff import CHANGE_TYPE, INSERT, read_increment
 from .plans import clean, incremental, present
 from .plans.legacy import create_legacy_views
 from .sinks.tables import WriteMode, ensure_namespace, partition_columns, recover_table, replace_partitions, save_table, sorted_layout, stored, switch_in, write_beside
-from .sources.feed import read_feed, seen_changes, split_lineage
+from .sources.feed import bad_lines, good_changes, read_feed, seen_lines, split_lineage
 
 # Layout sort keys of the tables that get a sorted rewrite.
 SORT_KEYS = {
@@ -61,8 +62,21 @@ def new_changes(spark: SparkSession, fresh: DataFrame, raw_table: str) -> DataFr
 
 
 def not_stored(fresh: DataFrame, stored_rows: DataFrame) -> DataFrame:
+    """Rows of ``fresh`` that are not among the stored ones.
+
+    Where both have a change_key, keys are compared first: of the stored table only its keys
+    are read for that, and whole changes are compared for rows whose key is there already.
+    """
     bounds = fresh.agg(F.min("pt").alias("lo"), F.max("pt").alias("hi")).first()
     old = stored_rows.where(F.col("pt").isNull() | F.col("pt").between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+    if "change_key" not in fresh.columns or "change_key" not in old.columns:
+        return _not_among(fresh, old)
+    keys = stored(fresh.select("change_key").join(old.select("change_key"), "change_key", "left_semi").distinct(), "known-keys")
+    maybe = _not_among(fresh.join(keys, "change_key", "left_semi"), old.join(keys, "change_key", "left_semi"))
+    return fresh.join(keys, "change_key", "left_anti").unionByName(maybe).select(*fresh.columns)
+
+
+def _not_among(fresh: DataFrame, old: DataFrame) -> DataFrame:
     old = old.select(F.col("pt").alias("_pt"), F.col("mc").alias("_mc"))
     return fresh.join(old, fresh["pt"].eqNullSafe(old["_pt"]) & fresh["mc"].eqNullSafe(old["_mc"]), "left_anti")
 
@@ -74,24 +88,39 @@ def load_raw(spark: SparkSession, path: str, namespace: str) -> DataFrame:
     the new changes, their time range and the lineage all come from there.
     Lineage goes to <ns>.raw_lineage as (change_key, file) rows, so a change's
     file list is never collected into one value, and a copy that turns up in a
-    later load adds its file.
+    later load adds its file.  Lines that are no JSON of the feed go to <ns>.raw_quarantine
+    with their file; <ns>.raw_loads tells how many changes and bad lines each load brought.
     """
     ensure_namespace(spark, namespace)
     name, lineage_name = _t(namespace, "raw"), _t(namespace, "raw_lineage")
     for table in (name, lineage_name):
         recover_table(spark, table)
-    fresh, lineage = split_lineage(stored(seen_changes(read_feed(spark, path)), "feed-batch"))
+    seen = stored(seen_lines(read_feed(spark, path)), "feed-batch")
+    fresh, lineage = split_lineage(good_changes(seen))
     if spark.catalog.tableExists(lineage_name):
         lineage = lineage.join(spark.read.table(lineage_name).select("change_key", "file"), ["change_key", "file"], "left_anti")
     save_table(spark, lineage, lineage_name, WriteMode.APPEND)
     loads = _t(namespace, "raw_loads")
     batch = 1 + (spark.table(loads).agg(F.max("batch_id")).first()[0] or 0 if spark.catalog.tableExists(loads) else 0)
-    new, seen = clean.observed_count(new_changes(spark, fresh, name), "raw")
+    new, added = clean.observed_count(new_changes(spark, fresh, name), "raw")
     save_table(spark, new.withColumn("batch_id", F.lit(batch).cast("long")), name, WriteMode.APPEND, partition_by=("batch_id",))
-    save_table(spark, spark.range(1).select(F.lit(batch).cast("long").alias("batch_id"), F.current_timestamp().alias("committed_at"), F.lit(seen.get["rows"]).cast("long").alias("changes")), loads)
+    save_table(spark, spark.range(1).select(F.lit(batch).cast("long").alias("batch_id"), F.current_timestamp().alias("committed_at"), F.lit(added.get["rows"]).cast("long").alias("changes"),
+                                            F.lit(_quarantine(spark, seen, namespace, batch)).cast("long").alias("bad_lines")), loads)
     return spark.read.table(name)
 
 
+def _quarantine(spark: SparkSession, seen: DataFrame, namespace: str, batch: int) -> int:
+    """Keep the bad lines that are not kept yet; returns how many lines those are."""
+    name = _t(namespace, "raw_quarantine")
+    bad = bad_lines(seen)
+    if spark.catalog.tableExists(name):
+        bad = bad.join(spark.table(name).select("file", "bad_line"), ["file", "bad_line"], "left_anti")
+    observed = Observation("bad")
+    counted = bad.observe(observed, F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"))
+    save_table(spark, counted.withColumn("batch_id", F.lit(batch).cast("long")), name)
+    return observed.get["lines"]
+
+
 # Clean tables that only grow: their rows of a batch, kept by batch.
 APPENDED = {"market_change": clean.market_changes, "runner_change": clean.runner_changes, "price": clean.prices}
 

@@ -23,7 +23,8 @@ from .operators.project import snake_case_columns
 from .operators.scan import scan_forward
 from .plans import clean, incremental, present
 from .sinks.tables import drop_table, save_table, sort_key, sorted_layout, stored
-from .sources.feed import dedupe_changes, lineage_counts, split_lineage
+from .session import checkpoint_dir
+from .sources.feed import bad_lines, dedupe_by_hash, good_changes, lineage_counts, read_feed, seen_lines, split_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -673,7 +674,7 @@ def _raw(spark, d):
     first) stores it as parquet, which the others read with pruned columns."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _RAW:
-        _RAW[key] = stored(dedupe_changes(S.feed_changes(spark, d)), "feed-raw")
+        _RAW[key] = stored(dedupe_by_hash(S.feed_changes(spark, d), stored), "feed-raw")
     return _RAW[key]
 
 
@@ -1092,3 +1093,49 @@ def q_market_change_log(spark, d):
     m = _with_log(spark, d, spec, lambda log: incremental.change_log(spark, spec, log, 1, BATCHES))
     return m.withColumns({c: F.col(c).cast("timestamp_ntz") for c in _MARKET_TIMES}).select(
         *_MARKET_COLS, F.array_join("source_file_names", ",").alias("source_files"), "_change_type")
+
+
+# ---------------------------------------------------------------------------
+# the derived feed as files
+# ---------------------------------------------------------------------------
+
+FEED_FOLDERS = 8  # landing folders of per-event files
+
+
+@register("q_feed_files", S.with_sql(S.DEFS_SQL, S.PRICE_SQL) + f"""
+, lines AS (
+  SELECT id AS market_id, o_custkey, pt FROM defs
+  UNION ALL
+  SELECT CAST(market_id AS VARCHAR), o_custkey, epoch
+  FROM (SELECT DISTINCT market_id, epoch, handicap, runner_id, ltp, total_volume, position, odds, amount, type FROM price) JOIN orders ON o_orderkey = market_id)
+SELECT market_id, count(*) AS changes, sum(CASE WHEN o_custkey % 5 = 0 THEN 2 ELSE 1 END)::BIGINT AS seen, min(pt) AS first_pt, CAST(0 AS BIGINT) AS bad_lines
+FROM lines GROUP BY market_id
+UNION ALL
+SELECT NULL, 0, 0, NULL, count(*) FILTER (o_orderkey % 10 = 3) + 3 * count(*) FILTER (o_orderkey % 100 = 7) FROM orders
+""")
+def q_feed_files(spark, d):
+    """The derived feed written as bzip2 JSON lines: per-event files, late copies of every fifth
+    event, per-market files that are skipped by name, and broken lines; then read as the ingest
+    job reads it.  changes are distinct changes, seen counts the folders each was found in."""
+    o = _t(spark, d, "orders")
+    cust = o.select(F.col("o_orderkey").cast("string").alias("market_id"), "o_custkey")
+    changes = S.feed_changes(spark, d).select("pt", "mc", F.col("mc.id").alias("market_id")).join(cust, "market_id")
+    message = F.to_json(F.struct(F.lit("mcm").alias("op"), F.lit("x").alias("clk"), "pt", F.array("mc").alias("mc")))
+    folder = F.concat(F.lit("event-"), (F.col("o_custkey") % FEED_FOLDERS).cast("string"))
+    lines = changes.select(F.explode(F.when(F.col("o_custkey") % 5 == 0, F.array(folder, F.lit("late"))).otherwise(F.array(folder))).alias("folder"), message.alias("value"))
+    skipped = changes.where("pt % 2 = 0").select(F.lit("1.100").alias("folder"), message.alias("value"))
+    key = F.col("o_orderkey").cast("string")
+    broken = o.where("o_orderkey % 10 = 3").select(F.lit("event-0").alias("folder"), F.concat(F.lit('{"op":"mcm","pt":'), key, F.lit(',"mc":[{"id":')).alias("value"))
+    wrong = o.where("o_orderkey % 100 = 7").select(F.lit("late").alias("folder"), F.explode(F.array_repeat(F.concat(F.lit("no json "), key), 3)).alias("value"))
+    quiet = o.where("o_orderkey % 50 = 1").select(F.lit("late").alias("folder"), F.lit('{"op":"mcm","clk":"beat","pt":1}').alias("value"))
+    path = f"{checkpoint_dir(spark)}/feed-files-{uuid.uuid4().hex}"
+    every = lines.unionByName(skipped).unionByName(broken).unionByName(wrong).unionByName(quiet)
+    every.write.partitionBy("folder").option("compression", "bzip2").text(path)
+    feed = read_feed(spark, path, exclude=r"folder=1\.\d+/")
+    seen = stored(seen_lines(feed.withColumn("source_file_name", F.regexp_extract("source_file_name", "folder=([^/]+)/", 1))), "feed-lines")
+    per = good_changes(seen).groupBy("pt", "mc").agg(F.countDistinct("file").alias("files"))
+    told = per.groupBy(F.col("mc.id").alias("market_id")).agg(
+        F.count(F.lit(1)).alias("changes"), F.sum("files").alias("seen"), F.min("pt").alias("first_pt")).withColumn("bad_lines", F.lit(0).cast("long"))
+    bad = bad_lines(seen).agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("bad_lines")).selectExpr(
+        "cast(null as string) as market_id", "0L as changes", "0L as seen", "cast(null as long) as first_pt", "bad_lines")
+    return told.unionByName(bad)

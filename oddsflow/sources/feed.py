@@ -7,6 +7,8 @@ bzip2 by file extension and splits the work per file.  Per-market files
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ RUNNER_CHANGE = (
 MARKET_CHANGE = f"struct<id: string, marketDefinition: {MARKET_DEFINITION}, rc: array<{RUNNER_CHANGE}>, tv: double>"
 FEED_SCHEMA = f"op string, clk string, pt bigint, mc array<{MARKET_CHANGE}>"
 
+CORRUPT = "_corrupt_record"  # the text of a line that is no JSON of the schema
+
 # Fixed value: per-market duplicate files are named 1.<digits>.bz2.
 PER_MARKET_FILE = r"/1\.\d+\.bz2$"
 
@@ -43,10 +47,11 @@ def read_feed(spark: SparkSession, path: str, exclude: str | None = PER_MARKET_F
     """Feed messages with their source file, no schema inference.
 
     The file name comes from the ``_metadata`` column, which is known per file
-    before any row is parsed, so the exclusion is a file-level filter.
+    before any row is parsed, so the exclusion is a file-level filter.  A line that is
+    no JSON of the schema keeps its text in ``_corrupt_record`` (see :func:`seen_lines`).
     """
-    df = (spark.read.schema(FEED_SCHEMA).option("recursiveFileLookup", "true")
-          .option("mode", "PERMISSIVE").json(path))
+    df = (spark.read.schema(f"{FEED_SCHEMA}, {CORRUPT} string").option("recursiveFileLookup", "true")
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
     df = df.select("*", F.col("_metadata.file_path").alias("source_file_name"))
     if exclude:
         df = df.where(~F.col("source_file_name").rlike(exclude))
@@ -84,6 +89,29 @@ def dedupe_changes(changes: DataFrame) -> DataFrame:
     return out.select("pt", epoch_ms_to_ts("pt").alias("timestamp"), "mc", "source_file_names")
 
 
+def change_hash(pt: Column | str = "pt", mc: Column | str = "mc") -> list[Column]:
+    """128 bits that stand for a change: equal changes have equal ones (see :func:`change_key`)."""
+    pt, mc = (F.col(c) if isinstance(c, str) else c for c in (pt, mc))
+    return [F.xxhash64(pt, pt.isNull(), F.to_json(mc)), F.xxhash64(F.lit("second"), F.to_json(mc), pt.isNull(), pt)]
+
+
+def dedupe_by_hash(changes: DataFrame, store: Callable[[DataFrame], DataFrame], hashes: Callable[[], list[Column]] = change_hash) -> DataFrame:
+    """The rows of :func:`dedupe_changes`, with only hashes shuffled for changes seen once.
+
+    Step 1 groups the changes' hashes; a hash that one row has is a change of its own, and its
+    row stays where it is.  Step 2 groups the rows of the other hashes by the hash and the whole
+    change, so that different changes with one hash stay apart.  ``store`` writes a table and
+    reads it back: the changes are parsed once and read twice.
+    """
+    one, two = hashes()
+    held = store(changes.select("pt", "mc", "_file", one.alias("_h1"), two.alias("_h2")))
+    shared = store(held.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h1", "_h2"))
+    single = held.join(shared, ["_h1", "_h2"], "left_anti").select("pt", "mc", F.array("_file").alias("source_file_names"))
+    copies = dedupe_with_lineage(held.join(shared, ["_h1", "_h2"], "left_semi"), ["_h1", "_h2", "pt", "mc"], "_file")
+    out = single.unionByName(copies.drop("_h1", "_h2"))
+    return out.select("pt", epoch_ms_to_ts("pt").alias("timestamp"), "mc", "source_file_names")
+
+
 def ingest(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
     """Explode market changes and keep one row per distinct change.
 
@@ -128,6 +156,25 @@ def seen_changes(feed: DataFrame, lineage: str = "source_file_name") -> DataFram
     return changes.groupBy("pt", "mc", F.col("_file").alias("file")).agg(F.lit(1).alias("_one")).drop("_one")
 
 
+def seen_lines(feed: DataFrame, lineage: str = "source_file_name") -> DataFrame:
+    """Distinct (pt, mc, file) of the feed, and its bad lines as (file, bad_line) with their number;
+    both come from one parse: store this, then take :func:`good_changes` and :func:`bad_lines`.
+    A message without changes is in neither."""
+    bad = F.col(CORRUPT).isNotNull()
+    rows = feed.select(F.when(~bad, F.col("pt")).alias("pt"), F.explode_outer(F.when(~bad, F.col("mc"))).alias("mc"),
+                       F.col(lineage).alias("file"), F.col(CORRUPT).alias("bad_line"))
+    return rows.where("mc is not null or bad_line is not null").groupBy("pt", "mc", "file", "bad_line").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def good_changes(seen: DataFrame) -> DataFrame:
+    return seen.where("mc is not null").select("pt", "mc", "file")
+
+
+def bad_lines(seen: DataFrame) -> DataFrame:
+    """(file, bad_line, lines) of what could not be parsed."""
+    return seen.where("bad_line is not null").select("file", "bad_line", "lines")
+
+
 def split_lineage(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(raw, lineage) of distinct (pt, mc, file) rows: one row per change with its
     change_key, and the files of each as (change_key, file).  File counts are
