@@ -17,6 +17,7 @@ from ..operators.joins import HOT_KEY_SALT, interval_join, salted_join
 from ..operators.keys import hash_key
 from ..operators.ladder import carry_forward, pivot_levels
 from ..operators.latest import ordering, top1
+from ..operators.quantiles import merge_quantile_states, quantile, quantile_states
 from ..operators.scan import scan_forward
 from .clean import first_goal_minutes
 
@@ -209,18 +210,44 @@ def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataF
     the minutes after a goal are joined as (runner, minute) pairs; the odds are aggregated by
     runner, and the runner's attributes joined to that small result.
     """
+    dr, j = _odds_after_goal(dim_runner_df, fact, first_goal, market_types)
+    agg = [F.avg(c).alias(c) if stat == "avg" else F.percentile_approx(c, 0.5).alias(c) for c in ODDS_LEVELS]
+    figures = j.groupBy(*RUNNER_KEY, "first_goal_minute").agg(epoch_ms_to_date(F.min("epoch")).alias("timestamp"), *agg)
+    return figures.join(dr, RUNNER_KEY).select(*FIRST_GOAL_COLUMNS)
+
+
+# The natural key goes with the hash, so no collision can mix two runners.
+RUNNER_KEY = ["runner_key", "market_id", "runner_id"]
+ODDS_LEVELS = ("first_odds", "second_odds", "third_odds")
+
+
+def _odds_after_goal(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataFrame, market_types: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The runners of the wanted types, and their fact rows in the minutes after the first goal."""
     wanted = dim_runner_df.where(F.col("market_name").isin(*market_types))
-    key = ["runner_key", "market_id", "runner_id"]  # the natural key goes with the hash, so no collision can mix two runners
+    key = RUNNER_KEY
     dr = wanted.withColumnRenamed("id", "runner_key")
     goals = dr.select(*key, "event_id").join(first_goal, "event_id").select(*key, "first_goal_minute")
     types = dr.select("market_type_id").distinct()  # no more than the names asked for
     f = fact.join(F.broadcast(types), "market_type_id", "left_semi").select(*key, "minute", "epoch", "first_odds", "second_odds", "third_odds")
     minutes = [(F.col("first_goal_minute") + d).cast(f.schema["minute"].dataType) for d in (AFTER_GOAL_FROM, AFTER_GOAL_TO)]
-    j = interval_join(f, goals, key, "minute", *minutes)
-    levels = ("first_odds", "second_odds", "third_odds")
-    agg = [F.avg(c).alias(c) if stat == "avg" else F.percentile_approx(c, 0.5).alias(c) for c in levels]
-    figures = j.groupBy(*key, "first_goal_minute").agg(epoch_ms_to_date(F.min("epoch")).alias("timestamp"), *agg)
-    return figures.join(dr, key).select(*FIRST_GOAL_COLUMNS)
+    return dr, interval_join(f, goals, key, "minute", *minutes)
+
+
+def first_goal_states(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataFrame, market_types: Sequence[str]) -> DataFrame:
+    """P-18 for a part of the fact (a load): a state a runner that merges with those of other parts."""
+    _, j = _odds_after_goal(dim_runner_df, fact, first_goal, market_types)
+    keys = [*RUNNER_KEY, "first_goal_minute"]
+    begun = j.groupBy(*keys).agg(F.min("epoch").alias("epoch"))
+    return begun.join(quantile_states(j, keys, ODDS_LEVELS), keys)
+
+
+def first_goal_from_states(dim_runner_df: DataFrame, states: DataFrame) -> DataFrame:
+    """P-18 from the states of all parts; medians within the sketches' rank error."""
+    keys = [*RUNNER_KEY, "first_goal_minute"]
+    begun = states.groupBy(*keys).agg(epoch_ms_to_date(F.min("epoch")).alias("timestamp"))
+    merged = begun.join(merge_quantile_states(states, keys, ODDS_LEVELS), keys)
+    figures = merged.withColumns({c: quantile(c, 0.5) for c in ODDS_LEVELS})
+    return figures.join(dim_runner_df.withColumnRenamed("id", "runner_key"), RUNNER_KEY).select(*FIRST_GOAL_COLUMNS)
 
 
 __all__ = [

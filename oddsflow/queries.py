@@ -6,6 +6,7 @@ of the given tables.  Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import operator
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from .operators.keys import with_hash_key, with_rank_key
 from .operators.ladder import carry_forward, explode_ladder, pivot_levels
 from .operators.latest import any_true_by, asof_before, first_when, latest_state, state_history, top1
 from .operators.project import snake_case_columns
+from .operators.quantiles import merge_quantile_states, quantile, quantile_states, rank_error
 from .operators.scan import scan_forward
 from .plans import clean, incremental, present
 from .sinks.tables import drop_table, save_table, sort_key, sorted_layout, stored
@@ -1095,6 +1097,29 @@ def q_market_change_log(spark, d):
         *_MARKET_COLS, F.array_join("source_file_names", ",").alias("source_files"), "_change_type")
 
 
+# ---------------------------------------------------------------------------
+# quantiles that merge
+# ---------------------------------------------------------------------------
+
+@register("q_quantile_merge", """
+SELECT l_suppkey, l_returnflag, count(l_extendedprice) AS n, true AS median_within, true AS p90_within
+FROM lineitem GROUP BY l_suppkey, l_returnflag
+""")
+def q_quantile_merge(spark, d):
+    """Sketches of two halves of lineitem, merged; *_within tells whether the rank of a quantile
+    read from them, counted on all rows, is within the sketch's error of the asked one."""
+    keys, value, li = ["l_suppkey", "l_returnflag"], "l_extendedprice", _t(spark, d, "lineitem")
+    halves = [quantile_states(li.where(half), keys, [value]) for half in ("l_linenumber % 2 = 0", "not (l_linenumber % 2 = 0)")]
+    states = stored(halves[0].unionByName(halves[1]), "quantile-states")
+    read = merge_quantile_states(states, keys, [value]).select(*keys, quantile(value, 0.5).alias("median"), quantile(value, 0.9).alias("p90"))
+    j = li.select(*keys, value).join(read, keys)
+    below = lambda c, op: F.avg(F.when(op(F.col(value), F.col(c)), 1.0).otherwise(0.0))
+    ranks = j.groupBy(*keys).agg(F.count(value).alias("n"), *[below(c, op).alias(f"{c}_{name}") for c in ("median", "p90") for name, op in (("lt", operator.lt), ("le", operator.le))])
+    one, e = 1 / F.col("n"), rank_error()  # a rank is a whole row, so one row beside the error
+    within = lambda c, q: ((F.col(f"{c}_lt") - one <= q + e) & (F.col(f"{c}_le") + one >= q - e)).alias(f"{c}_within")
+    return ranks.select(*keys, "n", within("median", 0.5), within("p90", 0.9))
+
+
 # ---------------------------------------------------------------------------
 # the derived feed as files
 # ---------------------------------------------------------------------------
