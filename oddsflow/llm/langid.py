@@ -39,6 +39,7 @@ DOCS = 300            # sampled documents a language, at most
 ALPHABET = 2_000      # characters with a code of their own; others share one
 GRAMS = 200_000       # 4-grams a language
 MARGIN = 0.5          # nats a character beyond the worst that was held back
+AT_ONCE = 1 << 20     # bytes of text judged at once: some dozens of bytes of memory a character
 UNKNOWN = "und"
 _SPACE, _OTHER = 1, 2  # codes; characters follow from 3
 _MASK = (1 << BITS * ORDER) - 1
@@ -243,7 +244,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 def _predict(batches, model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for run in slices(batch, "text"):
+        for run in slices(batch, "text", AT_ONCE):
             lang, score, entropy, rejected = model.value.judge(run)
             yield pa.RecordBatch.from_arrays([run.column("row"), pa.array(lang, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected), run.column("text")],
                                              ["row", "lang_pred", "score", "cross_entropy", "rejected", "text"])
