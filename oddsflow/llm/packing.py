@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oddsflow.llm import caches
-from oddsflow.llm.chunks import ChunkCache, WordCache
+from oddsflow.llm.chunks import ChunkCache, WordCache, symbols
 from oddsflow.llm.staging import Stage
 from oddsflow.llm.words import slices
 
@@ -51,7 +52,7 @@ class CachedTokenizer:
         self.by_word = self._ids([probe])[0] == b"".join(self._ids(probe.split()))
         try:
             with open(path, encoding="utf-8") as f:
-                encode = WordCache(self.tokenizer, json.load(f), self._ids, lambda t: self._ids([t])[0])
+                encode = WordCache(self.tokenizer, json.load(f), self._words, lambda t: self._ids([t])[0])
         except ValueError:  # a tokenizer of another kind: whole chunks
             encode = lambda chunks: self._ids([c.decode() for c in chunks])
         self.cache = ChunkCache(encode)
@@ -59,6 +60,11 @@ class CachedTokenizer:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words as the pattern cuts them: these go to the tokenizer's model itself."""
+        model = self.tokenizer.model
+        return [array("I", [t.id for t in model.tokenize(symbols(w))]).tobytes() for w in words]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, row bounds) of a column of texts; nulls are empty."""
         if self.by_word:
