@@ -27,6 +27,7 @@ gives no rows; other columns, whatever their names, are not read.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,7 +165,7 @@ class Codec:
         self.offsets, self.content = np.cumsum(self.lengths) - self.lengths, np.frombuffer(b"".join(table), np.uint8)
 
     def _ids(self, words: list[str]) -> bytes:
-        return np.array([t for w in words for t in self.table.encode(w)], "<u4").tobytes()
+        return array("I", [t for w in words for t in self.table.encode(w)]).tobytes()
 
     def text(self, text: str) -> bytes:
         """The ids of a text without white space, whatever its characters; control strings are one token each."""

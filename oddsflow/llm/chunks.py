@@ -69,6 +69,8 @@ class ChunkCache:
 
 def symbols(text: str) -> str:
     """The UTF-8 bytes of a text as byte symbols: printable bytes as they are, the others from 256 on."""
+    if text.isascii() and text.isprintable() and " " not in text:
+        return text
     return text.encode().decode("latin-1").translate(_SYMBOLS)
 
 
