@@ -147,6 +147,9 @@ def recover_table(spark: SparkSession, name: str) -> None:
     """
     there = spark.catalog.tableExists
     if not there(name) and there(name + REPLACED):
+        if before := table_property(spark, name + REPLACED, PREVIOUS):  # may lie where the table's own folder would
+            remove_files(spark, before)
+            spark.sql(f"ALTER TABLE {name}{REPLACED} UNSET TBLPROPERTIES ('{PREVIOUS}')")
         spark.sql(f"ALTER TABLE {name}{REPLACED} RENAME TO {name}")
     if there(name):
         if there(name + STAGED):
