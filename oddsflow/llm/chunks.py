@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = 250_000   # chunks a worker remembers
-WORDS = 250_000   # words a worker remembers
+CACHE = 500_000   # chunks a worker remembers (about 200 bytes each)
+WORDS = 400_000   # words a worker remembers
 LONGEST = 48      # bytes of a chunk or word worth remembering
 MARK = b"\xff\xff\xff\xff"  # between the ids of two chunks while they are one array
 

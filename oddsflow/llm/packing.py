@@ -85,7 +85,7 @@ def _tokenizer(path: str, control: bool) -> CachedTokenizer:
 def _pieces(batches, path: str, limit: int, end_id: int, control: bool) -> Iterator[pa.RecordBatch]:
     tokenizer, end = _tokenizer(path, control), np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        for run in slices(batch, "text"):
+        for run in slices(batch, "text", 8 << 20):  # the longer a run, the fewer distinct chunks a text
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             flat, bounds = tokenizer.encode(run.column("text"))
             for doc, a, b in zip(run.column("doc_id").to_pylist(), bounds.tolist(), bounds[1:].tolist()):
