@@ -40,18 +40,26 @@ def _repeat_words(words: Column) -> Column:
     """Words covered by 3-word windows that occur twice or more.
 
     Each window is one long: the upper bits of its hash, its place in as many lower bits
-    as places need.  Sorted, equal windows are neighbours."""
+    as places need.  Sorted, windows of equal bits are neighbours; only those are compared
+    word by word, so that the count is exact however long the text is."""
     count = F.size(words) - 2
     low = F.pow(F.lit(2.0), F.length(F.bin(F.size(words)))).cast("long") - 1
     codes = _bind(low, lambda m: F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(F.bitwise_not(m)).bitwiseOR(i.cast("long"))))
 
-    def places(codes: Column, mask: Column) -> Column:
+    def alike(codes: Column, mask: Column) -> Column:
         upper = lambda x: x.bitwiseAND(F.bitwise_not(mask))
         same = lambda x, other: F.coalesce(upper(other) == upper(x), F.lit(False))
         twice = F.filter(codes, lambda x, j: same(x, F.get(codes, j - 1)) | same(x, F.get(codes, j + 1)))
-        return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(mask)))
+        return F.transform(twice, lambda x: x.bitwiseAND(mask).cast("int"))
 
-    found = _bind(F.sort_array(codes), lambda c: _bind(low, lambda m: places(c, m)))
+    def equal(windows: Column) -> Column:
+        same = lambda x, other: F.coalesce(other["w"] == x["w"], F.lit(False))
+        twice = F.filter(windows, lambda x, j: same(x, F.get(windows, j - 1)) | same(x, F.get(windows, j + 1)))
+        return F.sort_array(F.transform(twice, lambda x: x["p"].cast("long")))
+
+    window = lambda p: F.struct(F.struct(F.get(words, p), F.get(words, p + 1), F.get(words, p + 2)).alias("w"), p.alias("p"))
+    found = _bind(F.sort_array(codes), lambda c: _bind(low, lambda m: alike(c, m)))
+    found = _bind(F.sort_array(F.transform(found, window)), equal)
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
     total = F.aggregate(found, start, lambda a, p: F.struct((a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n"), (p + 3).alias("end")), lambda a: a["n"])
     return F.when(count > 1, total).otherwise(F.lit(0).cast("long"))

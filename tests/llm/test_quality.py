@@ -62,6 +62,22 @@ def test_judge_equals_brute_force(spark):
     assert {r[8] for r in got} == {True, False}
 
 
+def test_windows_of_equal_hash_bits_are_compared_by_word(spark):
+    """With 60 000 words windows share 48 bits; a stand-in hash of 3 bits makes them meet at once."""
+    from pyspark.sql import functions as F
+
+    from oddsflow.llm import quality
+
+    real, text = F.xxhash64, "a b c d a b c e f g h f g h i j k l m n"
+    df = spark.createDataFrame([(text,), ("x y z",), ("x y",), ("q q q q",), (None,)], "t string")
+    quality.F.xxhash64 = lambda *c: F.lit(7).cast("long") * F.lit(1 << 40) + real(*c).bitwiseAND(F.lit(0))
+    try:
+        got = [r[0] for r in df.select(quality._repeat_words(quality.words_of(F.col("t")))).collect()]
+    finally:
+        quality.F.xxhash64 = real
+    assert got == [12, 0, 0, 4, 0]
+
+
 def test_empty_tables(spark):
     docs, ids = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long")
     assert judge(docs, ids).collect() == []
