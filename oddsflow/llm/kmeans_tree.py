@@ -4,8 +4,9 @@ The tree is fitted on a bounded sample of vectors; every row is indexed, by walk
 to the nearest centre at each level.  A query visits leaves in the order of a priority
 queue over centres; the number of visits is widened, on sampled queries with known
 neighbours, until their recall reaches the target, and for each query until the visited
-leaves hold enough vectors.  Leaves are cut into blocks of bounded size, and the vectors
-of a block are scored together in double precision on the original vectors.
+leaves hold enough vectors.  Leaves are cut into blocks of bounded size, and so are the
+queries that visit a leaf; a block of vectors and a block of queries are scored together
+in double precision on the original vectors.
 
 Equal vectors count once: only the k + 1 smallest ids of a vector can be among the k
 nearest of anything, and equal queries are searched once, so a very common vector is
@@ -33,7 +34,8 @@ SAMPLE = 20_000      # vectors that the tree is fitted on, at most
 BRANCH, LEAF = 16, 96
 CALIBRATION = 400    # sampled queries that set the number of visits
 RECALL = 0.95        # their target
-BLOCK = 4_096        # vectors of a leaf scored together
+BLOCK = 4_096        # vectors of a leaf scored together, at most about
+ASKED = 4_096        # queries of a leaf scored together, at most about
 
 
 class Tree:
@@ -91,14 +93,14 @@ class Tree:
         return out
 
     def calibrate(self, vectors: np.ndarray, k: int, recall: float) -> int:
-        """Visits that find this share of the k nearest of sampled queries."""
-        queries = vectors[:: max(1, len(vectors) // CALIBRATION)][:CALIBRATION]
+        """Visits that find this share of the k nearest others of sampled queries."""
         leaf, needed = self.assign(vectors), []
         self.counts = np.bincount(leaf, minlength=self.leaves)
-        for q in queries:
-            scores = vectors @ q
-            top = np.argsort(-scores, kind="stable")[:k + 1]
-            order = {l: i for i, l in enumerate(self.visit(q, self.leaves, 0))}
+        for i in range(0, len(vectors), max(1, -(-len(vectors) // CALIBRATION))):
+            scores = vectors @ vectors[i]
+            scores[i] = -np.inf  # a query finds itself in its own leaf: no evidence of recall
+            top = np.argsort(-scores, kind="stable")[:min(k, len(vectors) - 1)]
+            order = {l: i for i, l in enumerate(self.visit(vectors[i], self.leaves, 0))}
             needed += [order[l] + 1 for l in leaf[top].tolist()]
         return int(np.quantile(needed, recall, method="higher")) if needed else 1
 
@@ -137,8 +139,7 @@ def _visit(batches, tree, dim: int, visits: int, enough: int) -> Iterator[pa.Rec
     for batch in batches:
         if batch.num_rows:
             found = [tree.value.visit(q, visits, enough) for q in _unit(_matrix(batch.column("v"), dim))]
-            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), batch.column("q").take(at), batch.column("v").take(at)], ["leaf", "q", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("v"), pa.array(found, pa.list_(pa.int64()))], ["q", "v", "leaves"])
 
 
 def _score(queries: pa.Table, block: pa.Table, dim: int, k: int) -> pa.Table:
@@ -197,11 +198,16 @@ def nearest(vectors: DataFrame, is_query: str, k: int = 5, recall: float = RECAL
     blocks = spark.createDataFrame([(int(l), int(-(-c // BLOCK))) for l, c in enumerate(fitted.counts) if c], "leaf long, blocks int")
 
     asked = rows.where(is_query)
-    asked = stage(asked.withColumn("q", F.min("id").over(Window.partitionBy("v"))).select("id", "q", "v"))
-    visited = asked.where("id = q").select("q", "v").mapInArrow(lambda it: _visit(it, counted, dim, visits, k + 1), f"leaf long, q long, v {kind}")
-    visited = visited.join(F.broadcast(blocks), "leaf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    placed = index.join(F.broadcast(blocks), "leaf").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).drop("blocks")
-    found = visited.groupBy("leaf", "block").cogroup(placed.groupBy("leaf", "block")).applyInArrow(lambda q, b: _score(q, b, dim, k + 1), "q long, id long, score double")
+    asked = stage(asked.join(asked.groupBy("v").agg(F.min("id").alias("q")), "v").select("id", "q", "v"))  # equal queries: one asks
+    visits_of = stage(asked.where("id = q").select("q", "v").mapInArrow(lambda it: _visit(it, counted, dim, visits, k + 1), f"q long, v {kind}, leaves array<long>"))
+    parts = visits_of.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("parts"))
+    cut = F.broadcast(stage(parts.join(blocks, "leaf")))  # a row a leaf
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
+    visited = visits_of.select("q", "v", F.explode("leaves").alias("leaf")).join(cut, "leaf").select("leaf", copies("blocks").alias("block"), dealt("q", "parts").alias("part"), "q", "v")
+    placed = index.join(cut, "leaf").select("leaf", dealt("id", "blocks").alias("block"), copies("parts").alias("part"), "id", "v")
+    task = ["leaf", "block", "part"]
+    found = visited.groupBy(*task).cogroup(placed.groupBy(*task)).applyInArrow(lambda q, b: _score(q, b, dim, k + 1), "q long, id long, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("q", F.col("id").alias("vec_id"), "score")
     each = asked.select(F.col("id").alias("query_id"), "q").join(found, "q").where("query_id <> vec_id")

@@ -23,6 +23,7 @@ def brute(vectors, queries, k):
 
 def test_everything_visited_is_exact(spark, monkeypatch):
     monkeypatch.setattr(kmeans_tree, "BLOCK", 64)
+    monkeypatch.setattr(kmeans_tree, "ASKED", 3)
     rng = np.random.default_rng(0)
     vectors = {i: rng.normal(size=8).astype(np.float32) for i in range(600)}
     for i in range(600, 900):  # a very common vector, and a scaled copy
@@ -62,8 +63,24 @@ def test_tree_covers_every_vector():
     assert tree.visit(vectors[0], 1, 1)[0] == tree.visit(vectors[0], 5, 1)[0]
 
 
-def test_query_recall(spark):
-    sf = "/root/testdata/sf0.01"
+def test_a_query_is_no_evidence_of_its_own_recall():
+    vectors = np.random.default_rng(4).normal(size=(800, 6)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    tree = Tree(vectors)
+    visits, leaf = tree.calibrate(vectors, 3, 0.9), tree.assign(vectors)
+    hits = []
+    for i in range(0, 800, 2):
+        scores = vectors @ vectors[i]
+        scores[i] = -np.inf
+        hits += np.isin(leaf[np.argsort(-scores, kind="stable")[:3]], tree.visit(vectors[i], visits, 0)).tolist()
+    assert 0.9 <= np.mean(hits) < 0.97
+    assert Tree(vectors[:1]).calibrate(vectors[:1], 3, 0.9) == 1
+
+
+@pytest.mark.parametrize("sample", [20_000, 400])
+def test_query_recall(spark, monkeypatch, sample):
+    monkeypatch.setattr(kmeans_tree, "SAMPLE", sample)  # 400: most rows are indexed by a tree that has not seen them
+    sf = "/root/testdata/sf0.1" if sample == 400 else "/root/testdata/sf0.01"
     out = queries.queries()["op9_nearest_neighbours"](spark, sf).collect()
     vectors = {r.vec_id: np.array(r.embedding, np.float32) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()}
     want = brute(vectors, [i for i in vectors if i % 50 == 0], 5)
