@@ -6,6 +6,7 @@ of the given tables.  Column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import datetime
 import operator
 import uuid
 from collections.abc import Callable
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import standins as S
-from .functions.time import calendar_for, epoch_ms_to_ts, minute_offset, minutes_for, ts_millis
+from .functions.time import calendar_dim, calendar_for, clock_dim, epoch_ms_to_ts, minute_offset, minutes_for, ts_millis
 from .jobs import rewrite_sorted_table
 from .operators.diff import latest_batch, read_increment, snapshot_diff
 from .operators.keys import with_hash_key, with_rank_key
@@ -24,7 +25,7 @@ from .operators.project import snake_case_columns
 from .operators.quantiles import merge_quantile_states, quantile, quantile_states, rank_error
 from .operators.scan import scan_forward
 from .plans import clean, incremental, present
-from .sinks.tables import drop_table, save_table, sort_key, sorted_layout, stored
+from .sinks.tables import WriteMode, drop_table, ensure_namespace, read_or_create, save_table, sort_key, sorted_layout, stored
 from .session import checkpoint_dir
 from .sources.feed import bad_lines, dedupe_by_hash, good_changes, lineage_counts, read_feed, seen_lines, split_lineage
 
@@ -1164,3 +1165,77 @@ def q_feed_files(spark, d):
     bad = bad_lines(seen).agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("bad_lines")).selectExpr(
         "cast(null as string) as market_id", "0L as changes", "0L as seen", "cast(null as long) as first_pt", "bad_lines")
     return told.unionByName(bad)
+
+
+# ---------------------------------------------------------------------------
+# dimensions of a fixed range, tables made on first use, counts beside the rows
+# ---------------------------------------------------------------------------
+
+@register("q_date_dim_orders", """
+WITH days AS (SELECT CAST(unnest(generate_series(DATE '1990-01-01', DATE '2030-01-01', INTERVAL 1 DAY)) AS DATE) AS date),
+sold AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS orders, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1)
+SELECT CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key, date,
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+       strftime(date, '%b') AS calendar_month, CAST(day(date) AS INTEGER) AS day,
+       CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, strftime(date, '%a') AS calendar_day,
+       coalesce(orders, 0) AS orders, coalesce(customers, 0) AS customers
+FROM days LEFT JOIN sold USING (date)
+""")
+def q_date_dim_orders(spark, d):
+    """The date dimension that the presentation job writes, with each day's orders."""
+    days = calendar_dim(spark, datetime.date(1990, 1, 1), datetime.date(2030, 1, 1))
+    sold = _t(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        F.count(F.lit(1)).alias("orders"), F.countDistinct("o_custkey").alias("customers"))
+    return days.join(sold, "date", "left").na.fill(0, ["orders", "customers"])
+
+
+@register("q_time_dim_events", """
+WITH minutes AS (SELECT unnest(range(1440)) AS m),
+seen AS (SELECT hour(ts) * 60 + minute(ts) AS m, count(*) AS events FROM events GROUP BY 1)
+SELECT CAST(m // 60 * 100 + m % 60 AS INTEGER) AS time_key, format('{:02d}:{:02d}', m // 60, m % 60) AS time,
+       CAST(m // 60 AS INTEGER) AS hour, CAST(m % 60 AS INTEGER) AS minute, coalesce(events, 0) AS events
+FROM minutes LEFT JOIN seen USING (m)
+""")
+def q_time_dim_events(spark, d):
+    """The time-of-day dimension that the presentation job writes, with each minute's events."""
+    seen = _t(spark, d, "events").groupBy(F.hour("ts").alias("hour"), F.minute("ts").alias("minute")).agg(F.count(F.lit(1)).alias("events"))
+    return clock_dim(spark).join(seen, ["hour", "minute"], "left").na.fill(0, ["events"])
+
+
+@register("q_first_use_table", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 1 AS builds, false AS kept_old
+FROM orders WHERE o_orderstatus = 'F' OR o_custkey % 2 = 0
+""")
+def q_first_use_table(spark, d):
+    """A namespace made and selected; a table built by the first read of it and only read by the
+    second; rows added and a folder written over, each in the mode that the caller names.
+    kept_old: whether anything of the overwritten folder is left."""
+    o, namespace, before, builds = _t(spark, d, "orders"), f"q_{uuid.uuid4().hex}", spark.catalog.currentDatabase(), []
+
+    def build():
+        builds.append(1)
+        return o.where("o_orderstatus = 'F'")
+
+    ensure_namespace(spark, namespace)
+    try:
+        for _ in range(2):
+            table = read_or_create(spark, f"{namespace}.orders", build)
+        save_table(spark, o.where("o_custkey % 2 = 0 and (o_orderstatus <> 'F' or o_orderstatus is null)"), "orders", WriteMode("append"))
+        path = f"{checkpoint_dir(spark)}/first-use-{uuid.uuid4().hex}"
+        o.limit(1).select("*", F.lit(True).alias("old")).write.mode("overwrite").parquet(path)
+        spark.table(f"{namespace}.orders").select(*table.columns, F.lit(False).alias("old")).write.mode("overwrite").parquet(path)
+        drop_table(spark, f"{namespace}.orders")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    spark.sql(f"DROP NAMESPACE {namespace}")
+    return spark.read.parquet(path).select(*o.columns, F.lit(len(builds)).alias("builds"), F.col("old").alias("kept_old"))
+
+
+@register("q_observed_count", """
+SELECT o_orderpriority, count(*) AS orders, sum(count(*)) OVER ()::BIGINT AS written FROM orders GROUP BY o_orderpriority
+""")
+def q_observed_count(spark, d):
+    """Orders by priority, beside the number of rows counted while the orders were written."""
+    counted, told = clean.observed_count(_t(spark, d, "orders").select("o_orderkey", "o_orderpriority"), f"orders-{uuid.uuid4().hex}")
+    kept = stored(counted, "observed")
+    return kept.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders")).withColumn("written", F.lit(told.get["rows"]).cast("long"))
