@@ -79,11 +79,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of every document, and their decoding."""
+    """SentencePiece ids of every document, the original byte at which each piece ends, and their decoding."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = sp_codec.round_trip(_table(spark, sf_dir, "documents"), path)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"), F.sha2("ends", 256).alias("ends_sha256"))
 
 
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

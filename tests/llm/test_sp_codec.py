@@ -66,3 +66,23 @@ def test_operator(spark):
     assert got == sorted(((i, tuple(w), LIBRARY.decode(w)) for (i, _), w in zip(rows, want)), key=str)
     assert sorted(map(str, round_trip(df, PATH).collect())) == sorted(map(str, decode(encode(df, PATH), PATH).collect()))
     assert encode(df.limit(0), PATH).collect() == []
+
+
+def test_query_spans_equal_the_library(spark):
+    """The ends in the query's rows, against the offsets that the library itself gives."""
+    import hashlib
+
+    from oddsflow.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts_of = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    compared = 0
+    for r in queries.queries()["op6_sentencepiece"](spark, sf).collect():
+        text = texts_of[r.doc_id]
+        pieces = LIBRARY.encode(text, return_type="proto").pieces  # with byte offsets
+        if any(p.begin == p.end for p in pieces):  # the library gives the bytes of one character one span
+            continue
+        ends = [0, *(p.end for p in pieces), len(text.encode())]
+        assert hashlib.sha256(np.array(ends, "<u4").tobytes()).hexdigest() == r.ends_sha256
+        compared += 1
+    assert compared > 0.8 * len(texts_of)
