@@ -104,9 +104,8 @@ def apply_batch(spark: SparkSession, spec: StateSpec, changes: DataFrame, log: s
     if spark.catalog.tableExists(log):
         states = merge_states(states.unionByName(states_of(spark.table(log), fresh, spec, batch)), spec)
     written = states.withColumns({BATCH: F.lit(batch).cast("long"), BUCKET: bucket_of(spec, buckets)})
-    written = stored(written.repartition(BUCKET), f"{spec.name}-states")  # a bucket's states in one file
-    save_table(spark, written, log, WriteMode.APPEND, partition_by=(BATCH, BUCKET))
-    return written
+    save_table(spark, written.repartition(BUCKET), log, WriteMode.APPEND, partition_by=(BATCH, BUCKET))  # a bucket's states in one file
+    return spark.table(log).where(F.col(BATCH) == F.lit(batch))
 
 
 def live_rows(spark: SparkSession, spec: StateSpec, log: str, upto: int | None = None) -> DataFrame:

@@ -42,6 +42,8 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode |
 
     def writer_for(frame: DataFrame):
         w = frame.write.format(fmt)
+        if fmt == "parquet":
+            w = w.option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         if bucket_by:
@@ -165,7 +167,7 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     computed once, with column pruning and pushdown for every later reader."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
