@@ -6,8 +6,10 @@ import json
 from pyspark.sql import functions as F
 
 from oddsflow import jobs
+from oddsflow import queries as Q
+from oddsflow import standins as S
 from oddsflow.sinks.tables import stored
-from oddsflow.sources.feed import bad_lines, change_hash, dedupe_by_hash, dedupe_changes, explode_changes, good_changes, read_feed, seen_lines
+from oddsflow.sources.feed import bad_lines, change_hash, dedupe_by_hash, dedupe_changes, explode_changes, good_changes, read_feed, seen_lines, store_by_hash
 
 
 def rows(df):
@@ -75,3 +77,41 @@ def test_known_keys_that_collide_are_compared_whole(spark, feed_dir):
     old = changes.orderBy("pt").limit(7)
     assert rows(jobs.not_stored(changes, old)) == rows(changes.join(old.select("pt", "mc").withColumn("o", F.lit(1)), ["pt", "mc"], "left").where("o is null").select(*changes.columns))
     assert jobs.not_stored(changes, changes).count() == 0
+
+
+def test_changes_seen_once_are_written_once(spark, feed_dir, monkeypatch):
+    from oddsflow.sources import feed
+
+    changes = changes_of(spark, feed_dir)
+    twice = changes.unionByName(changes.limit(3).withColumn("_file", F.lit("another")))
+    written = []
+
+    def store(df):
+        written.append(stored(df))
+        return written[-1]
+
+    assert rows(store_by_hash(twice, store)) == rows(dedupe_changes(twice))
+    held, shared, copies = written
+    assert held.count() == twice.count() and "_h2" not in held.columns and shared.count() == copies.count() < held.count() / 4
+    monkeypatch.setattr(feed, "BROADCAST_HASHES", 0)  # many copies: the whole result is written
+    written.clear()
+    assert rows(store_by_hash(twice, store)) == rows(dedupe_changes(twice)) and written[-1].count() == dedupe_changes(twice).count()
+
+
+def test_stored_parts_are_the_whole_raw_table(spark):
+    d = "/root/testdata/sf0.001"
+    assert rows(Q._raw(spark, d).select("pt", "mc", "source_file_names")) == rows(dedupe_changes(S.feed_changes(spark, d)).select("pt", "mc", "source_file_names"))
+    assert rows(Q._raw_definitions(spark, d)) == rows(Q._raw(spark, d).where("mc.marketDefinition is not null"))
+
+
+def test_a_small_table_is_worked_on_by_several_tasks(spark):
+    tasks = S.write_tasks(spark)
+    assert tasks >= 4 * spark.sparkContext.defaultParallelism
+    assert S.feed_changes(spark, "/root/testdata/sf0.001", tasks=tasks).rdd.getNumPartitions() >= 2 * tasks
+    plan = S.feed_changes(spark, "/root/testdata/sf0.001").where("mc.marketDefinition is not null")
+    assert plan.rdd.getNumPartitions() >= tasks
+
+
+def test_kept_frames_are_written_densely(spark):
+    names = stored(spark.range(10)).inputFiles()
+    assert names and all(name.endswith(".zstd.parquet") for name in names)
