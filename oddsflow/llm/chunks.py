@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE = 500_000   # chunks a worker remembers (about 200 bytes each)
-WORDS = 400_000   # words a worker remembers
+CACHE = 200_000   # chunks a worker remembers (about 150 bytes each)
+WORDS = 300_000   # words a worker remembers (about 200 bytes each)
 LONGEST = 48      # bytes of a chunk or word worth remembering
+AT_ONCE = 1 << 15  # unseen chunks encoded, or chunks of texts gathered, at once: what this takes does not grow with the run
 MARK = b"\xff\xff\xff\xff"  # between the ids of two chunks while they are one array
 
 
@@ -32,7 +33,7 @@ def split(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     coded = lists.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    return coded.indices.to_numpy().astype(np.int64), bounds - bounds[0], coded.dictionary.cast(pa.binary()).to_pylist()
+    return coded.indices.to_numpy(), bounds - bounds[0], coded.dictionary.cast(pa.binary()).to_pylist()
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,15 +57,23 @@ class ChunkCache:
         parts = list(map(self.known.get, chunks))
         unseen = [i for i, p in enumerate(parts) if p is None]
         room = CACHE - len(self.known)
-        for i, part in zip(unseen, self.encode([chunks[i] for i in unseen])):
-            parts[i] = part
-            if room > 0 and len(chunks[i]) <= LONGEST:
-                self.known[chunks[i]] = part
-                room -= 1
+        for k in range(0, len(unseen), AT_ONCE):
+            some = unseen[k:k + AT_ONCE]
+            for i, part in zip(some, self.encode([chunks[i] for i in some])):
+                parts[i] = part
+                if room > 0 and len(chunks[i]) <= LONGEST:
+                    self.known[chunks[i]] = part
+                    room -= 1
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         values = np.frombuffer(b"".join(parts), "<u4")
-        ids, ends = gather(values, np.cumsum(lengths) - lengths, lengths, codes)
-        return ids, np.concatenate([[0], ends])[rows]
+        del chunks, parts, unseen
+        starts = np.cumsum(lengths) - lengths
+        ends = np.concatenate([[0], np.cumsum(lengths.astype(np.int32)[codes], dtype=np.int64)])
+        ids = np.empty(ends[-1], "<u4")
+        for k in range(0, len(codes), AT_ONCE):
+            some = codes[k:k + AT_ONCE]
+            ids[ends[k]:ends[k + len(some)]] = gather(values, starts, lengths, some)[0]
+        return ids, ends[rows]
 
 
 def symbols(text: str) -> str:

@@ -35,6 +35,7 @@ from oddsflow.llm.staging import Stage
 from oddsflow.llm.words import slices
 
 GROUP = 32_768    # items packed together
+OUT_BYTES = 1 << 20  # of ids in a batch of pieces
 
 _tokenizers: dict = {}
 
@@ -82,11 +83,20 @@ def _tokenizer(path: str, control: bool) -> CachedTokenizer:
     return _tokenizers[path, control]
 
 
+def _no_pieces() -> dict[str, list]:
+    return {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
+
+
+def _batch(out: dict[str, list]) -> pa.RecordBatch:
+    kinds = pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+
+
 def _pieces(batches, path: str, limit: int, end_id: int, control: bool) -> Iterator[pa.RecordBatch]:
     tokenizer, end = _tokenizer(path, control), np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for run in slices(batch, "text", 8 << 20):  # the longer a run, the fewer distinct chunks a text
-            out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
+            out, held = _no_pieces(), 0
             flat, bounds = tokenizer.encode(run.column("text"))
             for doc, a, b in zip(run.column("doc_id").to_pylist(), bounds.tolist(), bounds[1:].tolist()):
                 ids = flat[a:b].tobytes() + end
@@ -94,8 +104,13 @@ def _pieces(batches, path: str, limit: int, end_id: int, control: bool) -> Itera
                     part = ids[at:at + 4 * limit]
                     for k, v in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
                         out[k].append(v)
-            kinds = pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+                held += len(ids)
+                if held >= OUT_BYTES:
+                    yield _batch(out)
+                    out, held = _no_pieces(), 0
+            del flat, bounds
+            if held:
+                yield _batch(out)
 
 
 def token_pieces(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, id_col: str = "doc_id",

@@ -54,6 +54,27 @@ def test_control_strings_as_by_the_library(spark):
         assert [(r.length, r.ids_crc32) for r in out.collect()] == [(len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]
 
 
+def test_memory_of_a_run_of_texts_is_bounded(monkeypatch):
+    """Neither unseen chunks nor ids of pieces are handled for a whole run of texts at once."""
+    monkeypatch.setattr(chunks, "AT_ONCE", 100)
+    monkeypatch.setattr(packing, "OUT_BYTES", 4000)
+    rng = random.Random(6)
+    texts = [None, ""] + [" ".join("w%dx%d" % (rng.randrange(99), rng.randrange(99)) for _ in range(rng.randrange(80))) for _ in range(300)] + ["x " * 9000]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    tokenizer = CachedTokenizer(PATH)
+    monkeypatch.setattr(packing, "_tokenizer", lambda *_: tokenizer)
+    asked, encode = [], tokenizer.cache.encode
+    tokenizer.cache.encode = lambda some: asked.append(len(some)) or encode(some)
+    found = list(packing._pieces([rows], PATH, 4096, 1, False))
+    assert len(asked) > 1 and max(asked) <= 100
+    assert len(found) > 1 and all(sum(map(len, b.column("ids").to_pylist()[:-1])) < 4000 for b in found[:-1])
+    got = {}
+    for b in found:
+        for r in b.to_pylist():
+            got.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], "<u4").tolist())
+    assert got == {i: whole(t or "") + [1] for i, t in enumerate(texts)}
+
+
 def test_pieces_and_packing(spark):
     rng = random.Random(5)
     rows = [(i, " ".join("word%d" % rng.randrange(99) for _ in range(rng.choice([0, 1, 5, 40, 90])))) for i in range(300)]
