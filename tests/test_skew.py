@@ -40,3 +40,74 @@ def test_hot_market_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _fact_input(spark, n, hot):
+    """Changes of which every `hot`-th is of market 0, their markets and runners."""
+    changes = spark.range(n).select(
+        F.when(F.col("id") % hot == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("market_id"), (F.col("id") % 7).alias("runner_id"),
+        F.col("id").alias("epoch"), F.timestamp_millis("id").cast("timestamp_ntz").alias("timestamp"), F.lit(0.0).alias("hc"),
+        F.lit(None).cast("double").alias("ltp"), (F.col("id") * 2.0).alias("tv"), F.lit("b").alias("type"),
+        (F.col("id") % 3).cast("int").alias("position"), (F.col("id") % 11 + 1.5).alias("odds"), F.lit(2.0).alias("amount"))
+    markets = spark.range(51).select(F.col("id").alias("market_id"), F.timestamp_millis(F.lit(n // 2)).cast("timestamp_ntz").alias("kick_off"))
+    runners = spark.range(51 * 6).select(F.col("id"), (F.col("id") % 51).alias("market_id"), F.expr("id div 51").alias("runner_id"), (F.col("id") % 51 % 5).alias("market_type_id"))
+    return changes, markets, runners
+
+
+def test_changes_that_lie_by_market_are_not_dealt_again(spark):
+    """q_runner_odds_fact, q_first_goal_pruned: the fact takes the changes as the join to their market left them."""
+    from oddsflow.plans import present
+    from oddsflow.session import conf_set
+    from oddsflow.sinks.tables import stored
+
+    changes, markets, runners = _fact_input(spark, 3000, 3)
+    plans, key = [], "spark.sql.requireAllClusterKeysForCoPartition"
+
+    def store(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    with conf_set(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        before = spark.conf.get(key)
+        fact = present.fact_runner_odds(changes, markets, stored(runners), store=store)
+        assert spark.conf.get(key) == before
+        dealt = [line for line in plans[0].splitlines() if "Exchange hashpartitioning(" in line]
+        assert len(dealt) == 3 and not any("runner_id" in line.split("ENSURE")[0] for line in dealt), dealt
+        want = present.fact_runner_odds(changes, markets, runners)
+        assert fact.exceptAll(want).isEmpty() and want.exceptAll(fact).isEmpty() and fact.count() == len([i for i in range(3000) if i % 7 < 6])
+
+
+def test_hot_market_of_the_fact_is_split(spark):
+    from oddsflow.plans import present
+    from oddsflow.session import conf_set
+    from oddsflow.sinks.tables import stored
+
+    changes, markets, runners = _fact_input(spark, 200_000, 2)
+    plans = []
+
+    def store(df):
+        out = df.where("runner_id >= 0")
+        out.collect()
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    with conf_set(spark, {
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}):
+        fact = present.fact_runner_odds(stored(changes), markets, stored(runners), store=store)
+        assert "skew=true" in plans[0], plans[0][:3000]
+        assert fact.count() == len([i for i in range(200_000) if i % 7 < 6])
+
+
+def test_market_types_are_not_dealt_by_type(spark, raw):
+    """q_range_median: joined by their type, all markets would lie in as many tasks as there are types."""
+    from oddsflow.plans import clean, present
+    from oddsflow.session import conf_set
+
+    with conf_set(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        market = clean.market_state(raw)
+        dr = present.dim_runner(clean.runners(raw), clean.market_runners(raw), market, clean.market_types(raw), clean.event_dim(raw), clean.runner_changes(raw))
+        plan = dr._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [market_type#" not in plan and "BroadcastHashJoin [market_type#" in plan, plan
+        assert dr.count() > 0
