@@ -56,8 +56,12 @@ def runner_volumes(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str
     return _runner_stats(changes, market, tiebreak, with_odds=False)
 
 
+# Optional last column of the runner dimension: how many rows of changes a runner has.
+N_CHANGES = "n_changes"
+
+
 def _runner_stats(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str], with_odds: bool,
-                  side: str = "b") -> DataFrame:
+                  side: str = "b", with_count: bool = False) -> DataFrame:
     """Volumes (P-15a) and, with ``with_odds``, the last back change before
     kick-off (P-15b) in one aggregation over one scan of the changes."""
     j = _before_kickoff(changes, market)
@@ -68,6 +72,8 @@ def _runner_stats(changes: DataFrame, market: DataFrame, tiebreak: Sequence[str]
         F.max_by(F.col("tv"), order).alias("total_traded_volume"),
         F.max(before).alias("_any_before"),
     ]
+    if with_count:
+        aggs.append(F.count(F.lit(1)).alias(N_CHANGES))
     if with_odds:
         # best level first among rows of the same change: position ascending
         last_order = _last_change_order(tiebreak)
@@ -108,7 +114,8 @@ def kickoff_odds(changes: DataFrame, market: DataFrame, side: str = "b",
 
 
 def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, market_type: DataFrame,
-               event: DataFrame, changes: DataFrame, tiebreak: Sequence[str] = SAME_EPOCH_ORDER) -> DataFrame:
+               event: DataFrame, changes: DataFrame, tiebreak: Sequence[str] = SAME_EPOCH_ORDER,
+               with_count: bool = False) -> DataFrame:
     """P-15: runner dimension of the star schema, one row per (market, runner).
 
     Key ``id`` is a hash of (market_id, runner_id): stable across runs and
@@ -117,21 +124,21 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
     (column last_epoch, where the tables have it) counts.  A market's type and
     event are joined to the market, which has fewer rows than its runners; the
     market types, a handful of names, are broadcast (dealt by type, a few tasks
-    would hold all markets); other joins are left to the optimizer.
+    would hold all markets); other joins are left to the optimizer.  ``with_count``
+    adds the number of a runner's changes (N_CHANGES), which tells the fact the long series.
     """
     # volumes and kick-off odds come from one aggregation; the favourite is
     # ranked among runners with a back change before kick-off only
-    stats = _favourite(_runner_stats(changes, market, tiebreak, with_odds=True).where(F.col("_has_back"))
+    stats = _favourite(_runner_stats(changes, market, tiebreak, with_odds=True, with_count=with_count).where(F.col("_has_back"))
                        .drop("_has_back"))
     m = market.select("market_id", "market_type", "event_id", "scheduled_time", "kick_off")
     mt = market_type.select(F.col("type").alias("market_type"), F.col("id").alias("market_type_id"))
     e = event.select(F.col("id").alias("event_id"), F.col("name").alias("event_name"), "country_code")
-    # (market, runner)-keyed inputs first: they share one partitioning, so the
-    # growing star is reshuffled only for the join to its market
-    star = (_one_name(runner)
-            .join(_one_priority(market_runner), ["market_id", "runner_id"])
-            .join(stats, ["market_id", "runner_id"])
-            .join(m.join(F.broadcast(mt), "market_type").join(e, "event_id"), "market_id"))
+    # the figures lie by market, after the ranking of its favourite: they are joined to it as
+    # they lie, and then to names and priorities, which share one partitioning
+    star = (m.join(F.broadcast(mt), "market_type").join(e, "event_id")
+            .join(stats, "market_id")
+            .join(_one_name(runner).join(_one_priority(market_runner), ["market_id", "runner_id"]), ["market_id", "runner_id"]))
     return star.select(
         hash_key(["market_id", "runner_id"]).alias("id"),
         "runner_id", "name", "sort_priority", "winner", "market_id", "market_type_id",
@@ -141,6 +148,7 @@ def dim_runner(runner: DataFrame, market_runner: DataFrame, market: DataFrame, m
         date_key("kick_off").alias("kick_off_date_key"),
         time_key("kick_off").alias("kick_off_time_key"),
         "country_code", "pre_ko_traded_volume", "ko_odds", "favourite", "total_traded_volume",
+        *([N_CHANGES] if with_count else []),
     )
 
 
@@ -167,7 +175,7 @@ def wide_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, t
     wide form, with the minute from kick-off.  Markets and runners are joined first, so only
     their changes are pivoted, on keys that the joins' partitioning already serves (see
     PARTITIONED_BY_MARKET)."""
-    keys = ["market_id", "runner_id", "epoch", "hc", "ltp", "tv", "type"]
+    keys = ["market_id", "runner_id", "type", "epoch", "hc", "ltp", "tv"]  # in the order of the carry-forward
     dr = dim_runner_df.select(*FACT_RUNNER_COLUMNS).withColumnRenamed("id", "runner_key")
     salt_by = ["epoch", "type", "hc", "ltp", "tv"]
     j = salted_join(_before_kickoff(changes, market), dr, ["market_id", "runner_id"], salt=HOT_KEY_SALT, salt_cols=salt_by)
@@ -191,24 +199,58 @@ FACT_COLUMNS = (
 FACT_PARTITION = ("market_type_id",)
 
 
-def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str] = (), store=None) -> DataFrame:
+# A runner with more rows of changes than this is a long series: no task sorts it whole.
+LONG_SERIES = 1_000_000
+
+
+def fact_runner_odds(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str] = (), store=None,
+                     long_series: int = LONG_SERIES) -> DataFrame:
     """P-16: top-3 ladder per change in wide form, minute from kick-off,
     levels carried forward per (market, runner, side).
 
-    With ``store``, which writes a frame and reads it back, the carry-forward is a prefix scan
-    over range partitions (see :func:`scan_forward`): no task holds a whole long series,
-    however many of its changes fall in one minute.  Without it, it is one window.  The rows
-    come by market type, so that a table partitioned by it gets few files a type.
+    With ``store``, which writes a frame and reads it back, no task holds a whole long series:
+    see :func:`fact_runner_odds_parts`.  Without it, the carry-forward is one window.
+    """
+    if not store:
+        return _carried(wide_odds(changes, market, dim_runner_df, tiebreak))
+    short, long = fact_runner_odds_parts(changes, market, dim_runner_df, tiebreak, store, long_series)
+    if short is None:
+        return long
+    with conf_set(short.sparkSession, PARTITIONED_BY_MARKET):
+        short = store(short)
+    return short if long is None else short.unionByName(long)
+
+
+def fact_runner_odds_parts(changes: DataFrame, market: DataFrame, dim_runner_df: DataFrame, tiebreak: Sequence[str], store,
+                           long_series: int = LONG_SERIES) -> tuple[DataFrame | None, DataFrame | None]:
+    """The fact of the runners with short series, and of those with long ones; None where there are none.
+
+    Short series are carried forward by one window, where the joins to the market left them
+    (write it with PARTITIONED_BY_MARKET): no row is dealt once more.  Long ones go through a
+    prefix scan over range partitions (see :func:`scan_forward`), however many of their changes
+    fall in one minute.  Which are long is told by the dimension's N_CHANGES; where it has no
+    such column any may be, and all are scanned.
     """
-    wide = wide_odds(changes, market, dim_runner_df, tiebreak)
-    levels = [f"{lvl}_{v}" for lvl in ("first", "second", "third") for v in ("odds", "amount")]
-    series, order = ["market_id", "runner_id", "type"], ["epoch", "hc", "ltp", "tv"]
-    if store:
-        with conf_set(wide.sparkSession, PARTITIONED_BY_MARKET):
-            filled = scan_forward(wide, ["market_type_id", *series], order, levels, store)  # a market has one type
-    else:
-        filled = carry_forward(wide, series, order[0], levels, tiebreak=order[1:])
-    return filled.select(*FACT_COLUMNS)
+    if N_CHANGES not in dim_runner_df.columns:
+        return None, _scanned(wide_odds(changes, market, dim_runner_df, tiebreak), store)
+    is_long = F.col(N_CHANGES) > long_series
+    short = _carried(wide_odds(changes, market, dim_runner_df.where(~is_long), tiebreak))
+    long = dim_runner_df.where(is_long)
+    return short, None if long.isEmpty() else _scanned(wide_odds(changes, market, long, tiebreak), store)
+
+
+_LEVELS = [f"{lvl}_{v}" for lvl in ("first", "second", "third") for v in ("odds", "amount")]
+_SERIES, _SERIES_ORDER = ["market_id", "runner_id", "type"], ["epoch", "hc", "ltp", "tv"]
+
+
+def _carried(wide: DataFrame) -> DataFrame:
+    return carry_forward(wide, _SERIES, _SERIES_ORDER[0], _LEVELS, tiebreak=_SERIES_ORDER[1:]).select(*FACT_COLUMNS)
+
+
+def _scanned(wide: DataFrame, store) -> DataFrame:
+    """The rows come by market type (a market has one), so that a table partitioned by it gets few files a type."""
+    with conf_set(wide.sparkSession, PARTITIONED_BY_MARKET):
+        return scan_forward(wide, ["market_type_id", *_SERIES], _SERIES_ORDER, _LEVELS, store).select(*FACT_COLUMNS)
 
 
 def first_goal_fact(dim_runner_df: DataFrame, fact: DataFrame, first_goal: DataFrame,

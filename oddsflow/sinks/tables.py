@@ -9,7 +9,7 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, conf_set
 
 
 class WriteMode(str, Enum):
@@ -19,6 +19,11 @@ class WriteMode(str, Enum):
     REPLACE = "replace"
 
 
+# Files of as many partitions a task keeps open while it writes a partitioned table; only with
+# more of them are its rows sorted by partition.
+OPEN_FILES, PARTITION_FILES = "spark.sql.maxConcurrentOutputFileWriters", "20"
+
+
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
     """Create the namespace if missing and make it current."""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
@@ -53,12 +58,14 @@ def save_table(spark: SparkSession, df: DataFrame, name: str, mode: WriteMode |
 
     recover_table(spark, name)
     if not spark.catalog.tableExists(name):
-        writer_for(df).mode("errorifexists").saveAsTable(name)
+        with conf_set(spark, {OPEN_FILES: PARTITION_FILES} if partition_by else {}):
+            writer_for(df).mode("errorifexists").saveAsTable(name)
     elif mode is WriteMode.APPEND:
         existing = spark.table(name).columns
         if unknown := [c for c in df.columns if c not in existing]:
             raise ValueError(f"{name} has no column {', '.join(unknown)}; replace the table or drop the column first")
-        writer_for(df.select(*existing)).mode("append").saveAsTable(name)
+        with conf_set(spark, {OPEN_FILES: PARTITION_FILES} if partition_by else {}):
+            writer_for(df.select(*existing)).mode("append").saveAsTable(name)
     else:
         write_beside(spark, writer_for(df), name)
         switch_in(spark, name)
