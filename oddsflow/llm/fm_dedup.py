@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oddsflow.llm import caches
 from oddsflow.llm.staging import Stage
 from oddsflow.llm.words import U64, gram_hashes, mix, slices, utf8, word_hashes, word_spans
 
 GRAM = 5
 LONGEST = 64          # windows of a segment
 SHARD_SEGMENTS = 16_384
+AT_ONCE = 1 << 20     # bytes of text handled at once (one text at least): what a task takes does not grow with its batches
 HOT_SEGMENTS = 4_096  # distinct segments of one minimiser beyond which it is dealt by window
 BROADCAST_ANCHORS = 1_000_000  # such minimisers (16 MB) up to which segments need no shuffle to be told apart
 _ROLL = U64(0x9FB21C651E98DF25)
@@ -161,36 +163,45 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:len(values) - width + 1], out[width - reach:]) if reach < width else out
 
 
+def _anchors(run: pa.RecordBatch, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, doc, mark, span) of the segments of these texts."""
+    data, bounds = utf8(run.column("text"))
+    starts, ends, first = word_spans(data, bounds)
+    words = word_hashes(data, starts, ends)
+    if len(words) < window:
+        return (np.empty(0, np.int64),) * 4
+    row = np.repeat(np.arange(run.num_rows), np.diff(first))
+    anchor = _smallest(gram_hashes(words, gram), window - gram + 1)
+    valid = np.flatnonzero(row[:len(anchor)] == row[window - 1:])
+    if not len(valid):
+        return (np.empty(0, np.int64),) * 4
+    anchor, row = anchor[valid], row[valid]
+    new = np.concatenate([[True], (np.diff(valid) != 1) | (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])])
+    start = np.flatnonzero(new)
+    offset = np.arange(len(valid)) - np.repeat(start, np.diff(np.append(start, len(valid))))
+    new |= offset % LONGEST == 0
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(valid)))
+    anchor, row, place = anchor[start].view(np.int64), row[start], valid[start] - first[row[start]]
+    doc = run.column("doc").to_numpy(zero_copy_only=False)[row].astype(np.int64)
+    mark = run.column("mark").to_numpy(zero_copy_only=False)[row].astype(np.int64)
+    return anchor, doc, mark, (place << 8) | count
+
+
 def _minimisers(batches, window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Rows (anchor, salt, doc, mark, span), span = first word and count of windows.
 
     An anchor that several documents of a block have is known to be shared: its rows are
     dealt out by a salt, and two rows of no windows (salt 0), of the smallest and the largest
     document, tell the other blocks: at least one is not the document that they have."""
+    caches.only("fm_dedup", {})
     for batch in batches:
-        for run in slices(batch, "text", 8 << 20):
-            data, bounds = utf8(run.column("text"))
-            starts, ends, first = word_spans(data, bounds)
-            words = word_hashes(data, starts, ends)
-            if len(words) < window:
-                continue
-            row = np.repeat(np.arange(run.num_rows), np.diff(first))
-            anchor = _smallest(gram_hashes(words, gram), window - gram + 1)
-            valid = np.flatnonzero(row[:len(anchor)] == row[window - 1:])
-            if not len(valid):
+        for block in slices(batch, "text", 8 << 20):
+            anchor, doc, mark, span = (np.concatenate(c) for c in zip(*(_anchors(run, window, gram) for run in slices(block, "text", AT_ONCE))))
+            if not len(anchor):
                 continue
-            anchor, row = anchor[valid], row[valid]
-            new = np.concatenate([[True], (np.diff(valid) != 1) | (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])])
-            start = np.flatnonzero(new)
-            offset = np.arange(len(valid)) - np.repeat(start, np.diff(np.append(start, len(valid))))
-            new |= offset % LONGEST == 0
-            start = np.flatnonzero(new)
-            count = np.diff(np.append(start, len(valid)))
-            anchor, row, place = anchor[start].view(np.int64), row[start], valid[start] - first[row[start]]
-            doc = run.column("doc").to_numpy(zero_copy_only=False)[row].astype(np.int64)
-            mark = run.column("mark").to_numpy(zero_copy_only=False)[row].astype(np.int64)
             order = np.argsort(anchor, kind="stable")
-            anchor, doc, mark, span = anchor[order], doc[order], mark[order], ((place << 8) | count)[order]
+            anchor, doc, mark, span = anchor[order], doc[order], mark[order], span[order]
             begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             least, most = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
             many = least < most
@@ -225,7 +236,7 @@ def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[byt
 def _segments(batches, window: int) -> Iterator[pa.RecordBatch]:
     """The words of each listed segment of a document, joined by one space."""
     for batch in batches:
-        for run in slices(batch, "text"):
+        for run in slices(batch, "text", AT_ONCE):
             data, bounds = utf8(run.column("text"))
             starts, ends, first = word_spans(data, bounds)
             words = word_hashes(data, starts, ends)
@@ -279,8 +290,8 @@ def covered(starts: np.ndarray, words: int, window: int) -> np.ndarray:
 
 def _digest(batches, window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total, gone, digest = [], [], []
-        for run in slices(batch, "text"):
+        for run in slices(batch, "text", AT_ONCE):
+            total, gone, digest = [], [], []
             data, bounds = utf8(run.column("text"))
             begin, end, first = word_spans(data, bounds)
             raw, at = _joined(data, begin, end)
@@ -293,15 +304,15 @@ def _digest(batches, window: int) -> Iterator[pa.RecordBatch]:
                 total.append(b - a)
                 gone.append(removed)
                 digest.append(hashlib.sha256(kept).hexdigest())
-        yield _batch(["doc_id", "n_words", "n_removed", "kept_sha256"], batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()))
+            yield _batch(["doc_id", "n_words", "n_removed", "kept_sha256"], run.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string()))
 
 
 def _cut(batches, window: int) -> Iterator[pa.RecordBatch]:
     """The text without its covered words; text between two kept words stays as it is, and
     the space after a cut goes with it."""
     for batch in batches:
-        texts = []
-        for run in slices(batch, "text"):
+        for run in slices(batch, "text", AT_ONCE):
+            texts = []
             data, bounds = utf8(run.column("text"))
             begin, end, first = word_spans(data, bounds)
             raw = data.tobytes()
@@ -317,7 +328,7 @@ def _cut(batches, window: int) -> Iterator[pa.RecordBatch]:
                     out.append(raw[at:begin[a + i]])
                     at = begin[a + j] if a + j < b else bounds[r + 1]
                 texts.append(b"".join([*out, raw[at:bounds[r + 1]]]).decode())
-        yield _batch(["row", "text"], batch.column("row"), pa.array(texts, pa.string()))
+            yield _batch(["row", "text"], run.column("row"), pa.array(texts, pa.string()))
 
 
 # ---------------------------------------------------------------- operator

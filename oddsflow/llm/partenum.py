@@ -41,6 +41,8 @@ from oddsflow.llm.words import U64, gram_hashes, mix, slices, utf8, word_hashes,
 
 FEATURES = 5.0  # features that a signature should cover, on average: fewer make fewer signatures, and more candidates
 
+AT_ONCE = 1 << 20  # bytes of text split into words, or turned into sets, at once
+
 
 def band_top(low: int, num: int, den: int) -> int:
     return low * den // num
@@ -112,7 +114,7 @@ def signatures(features: np.ndarray, num: int, den: int, cover: float = FEATURES
 
 def shingle_sets(batch: pa.RecordBatch, text: str, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-word shingles of each row; fewer words make one shingle."""
-    for run in slices(batch, text):
+    for run in slices(batch, text, AT_ONCE):
         data, bounds = utf8(run.column(text))
         starts, ends, first = word_spans(data, bounds)
         words = word_hashes(data, starts, ends, lower=True)
@@ -179,11 +181,10 @@ def _block(sigs: list, docs: list) -> pa.RecordBatch:
 
 
 def _store(batches, n: int):
-    for batch in batches:
-        sets = list(shingle_sets(batch, "text", n))
-        rows = [(len(s), *_identity(s)) for s in sets]
-        size, h1, h2 = zip(*rows) if rows else ((), (), ())
-        yield _batch(["doc", "n", "h1", "h2", "features"], batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()))
+    for run in (run for batch in batches for run in slices(batch, "text", AT_ONCE)):
+        sets = list(shingle_sets(run, "text", n))
+        size, h1, h2 = zip(*((len(s), *_identity(s)) for s in sets))
+        yield _batch(["doc", "n", "h1", "h2", "features"], run.column("doc_id"), pa.array(size, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()))
 
 
 def _parts(size: int, num: int, den: int) -> int:

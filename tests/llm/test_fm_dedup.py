@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from oddsflow.llm import fm_dedup
@@ -120,3 +122,50 @@ def test_words_built_alike_are_not_repeats(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in repeat_digests(docs).collect()), key=str) == brute(rows, 13)
     assert {r.doc_id: r.n_removed for r in repeat_digests(docs).collect()} == {1: 0, 2: 0, 3: 13}
+
+
+def texts_batch(megabytes):
+    rng = random.Random(megabytes)
+    vocab = ["w%d" % i for i in range(5000)]
+    texts = [" ".join(rng.choices(vocab, k=400)) for _ in range(megabytes * 450)]
+    zeros = pa.array([0] * len(texts), pa.int64())
+    starts = pa.array([[0, 5] if i % 2 else None for i in range(len(texts))], pa.list_(pa.int32()))
+    listed = pa.array([[{"anchor": 1, "span": (k << 8) | 4} for k in range(0, 380, 4)]] * len(texts), pa.list_(pa.struct([("anchor", pa.int64()), ("span", pa.int64())])))
+    ids = pa.array(range(len(texts)), pa.int64())
+    row = pa.array([{"doc_id": i} for i in range(len(texts))])
+    return pa.RecordBatch.from_arrays([ids, ids, zeros, row, pa.array(texts), starts, listed], ["doc", "doc_id", "mark", "row", "text", "starts", "listed"])
+
+
+def peak(task, batch):
+    """MB that a task takes beside its batch while its output is read and dropped."""
+    tracemalloc.start()
+    for _ in task(iter([batch])):
+        pass
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return most
+
+
+@pytest.mark.parametrize("task, most", [(lambda it: fm_dedup._minimisers(it, 13, 5), 60), (lambda it: fm_dedup._segments(it, 13), 70), (lambda it: fm_dedup._digest(it, 13), 50), (lambda it: fm_dedup._cut(it, 13), 30)])
+def test_a_task_takes_little_beside_its_batch(task, most):
+    assert peak(task, texts_batch(8)) < most
+
+
+def test_runs_of_any_length_give_equal_rows(monkeypatch):
+    batch = texts_batch(1)
+    batch = pa.concat_batches([batch.slice(0, 40), batch.slice(0, 3), batch.slice(50, 9)])
+    for task in (lambda it: fm_dedup._minimisers(it, 13, 5), lambda it: fm_dedup._segments(it, 13), lambda it: fm_dedup._digest(it, 13), lambda it: fm_dedup._cut(it, 13)):
+        got = []
+        for at_once in (1, 5000, 1 << 30):
+            monkeypatch.setattr(fm_dedup, "AT_ONCE", at_once)
+            got.append(pa.Table.from_batches(task(iter([batch]))).to_pylist())
+        assert got[0] == got[1] == got[2] and got[0]
+
+
+def test_batches_for_workers_are_bounded(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    long = spark.range(0, 9000, 1, 1).selectExpr("repeat('some words ', 300) as text")
+    assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) < 10 << 20
